@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once per row.
+
+    Written out plainly, a value used several times is computed several times as soon as the
+    optimizer moves a filter below the projection that made it.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip_ws(text: Column) -> Column:
     """Remove leading and trailing whitespace, newlines and Unicode spaces included."""
     return F.btrim(text, F.lit(fv.WHITESPACE))
@@ -94,15 +105,9 @@ def extract_code(content: Column) -> Column:
         .when(F.contains(content, F.lit(fv.FENCE)), plain_blocks)
         .otherwise(F.filter(F.array(function), lambda f: f != ""))
     )
-    # The one-element array binds the blocks once, so they are not computed twice.
-    return F.get(
-        F.transform(
-            F.array(blocks),
-            lambda b: F.when(F.size(b) > 0, F.array_join(b, "\n\n")).otherwise(
-                strip_ws(content)
-            ),
-        ),
-        F.lit(0),
+    return bind(
+        blocks,
+        lambda b: F.when(F.size(b) > 0, F.array_join(b, "\n\n")).otherwise(strip_ws(content)),
     )
 
 

@@ -6,59 +6,94 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
-from .text import after_first, strip_ws
+from .text import after_first, bind, strip_ws
 
 
 def outcome_lines(stdout: Column) -> Column:
     """The printed lines that report a test."""
-    return F.filter(
-        F.split(strip_ws(F.coalesce(stdout, F.lit(""))), "\n"),
-        lambda line: F.startswith(line, F.lit(fv.OUTCOME_PREFIX)),
-    )
+    printed = strip_ws(F.coalesce(stdout, F.lit("")))
+    # (?md): line ends are \n only
+    return F.regexp_extract_all(printed, F.lit(f"(?md)^{fv.OUTCOME_PREFIX}.*$"), F.lit(0))
 
 
-def final_outputs(
-    lines: Column,
-    returncode: Column,
-    stderr: Column,
-    timed_out: Column,
-    runner_error: Column,
-    script: Column,
+def _final_outputs(
+    lines: Column, stderr: Column, returncode: Column, script: Column
 ) -> Column:
-    """Outputs of a run after its errors are taken into account.
+    """Outputs of a finished run after its exit code and (stripped) error text are weighed.
 
-    ``stderr`` is the stripped error text. A non-zero exit replaces the printed lines by one
-    failure line, except after a bare assertion error that printed some. A clean silent run
-    of a script with assertions counts as one pass.
+    A non-zero exit replaces the printed lines by one failure line, except after a bare
+    assertion error that printed some. A clean silent run of a script with assertions counts
+    as one pass.
     """
     none = F.size(lines) == 0
     message = strip_ws(F.regexp_extract(stderr, f"{fv.ASSERTION_WORD}:([^\n]*)", 1))
-    return (
-        F.when(timed_out, F.array(F.lit(fv.TIMEOUT_LINE)))
-        .when(
-            runner_error.isNotNull(),
-            F.array(F.concat(F.lit(fv.RUNNER_ERROR_HEAD), runner_error)),
-        )
-        .when(
-            (returncode != 0) & F.contains(stderr, F.lit(fv.ASSERTION_WORD + ":")),
+    failure = (
+        F.when(
+            F.contains(stderr, F.lit(fv.ASSERTION_WORD + ":")),
             F.array(F.concat(F.lit(fv.ASSERTION_LINE + ": "), message)),
         )
         .when(
-            (returncode != 0) & F.contains(stderr, F.lit(fv.ASSERTION_WORD)),
+            F.contains(stderr, F.lit(fv.ASSERTION_WORD)),
             F.when(none, F.array(F.lit(fv.ASSERTION_LINE))).otherwise(lines),
         )
         .when(
-            (returncode != 0) & (stderr != ""),
+            stderr != "",
             F.array(F.concat(F.lit(fv.FAIL_HEAD), F.substring_index(stderr, "\n", -1))),
         )
-        .when(returncode != 0, F.array(F.lit(fv.EXIT_LINE)))
+        .otherwise(F.array(F.lit(fv.EXIT_LINE)))
+    )
+    silent = none & (stderr == "") & F.contains(script, F.lit(fv.ASSERT_WORD))
+    return (
+        F.when(returncode != 0, failure)
+        .when(silent, F.array(F.lit(fv.SILENT_PASS_LINE)))
+        .otherwise(lines)
+    )
+
+
+def verdict(
+    returncode: Column,
+    stdout: Column,
+    stderr: Column,
+    timed_out: Column,
+    runner_error: Column,
+    script: Column,
+    printed_lines_only: bool = False,
+) -> Column:
+    """``struct<passed, outputs>`` of a script run.
+
+    A run passes when it has outputs and every one of them speaks of a pass; one that was
+    stopped or could not be started never does. ``printed_lines_only`` is the older rule:
+    exit code and error text do not count, and a run that reports nothing has passed.
+    """
+    stopped = F.coalesce(timed_out, F.lit(False)) | runner_error.isNotNull()
+    if printed_lines_only:
+        finished = outcome_lines(stdout)
+    else:
+        texts = F.struct(
+            outcome_lines(stdout).alias("lines"),
+            strip_ws(F.coalesce(stderr, F.lit(""))).alias("stderr"),
+        )
+        finished = bind(
+            texts,
+            lambda t: _final_outputs(
+                t["lines"], t["stderr"], F.coalesce(returncode, F.lit(0)), script
+            ),
+        )
+    outputs = (
+        F.when(F.coalesce(timed_out, F.lit(False)), F.array(F.lit(fv.TIMEOUT_LINE)))
         .when(
-            none & (stderr == "") & F.contains(script, F.lit(fv.ASSERT_WORD)),
-            F.array(F.lit(fv.SILENT_PASS_LINE)),
+            runner_error.isNotNull(),
+            F.array(F.concat(F.lit(fv.RUNNER_ERROR_HEAD), runner_error)),
         )
-        .otherwise(lines)
+        .otherwise(finished)
     )
 
+    def judged(o: Column) -> Column:
+        passes = all_passed(o) | (F.size(o) == 0) if printed_lines_only else all_passed(o)
+        return F.struct((~stopped & passes).alias("passed"), o.alias("outputs"))
+
+    return bind(outputs, judged)
+
 
 def pass_count(outputs: Column) -> Column:
     """How many outputs speak of a pass."""

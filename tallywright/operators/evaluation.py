@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
 from ..functions.metrics import ratio
-from ..functions.text import extract_code, response_content, strip_ws, test_script
-from ..functions.verdict import all_passed, final_outputs, outcome_lines, parse_outcome
+from ..functions.text import extract_code, response_content, test_script
+from ..functions.verdict import parse_outcome, verdict
 from .totals import grouped_with_total
 
 RUN_FIELDS = ["returncode", "stdout", "stderr", "timed_out", "runner_error"]
@@ -33,23 +33,15 @@ def with_verdict(runs: DataFrame, printed_lines_only: bool = False) -> DataFrame
     ``printed_lines_only`` is the older rule: the exit code and the error text do not count,
     and a run that reports nothing has passed.
     """
-    staged = runs.withColumn("_lines", outcome_lines(F.col("stdout"))).withColumn(
-        "_stderr", strip_ws(F.coalesce(F.col("stderr"), F.lit("")))
+    result = verdict(
+        *[F.col(c) for c in RUN_FIELDS], F.col("script"), printed_lines_only=printed_lines_only
     )
-    outputs = final_outputs(
-        F.col("_lines"),
-        F.lit(0) if printed_lines_only else F.coalesce(F.col("returncode"), F.lit(0)),
-        F.col("_stderr"),
-        F.coalesce(F.col("timed_out"), F.lit(False)),
-        F.col("runner_error"),
-        F.lit("") if printed_lines_only else F.col("script"),
+    return (
+        runs.withColumn("_verdict", result)
+        .withColumn("test_outputs", F.col("_verdict.outputs"))
+        .withColumn("passed", F.col("_verdict.passed"))
+        .drop("_verdict")
     )
-    judged = staged.withColumn("test_outputs", outputs)
-    ended = ~F.coalesce(F.col("timed_out"), F.lit(False)) & F.col("runner_error").isNull()
-    passed = all_passed(F.col("test_outputs"))
-    if printed_lines_only:
-        passed = passed | (F.size("test_outputs") == 0)
-    return judged.withColumn("passed", ended & passed).drop("_lines", "_stderr")
 
 
 def evaluate(
@@ -70,13 +62,13 @@ def evaluate(
             "model_response",
         )
     ).drop("model_response")
-    joined = with_script(coded).join(
+    joined = coded.join(
         script_runs.select(*keys, *RUN_FIELDS).withColumn("_found", F.lit(True)), keys, "left"
     ).withColumn(
         "runner_error",
         F.when(F.col("_found").isNull(), F.lit(NOT_RUN)).otherwise(F.col("runner_error")),
     ).drop("_found")
-    return without_code_failed(with_verdict(joined)).select(
+    return without_code_failed(with_verdict(with_script(joined))).select(
         *keys, "problem_statement", "passed", "error", "test_outputs", "generated_code",
         "test_cases",
     )
@@ -102,10 +94,12 @@ def explode_tests(evaluations: DataFrame, keep: list[str] = ["problem_id"]) -> D
         F.get("test_cases", "_at"),
         F.concat(F.lit("Test case "), number, F.lit(" (no statement)")),
     )
+    # The outer form, because the plain one has the optimizer add a filter on the array below
+    # the step that computes it, which would compute it again.
     outcome = evaluations.select(
         *keep, "problem_statement", "test_cases",
-        F.posexplode("test_outputs").alias("_at", "_output"),
-    ).select(
+        F.posexplode_outer("test_outputs").alias("_at", "_output"),
+    ).where(F.col("_at").isNotNull()).select(
         *keep, "problem_statement", statement.alias("test_case_statement"),
         parse_outcome(F.col("_output")).alias("_outcome"),
     )
@@ -143,12 +137,9 @@ def ids_where(evaluations: DataFrame, passed: bool | None = None, keep: list[str
 def failed_preview(evaluations: DataFrame, n: int = 3, order: list[str] = ["problem_id"]) -> DataFrame:
     """The first ``n`` failed evaluations with their error or outputs."""
     shown = F.coalesce(F.col("error"), F.array_join("test_outputs", "\n"))
-    return (
-        evaluations.where(~F.col("passed"))
-        .select("problem_id", *[c for c in order if c != "problem_id"], shown.alias("details"))
-        .orderBy(*order)
-        .limit(n)
-    )
+    first = evaluations.where(~F.col("passed")).orderBy(*order).limit(n)
+    others = [c for c in order if c != "problem_id"]
+    return first.select("problem_id", *others, shown.alias("details"))
 
 
 def test_row_summary(tests: DataFrame) -> DataFrame:

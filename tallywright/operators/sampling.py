@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from .. import fixed_values as fv
 
 PREFIX_DIGITS = 4  # 65,536 prefixes per class
-_AFTER_ALL_KEYS = "g"  # sorts after every hexadecimal digit
 
 
 def sample_key(row_id: Column, seed: int) -> Column:
@@ -35,58 +34,52 @@ def stratified_mix(
     id_col: str = "problem_id",
     class_col: str = "difficulty",
 ) -> DataFrame:
-    """All mixes in one pass, tagged by ``dataset``.
+    """All mixes at once, tagged by ``dataset``.
 
     Of each class a mix takes ``min(int(rows * share), rows of the class)`` rows, where
-    ``rows`` counts the whole input. Ids must be unique. The three readings of ``df`` share
+    ``rows`` counts the whole input. Ids must be there and unique. The three readings of ``df`` share
     its exchanges; store ``df`` first when it is costly and has none.
 
-    The broadcast tables hold at most one row per mix and class, whatever the input.
+    Nothing but counts and the rows at a cut is shuffled, and the broadcast tables hold at
+    most one row per mix and class, whatever the input.
     """
-    keyed = df.withColumn("_key", sample_key(F.col(id_col), seed))
+    # Ids and keys that cannot be NULL keep the optimizer from adding a filter to some of the
+    # three readings and not to others, which would stop them from sharing exchanges.
+    key = F.coalesce(sample_key(F.col(id_col), seed), F.lit(""))
+    keyed = df.where(F.col(id_col).isNotNull()).withColumn("_key", key)
     prefixed = keyed.select(
         F.col(class_col).alias("_class"),
         F.substring("_key", 1, PREFIX_DIGITS).alias("_prefix"),
         "_key",
     )
 
+    # At most 65,536 counts per class pass through these windows.
     counts = prefixed.groupBy("_class", "_prefix").agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).scalar()
-    # At most 65,536 rows per class pass through these windows.
-    whole = Window.partitionBy("_class")
-    upto = whole.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, 0)
+    in_class = Window.partitionBy("_class")
     running = counts.select(
         "_class", "_prefix", "_n",
-        F.sum("_n").over(upto).alias("_upto"),
-        F.sum("_n").over(whole).alias("_available"),
+        F.sum("_n").over(
+            in_class.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, 0)
+        ).alias("_upto"),
+        F.sum("_n").over(in_class).alias("_available"),
+        F.sum("_n").over(Window.partitionBy(F.lit(0))).alias("_rows"),
     )
-    wanted = F.floor(total.cast("double") * F.col("_share"))
-    at_cut = running.join(F.broadcast(_targets(df, mixes)), "_class").withColumn(
-        "_wanted", F.least(wanted, F.col("_available"))
-    ).where(
-        (F.col("_upto") - F.col("_n") < F.col("_wanted")) & (F.col("_wanted") <= F.col("_upto"))
-    ).select(
-        "dataset", "_class", "_prefix",
-        (F.col("_wanted") - F.col("_upto") + F.col("_n")).alias("_rank"),
-        (F.col("_wanted") == F.col("_available")).alias("_all"),
+    wanted = F.floor(F.col("_rows").cast("double") * F.col("_share"))
+    before = F.col("_upto") - F.col("_n")
+    at_cut = (
+        running.join(F.broadcast(_targets(df, mixes)), "_class")
+        .withColumn("_wanted", F.least(wanted, F.col("_available")))
+        .where((before < F.col("_wanted")) & (F.col("_wanted") <= F.col("_upto")))
+        .select("dataset", "_class", "_prefix", (F.col("_wanted") - before).alias("_rank"))
     )
 
-    # Rank only the rows at a cut that does not take the whole class.
-    partial = at_cut.where(~F.col("_all"))
-    ranked = prefixed.join(
-        F.broadcast(partial.select("_class", "_prefix").distinct()), ["_class", "_prefix"],
-        "left_semi",
-    ).withColumn(
-        "_rank", F.row_number().over(Window.partitionBy("_class", "_prefix").orderBy("_key"))
-    )
+    # The last key taken, from ranking only the rows that share the prefix at the cut.
+    at_prefix = Window.partitionBy("dataset", "_class", "_prefix").orderBy("_key")
     cuts = (
-        ranked.join(F.broadcast(partial), ["_class", "_prefix", "_rank"])
+        prefixed.join(F.broadcast(at_cut), ["_class", "_prefix"])
+        .withColumn("_place", F.row_number().over(at_prefix))
+        .where(F.col("_place") == F.col("_rank"))
         .select("dataset", "_class", F.col("_key").alias("_last"))
-        .unionByName(
-            at_cut.where("_all").select(
-                "dataset", "_class", F.lit(_AFTER_ALL_KEYS).alias("_last")
-            )
-        )
     )
     return keyed.join(
         F.broadcast(cuts),

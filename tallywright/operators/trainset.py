@@ -52,40 +52,33 @@ def train_rows(
     With ``code`` the output is the reference solution and the instruction the full question;
     without it they are the best attempt's own code and the bare problem statement.
 
-    ``samples`` holds (dataset, problem_id). The texts of one attempt per sampled problem are
-    fetched once; the datasets a problem is in are joined at the very end.
+    ``samples`` holds (dataset, problem_id), each pair once. The texts of one attempt per
+    sampled problem are fetched once and only at the end given to each of its datasets.
     """
-    best = best_attempt(evaluations, position).join(
-        samples.select("problem_id"), "problem_id", "left_semi"
-    )
+    datasets = samples.groupBy("problem_id").agg(F.collect_set("dataset").alias("_datasets"))
+    best = best_attempt(evaluations, position).drop("score").join(datasets, "problem_id")
     # The key includes run and position, so a problem with very many attempts is spread out.
     # One row per problem is kept should a position occur twice; the joins below are on the
     # same key, so this costs no exchange of its own.
     parts = ["problem_statement", "test_cases", "generated_code"]
     rows = (
         evaluations.select("problem_id", "run_id", *position, *parts)
-        .join(best.drop("score"), ["problem_id", "run_id", *position])
+        .join(best, ["problem_id", "run_id", *position])
         .groupBy("problem_id")
-        .agg(F.min(F.struct(*parts)).alias("_first"))
+        .agg(F.min(F.struct(*parts, "_datasets")).alias("_first"))
         .select("problem_id", "_first.*")
     )
     if code is None:
-        texts = rows.select(
-            "problem_id",
-            F.col("problem_statement").alias("instruction"),
-            F.col("generated_code").alias("output"),
-        )
+        instruction, output = F.col("problem_statement"), F.col("generated_code")
     else:
-        texts = rows.join(code, "problem_id").select(
-            "problem_id",
-            instruction_text(
-                F.col("problem_statement"), F.col("problem_id"), F.col("test_cases")
-            ).alias("instruction"),
-            F.col("code").alias("output"),
+        rows = rows.join(code, "problem_id")
+        instruction = instruction_text(
+            F.col("problem_statement"), F.col("problem_id"), F.col("test_cases")
         )
-    return samples.select("dataset", "problem_id").join(texts, "problem_id").select(
-        "dataset", "problem_id", "instruction", "output"
-    )
+        output = F.col("code")
+    return rows.select(
+        "problem_id", "_datasets", instruction.alias("instruction"), output.alias("output")
+    ).select(F.explode("_datasets").alias("dataset"), "problem_id", "instruction", "output")
 
 
 def train_rows_missing(

@@ -8,6 +8,7 @@ the two sides agree only if both are right.
 from __future__ import annotations
 
 from .. import fixed_values as fv
+from .views import STDERRS, STDOUTS
 
 
 def _text(value: str) -> str:
@@ -84,23 +85,11 @@ def _script(code: str, tests: str) -> str:
 
 def _recorded(a: str, b: str) -> str:
     """Columns of a recorded script run."""
-    kind = f"({a} + {b} * 3 + i * 7) % 9"
-    line = (
-        f"case when {kind} <= 4 then 'Test ' || i || ': PASS - All Clear' "
-        f"when {kind} = 5 then 'Test ' || i || ': FAIL - Result does not match expected output' "
-        f"when {kind} = 6 then 'Test ' || i || ': FAIL - could not PASS value: ' || ({b}) "
-        f"when {kind} = 7 then 'Testing helper' else 'value ' || {a} end"
-    )
+    stdouts = ", ".join(_text(t) for t in STDOUTS)
+    stderrs = ", ".join(_text(t) for t in STDERRS)
     return f"""
       case when {a} % 11 between 1 and 4 then 1 else 0 end as returncode,
-      array_to_string(list_transform(range(1, ({a} + {b}) % 5 + 1), lambda i: {line}), {_NL})
-        || {_NL} as stdout,
-      case {a} % 11
-        when 1 then 'Traceback' || {_NL} || 'AssertionError: bad - value ' || ({b}) || {_NL} || 'end' || {_NL}
-        when 2 then 'Traceback' || {_NL} || 'AssertionError' || {_NL}
-        when 3 then 'Traceback' || {_NL} || '  line 1' || {_NL} || 'NameError: name ''v' || ({b})
-          || ''' is not defined' || {_NL}
-        when 5 then 'DeprecationWarning: old' || {_NL} else '' end as stderr,
+      [{stdouts}][({a} + {b}) % 9 + 1] as stdout, [{stderrs}][{a} % 11 + 1] as stderr,
       {a} % 11 = 0 as timed_out,
       case when {a} % 11 = 6 then 'no space left - PASS on' end as runner_error"""
 
