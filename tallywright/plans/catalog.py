@@ -667,9 +667,9 @@ def stored_run_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def stored_run_evaluations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole records of listed run folders, array files of any encoding."""
+    """Whole records of listed run folders, from array files."""
     base = _store_run_folders(spark, sf_dir, arrays=True)
-    rows = rd.read_evaluations_any_encoding(spark, base, vw.RUNS)
+    rows = rd.read_evaluations(spark, base, vw.RUNS)
     return _evaluation_columns(rows, "problem_id", "run_id")
 
 

@@ -3,6 +3,10 @@
 Two layouts of JSON files are read: ``array`` (a file is one JSON array, the form in which
 runs are usually delivered) and ``lines`` (one record per line). An array file is one task;
 convert such files once with ``writers.write_table`` and work on the result.
+
+Whatever is no JSON object is left out; a field of the wrong type is NULL and costs neither
+its record nor its file. ``id_field`` is the name the problem id has in the files. Ids are
+whole numbers unless ``numeric_ids=False`` keeps them as text.
 """
 
 from __future__ import annotations
@@ -18,35 +22,66 @@ from .. import schemas
 _CORRUPT = "_corrupt_record"
 
 
+def _json_texts(spark: SparkSession, path: str, layout: str) -> DataFrame:
+    """(_path, position, _json) of every record; ``position`` only in array files."""
+    if layout == "lines":
+        return spark.read.text(path).select(
+            F.col("_metadata.file_path").alias("_path"),
+            F.lit(None).cast("int").alias("position"),
+            F.col("value").alias("_json"),
+        )
+    if layout != "array":
+        raise ValueError("layout is 'array' or 'lines'")
+    # Files are UTF-8; one that is not is taken as Latin-1.
+    text = F.col("content").cast("string")
+    decoded = F.when(F.is_valid_utf8(text), text).otherwise(F.decode("content", "ISO-8859-1"))
+    return spark.read.format("binaryFile").load(path).select(
+        F.col("_metadata.file_path").alias("_path"),
+        F.posexplode(F.from_json(decoded, "array<string>")).alias("position", "_json"),
+    )
+
+
 def _read_json(
-    spark: SparkSession, paths: str | list[str], schema: T.StructType, layout: str
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    layout: str,
+    id_field: str,
+    numeric_ids: bool,
 ) -> DataFrame:
-    """Records with their ``_path``; files or lines that do not parse are left out.
+    """Records with ``problem_id``, ``position`` and ``_path``.
 
     No matching file gives an empty table, as a run without results is no error.
     """
-    if layout not in ("array", "lines"):
-        raise ValueError("layout is 'array' or 'lines'")
-    checked = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
-    reader = spark.read.schema(checked).option("columnNameOfCorruptRecord", _CORRUPT)
+    id_type = "bigint" if numeric_ids else "string"
+    typed = [
+        T.StructField(f.name, T.StringType() if f.name == id_field else f.dataType)
+        for f in schema.fields
+    ]
+    columns = [
+        F.col(f"_record.`{f.name}`").cast(id_type).alias("problem_id")
+        if f.name == id_field
+        else F.col(f"_record.`{f.name}`")
+        for f in schema.fields
+    ]
+    parsed = T.StructType([*typed, T.StructField(_CORRUPT, T.StringType())])
     try:
-        raw = reader.option("multiLine", layout == "array").json(paths)
+        texts = _json_texts(spark, path, layout)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema).withColumn("_path", F.lit(""))
-    kept = [F.col(f.name) for f in schema.fields]
+        texts = spark.createDataFrame([], "_path string, position int, _json string")
+    record = F.from_json("_json", parsed, {"columnNameOfCorruptRecord": _CORRUPT})
+    corrupt = F.col(f"_record.{_CORRUPT}")
+    # Only records with a flaw are looked at a second time.
+    is_object = corrupt.isNull() | F.json_object_keys(corrupt).isNotNull()
     return (
-        raw.select(*kept, F.col("_metadata.file_path").alias("_path"), _CORRUPT)
-        .where(F.col(_CORRUPT).isNull())
-        .drop(_CORRUPT)
+        texts.withColumn("_record", record)
+        .where(F.col("_record").isNotNull() & is_object)
+        .select(*columns, "position", "_path")
     )
 
 
-def _with_problem_id(df: DataFrame, id_field: str) -> DataFrame:
-    return df if id_field == "problem_id" else df.withColumnRenamed(id_field, "problem_id")
-
-
 def read_problems(
     spark: SparkSession, path: str, split: str = "test", fmt: str = "parquet"
 ) -> DataFrame:
@@ -71,39 +106,50 @@ def read_responses(
     split: str | None = None,
     id_field: str = "problem_id",
     layout: str = "array",
+    numeric_ids: bool = True,
 ) -> DataFrame:
     """Response records of one results folder: one split, or all that are there."""
     splits = [split] if split else fv.RESPONSE_SPLITS
     name = fv.RESPONSES_NAME.format(split="{" + ",".join(splits) + "}")
-    return _responses(spark, f"{base}/{name}", id_field, layout)
+    return read_response_file(spark, f"{base}/{name}", id_field, layout, numeric_ids)
 
 
 def read_response_file(
-    spark: SparkSession, path: str, id_field: str = "problem_id", layout: str = "array"
+    spark: SparkSession,
+    path: str,
+    id_field: str = "problem_id",
+    layout: str = "array",
+    numeric_ids: bool = True,
 ) -> DataFrame:
     """Response records of one explicit file; a file that cannot be read gives none."""
-    return _responses(spark, path, id_field, layout)
-
-
-def _responses(spark: SparkSession, path: str, id_field: str, layout: str) -> DataFrame:
+    schema = schemas.response(id_field)
     pattern = fv.RESPONSES_NAME.replace("*", "").replace(".", r"\.").format(split="([a-z]+)")
     return (
-        _with_problem_id(_read_json(spark, path, schemas.response(id_field), layout), id_field)
+        _read_json(spark, path, schema, layout, id_field, numeric_ids)
         .withColumn("split", F.regexp_extract("_path", pattern, 1))
         .drop("_path")
     )
 
 
-def _run_paths(base: str, runs: list[str] | None) -> str:
+def _read_runs(
+    spark: SparkSession,
+    base: str,
+    runs: list[str] | None,
+    schema: T.StructType,
+    layout: str,
+    id_field: str,
+    numeric_ids: bool,
+) -> DataFrame:
     folder = "{" + ",".join(runs) + "}" if runs else "*"
-    return f"{base}/{folder}/{fv.EVALUATIONS_NAME}"
-
-
-def _with_run_id(df: DataFrame) -> DataFrame:
+    path = f"{base}/{folder}/{fv.EVALUATIONS_NAME}"
     pattern = "([^/]+)/" + fv.EVALUATIONS_NAME.replace(".", r"\.")
     # Paths in file metadata are URL-encoded; "+" is a plain character there.
-    path = F.url_decode(F.replace(F.col("_path"), F.lit("+"), F.lit("%2B")))
-    return df.withColumn("run_id", F.regexp_extract(path, pattern, 1)).drop("_path")
+    name = F.url_decode(F.replace(F.col("_path"), F.lit("+"), F.lit("%2B")))
+    return (
+        _read_json(spark, path, schema, layout, id_field, numeric_ids)
+        .withColumn("run_id", F.regexp_extract(name, pattern, 1))
+        .drop("_path")
+    )
 
 
 def read_attempts(
@@ -112,10 +158,11 @@ def read_attempts(
     runs: list[str] | None = None,
     id_field: str = "problem_id",
     layout: str = "array",
+    numeric_ids: bool = True,
 ) -> DataFrame:
     """(run_id, problem_id, passed) of every run folder; only two fields are parsed."""
-    raw = _read_json(spark, _run_paths(base, runs), schemas.attempt_fields(id_field), layout)
-    return _with_run_id(_with_problem_id(raw, id_field))
+    schema = schemas.attempt_fields(id_field)
+    return _read_runs(spark, base, runs, schema, layout, id_field, numeric_ids)
 
 
 def read_evaluations(
@@ -124,43 +171,14 @@ def read_evaluations(
     runs: list[str] | None = None,
     id_field: str = "problem_id",
     layout: str = "array",
+    numeric_ids: bool = True,
 ) -> DataFrame:
-    """Whole evaluation records of every run folder, or of the listed ones."""
-    raw = _read_json(spark, _run_paths(base, runs), schemas.evaluation(id_field), layout)
-    return _with_run_id(_with_problem_id(raw, id_field))
-
+    """Whole evaluation records of every run folder, or of the listed ones.
 
-def read_evaluations_any_encoding(
-    spark: SparkSession,
-    base: str,
-    runs: list[str] | None = None,
-    id_field: str = "problem_id",
-) -> DataFrame:
-    """Like ``read_evaluations`` for array files, taking those that are no UTF-8 as Latin-1.
-
-    ``position`` is the place of a record in its file.
+    The run id is the folder's name, ``position`` the place of a record in its array file.
     """
-    try:
-        files = spark.read.format("binaryFile").load(_run_paths(base, runs))
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        empty = T.StructType(
-            [*schemas.evaluation().fields, T.StructField("position", T.IntegerType()),
-             T.StructField("run_id", T.StringType())]
-        )
-        return spark.createDataFrame([], empty)
-    text = F.col("content").cast("string")
-    decoded = F.when(F.is_valid_utf8(text), text).otherwise(
-        F.decode(F.col("content"), "ISO-8859-1")
-    )
-    records = F.from_json(decoded, T.ArrayType(schemas.evaluation(id_field)))
-    rows = files.select(
-        F.col("path").alias("_path"), F.posexplode(records).alias("position", "_record")
-    ).where(F.col("_record").isNotNull())
-    flat = _with_problem_id(rows.select("_record.*", "position", "_path"), id_field)
-    pattern = "([^/]+)/" + fv.EVALUATIONS_NAME.replace(".", r"\.")
-    return flat.withColumn("run_id", F.regexp_extract("_path", pattern, 1)).drop("_path")
+    schema = schemas.evaluation(id_field)
+    return _read_runs(spark, base, runs, schema, layout, id_field, numeric_ids)
 
 
 def read_stored(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
@@ -169,7 +187,8 @@ def read_stored(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
 
 
 def _read_csv(spark: SparkSession, path: str, schema: T.StructType, id_field: str) -> DataFrame:
-    return _with_problem_id(spark.read.schema(schema).option("header", True).csv(path), id_field)
+    table = spark.read.schema(schema).option("header", True).csv(path)
+    return table.withColumnRenamed(id_field, "problem_id")
 
 
 def read_pivot(
