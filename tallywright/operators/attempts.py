@@ -32,8 +32,13 @@ def with_id_check(evaluations: DataFrame) -> DataFrame:
 
 
 def by_run_and_problem(attempts: DataFrame) -> DataFrame:
-    """Global order by run, then problem (a range-partitioned sort)."""
-    return attempts.orderBy("run_id", "problem_id")
+    """Global order by run, then problem: a range-partitioned sort.
+
+    Equal pairs stay in the order they came in, which also lets Spark split a pair with very
+    many rows over several partitions.
+    """
+    numbered = attempts.withColumn("_came", F.monotonically_increasing_id())
+    return numbered.orderBy("run_id", "problem_id", "_came").drop("_came")
 
 
 def duplicate_attempts(attempts: DataFrame) -> DataFrame:

@@ -45,16 +45,21 @@ def with_verdict(runs: DataFrame, printed_lines_only: bool = False) -> DataFrame
 
 
 def evaluate(
-    responses: DataFrame, script_runs: DataFrame, keys: list[str] = ["problem_id", "run_id"]
+    responses: DataFrame,
+    script_runs: DataFrame,
+    keys: list[str] = ["problem_id", "run_id"],
+    keep: list[str] = [],
 ) -> DataFrame:
     """Evaluations of responses whose scripts were run elsewhere.
 
-    ``keys`` identify an attempt on both sides. A response without code is a failed
+    ``keys`` identify an attempt on both sides; ``keep`` names further columns of the
+    responses to carry along, such as the split. A response without code is a failed
     evaluation without outputs; a script without a recorded run is a runner error.
     """
     coded = with_generated_code(
         responses.select(
             *keys,
+            *keep,
             F.col("problem.text").alias("problem_statement"),
             F.coalesce(
                 F.col("problem.test_list"), F.array().cast("array<string>")
@@ -69,7 +74,7 @@ def evaluate(
         F.when(F.col("_found").isNull(), F.lit(NOT_RUN)).otherwise(F.col("runner_error")),
     ).drop("_found")
     return without_code_failed(with_verdict(with_script(joined))).select(
-        *keys, "problem_statement", "passed", "error", "test_outputs", "generated_code",
+        *keys, *keep, "problem_statement", "passed", "error", "test_outputs", "generated_code",
         "test_cases",
     )
 

@@ -466,8 +466,9 @@ def evaluation_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def evaluation_stats_by_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    split = vw.responses(spark, sf_dir).select("problem_id", "run_id", "split")
-    rows = _evaluated(spark, sf_dir).join(split, ["problem_id", "run_id"])
+    rows = ev.evaluate(
+        vw.responses(spark, sf_dir), vw.script_runs(spark, sf_dir), keep=["split"]
+    )
     return ev.evaluation_stats(rows, by=["split"]).drop("is_total").withColumn(
         "split", F.coalesce("split", F.lit("overall"))
     )
