@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
-from .text import after_first, bind, strip_ws
+from .text import after_first, strip_ws
 
 
 def outcome_lines(stdout: Column) -> Column:
@@ -16,14 +16,19 @@ def outcome_lines(stdout: Column) -> Column:
     return F.regexp_extract_all(printed, F.lit(f"(?md)^{fv.OUTCOME_PREFIX}.*$"), F.lit(0))
 
 
-def _final_outputs(
-    lines: Column, stderr: Column, returncode: Column, script: Column
+def final_outputs(
+    lines: Column,
+    stderr: Column,
+    returncode: Column,
+    timed_out: Column,
+    runner_error: Column,
+    script: Column,
 ) -> Column:
-    """Outputs of a finished run after its exit code and (stripped) error text are weighed.
+    """Outputs of a script run; ``stderr`` is its stripped error text.
 
     A non-zero exit replaces the printed lines by one failure line, except after a bare
     assertion error that printed some. A clean silent run of a script with assertions counts
-    as one pass.
+    as one pass. Give this plain columns: lines and error text are looked at several times.
     """
     none = F.size(lines) == 0
     message = strip_ws(F.regexp_extract(stderr, f"{fv.ASSERTION_WORD}:([^\n]*)", 1))
@@ -44,56 +49,16 @@ def _final_outputs(
     )
     silent = none & (stderr == "") & F.contains(script, F.lit(fv.ASSERT_WORD))
     return (
-        F.when(returncode != 0, failure)
-        .when(silent, F.array(F.lit(fv.SILENT_PASS_LINE)))
-        .otherwise(lines)
-    )
-
-
-def verdict(
-    returncode: Column,
-    stdout: Column,
-    stderr: Column,
-    timed_out: Column,
-    runner_error: Column,
-    script: Column,
-    printed_lines_only: bool = False,
-) -> Column:
-    """``struct<passed, outputs>`` of a script run.
-
-    A run passes when it has outputs and every one of them speaks of a pass; one that was
-    stopped or could not be started never does. ``printed_lines_only`` is the older rule:
-    exit code and error text do not count, and a run that reports nothing has passed.
-    """
-    stopped = F.coalesce(timed_out, F.lit(False)) | runner_error.isNotNull()
-    if printed_lines_only:
-        finished = outcome_lines(stdout)
-    else:
-        texts = F.struct(
-            outcome_lines(stdout).alias("lines"),
-            strip_ws(F.coalesce(stderr, F.lit(""))).alias("stderr"),
-        )
-        finished = bind(
-            texts,
-            lambda t: _final_outputs(
-                t["lines"], t["stderr"], F.coalesce(returncode, F.lit(0)), script
-            ),
-        )
-    outputs = (
-        F.when(F.coalesce(timed_out, F.lit(False)), F.array(F.lit(fv.TIMEOUT_LINE)))
+        F.when(timed_out, F.array(F.lit(fv.TIMEOUT_LINE)))
         .when(
             runner_error.isNotNull(),
             F.array(F.concat(F.lit(fv.RUNNER_ERROR_HEAD), runner_error)),
         )
-        .otherwise(finished)
+        .when(returncode != 0, failure)
+        .when(silent, F.array(F.lit(fv.SILENT_PASS_LINE)))
+        .otherwise(lines)
     )
 
-    def judged(o: Column) -> Column:
-        passes = all_passed(o) | (F.size(o) == 0) if printed_lines_only else all_passed(o)
-        return F.struct((~stopped & passes).alias("passed"), o.alias("outputs"))
-
-    return bind(outputs, judged)
-
 
 def pass_count(outputs: Column) -> Column:
     """How many outputs speak of a pass."""
@@ -101,11 +66,10 @@ def pass_count(outputs: Column) -> Column:
     return F.coalesce(passes, F.lit(0))
 
 
-def all_passed(outputs: Column) -> Column:
-    """True where there is at least one output and every one speaks of a pass."""
-    return (F.size(outputs) > 0) & F.forall(
-        outputs, lambda o: F.contains(o, F.lit(fv.PASS_WORD))
-    )
+def all_passed(outputs: Column, if_none: bool = False) -> Column:
+    """True where every output speaks of a pass; ``if_none`` where there are no outputs."""
+    passes = F.transform(outputs, lambda o: F.contains(o, F.lit(fv.PASS_WORD)))
+    return F.coalesce(F.array_min(passes), F.lit(if_none))
 
 
 def parse_outcome(line: Column) -> Column:

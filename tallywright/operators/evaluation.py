@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
 from ..functions.metrics import ratio
-from ..functions.text import extract_code, response_content, test_script
-from ..functions.verdict import parse_outcome, verdict
+from ..functions.text import extract_code, response_content, strip_ws, test_script
+from ..functions.verdict import all_passed, final_outputs, outcome_lines, parse_outcome
 from .totals import grouped_with_total
 
 RUN_FIELDS = ["returncode", "stdout", "stderr", "timed_out", "runner_error"]
@@ -28,19 +28,36 @@ def with_script(coded: DataFrame) -> DataFrame:
 
 
 def with_verdict(runs: DataFrame, printed_lines_only: bool = False) -> DataFrame:
-    """Adds ``test_outputs`` and ``passed`` to rows holding a script and how its run ended.
+    """Adds ``test_outputs`` and ``passed`` to rows that tell how a script's run ended.
 
+    Only silent runs need the script's text. Without a ``script`` column it is put together
+    for those rows alone, from ``generated_code`` and ``test_cases``.
     ``printed_lines_only`` is the older rule: the exit code and the error text do not count,
     and a run that reports nothing has passed.
     """
-    result = verdict(
-        *[F.col(c) for c in RUN_FIELDS], F.col("script"), printed_lines_only=printed_lines_only
+    timed_out = F.coalesce(F.col("timed_out"), F.lit(False))
+    if printed_lines_only:
+        script = F.lit("")
+    elif "script" in runs.columns:
+        script = F.col("script")
+    else:
+        script = test_script(F.col("generated_code"), F.col("test_cases"))
+    outputs = final_outputs(
+        F.col("_lines"),
+        F.col("_stderr"),
+        F.lit(0) if printed_lines_only else F.coalesce(F.col("returncode"), F.lit(0)),
+        timed_out,
+        F.col("runner_error"),
+        script,
     )
+    # In steps, so that each text is taken apart once per row.
+    passed = all_passed(F.col("test_outputs"), if_none=printed_lines_only)
     return (
-        runs.withColumn("_verdict", result)
-        .withColumn("test_outputs", F.col("_verdict.outputs"))
-        .withColumn("passed", F.col("_verdict.passed"))
-        .drop("_verdict")
+        runs.withColumn("_lines", outcome_lines(F.col("stdout")))
+        .withColumn("_stderr", strip_ws(F.coalesce(F.col("stderr"), F.lit(""))))
+        .withColumn("test_outputs", outputs)
+        .withColumn("passed", ~timed_out & F.col("runner_error").isNull() & passed)
+        .drop("_lines", "_stderr")
     )
 
 
@@ -73,7 +90,7 @@ def evaluate(
         "runner_error",
         F.when(F.col("_found").isNull(), F.lit(NOT_RUN)).otherwise(F.col("runner_error")),
     ).drop("_found")
-    return without_code_failed(with_verdict(with_script(joined))).select(
+    return without_code_failed(with_verdict(joined)).select(
         *keys, *keep, "problem_statement", "passed", "error", "test_outputs", "generated_code",
         "test_cases",
     )

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.attempts import first_attempts
-from ..operators.evaluation import with_script, with_verdict, without_code_failed
+from ..operators.evaluation import with_verdict, without_code_failed
 
 RUNS = [f"{r:02d}" for r in range(1, 13)]
 ATTEMPT_ORDER = ["l_orderkey", "l_linenumber", "l_suppkey"]
@@ -121,7 +121,7 @@ def evaluations(spark: SparkSession, sf_dir: str) -> DataFrame:
         code.alias("generated_code"),
         *[column.alias(name) for name, column in run.items()],
     )
-    return without_code_failed(with_verdict(with_script(rows))).select(
+    return without_code_failed(with_verdict(rows)).select(
         "problem_id", "run_id", *POSITION, "problem_statement", "passed", "error",
         "test_outputs", "generated_code", "test_cases",
     )
