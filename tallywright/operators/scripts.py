@@ -23,22 +23,25 @@ _RESULT = (
 )
 
 
-def python_runner(
-    script: str, seconds: float, options: tuple[str, ...] = ()
-) -> tuple[int, str, str]:
-    """Runs a script in a fresh interpreter, fed through its standard input.
+def python_runner(options: tuple[str, ...] = ()) -> Runner:
+    """A runner that feeds a script to a fresh interpreter through its standard input.
 
     ``options`` go to the interpreter: ``-I -S`` keeps the environment and installed packages
-    out and starts several times faster.
+    out and starts several times faster. The runner is a closure, so executors need not have
+    this package installed.
     """
-    try:
-        done = subprocess.run(
-            [sys.executable, *options, "-"],
-            input=script, capture_output=True, text=True, timeout=seconds,
-        )
-    except subprocess.TimeoutExpired as error:
-        raise TimeoutError(str(error)) from error
-    return done.returncode, done.stdout, done.stderr
+
+    def run(script: str, seconds: float) -> tuple[int, str, str]:
+        try:
+            done = subprocess.run(
+                [sys.executable, *options, "-"],
+                input=script, capture_output=True, text=True, timeout=seconds,
+            )
+        except subprocess.TimeoutExpired as error:
+            raise TimeoutError(str(error)) from error
+        return done.returncode, done.stdout, done.stderr
+
+    return run
 
 
 def run_scripts(

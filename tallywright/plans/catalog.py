@@ -6,7 +6,6 @@ Shaping means: arrays joined to text, no NULL texts, doubles rounded to ten digi
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -502,7 +501,7 @@ def script_execution(spark: SparkSession, sf_dir: str) -> DataFrame:
     scripts = vw.problems(spark, sf_dir).select(
         key.alias("problem_id"), tx.test_script(code, F.col("test_list")).alias("script")
     )
-    runner = partial(sc.python_runner, options=("-I", "-S"))
+    runner = sc.python_runner(("-I", "-S"))
     ran = sc.run_scripts(scripts, runner, ["problem_id"])
     judged = ev.with_verdict(ran.join(scripts, "problem_id"))
     return judged.select(

@@ -221,7 +221,7 @@ def test_run_scripts(spark):
         6: "print('Test 1: FAIL - é')",
     }
     df = spark.createDataFrame(list(scripts.items()), "problem_id long, script string")
-    ran = sc.run_scripts(df, sc.python_runner, ["problem_id"], seconds=4, partitions=6)
+    ran = sc.run_scripts(df, sc.python_runner(), ["problem_id"], seconds=4, partitions=6)
     rows = {r["problem_id"]: r for r in ev.with_verdict(ran.join(df, "problem_id")).collect()}
     assert {k: r["passed"] for k, r in rows.items()} == {1: True, 2: False, 3: False, 4: False, 5: True, 6: False}
     assert rows[3]["timed_out"] and rows[3]["test_outputs"] == ["TIMEOUT"]
