@@ -94,6 +94,21 @@ def run_metadata(
     )
 
 
+def metadata_records(table: DataFrame) -> DataFrame:
+    """``run_metadata`` rows in the nested form they are stored in.
+
+    ``timestamp`` and ``results_directory`` stand beside the settings where they are given.
+    """
+    counts = ["total_problems_loaded", "problems_to_process"]
+    beside = ["timestamp", "results_directory"]
+    settings = [c for c in table.columns if c not in counts + beside]
+    return table.select(
+        *[c for c in beside if c in table.columns],
+        F.struct(*settings).alias("run_config"),
+        F.struct(*counts).alias("dataset_info"),
+    )
+
+
 def ledger_summary(runs: DataFrame) -> DataFrame:
     """Runs of the ledger that succeeded and failed."""
     return runs.agg(

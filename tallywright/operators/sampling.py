@@ -47,13 +47,15 @@ def stratified_mix(
     # three readings and not to others, which would stop them from sharing exchanges.
     key = F.coalesce(sample_key(F.col(id_col), seed), F.lit(""))
     keyed = df.where(F.col(id_col).isNotNull()).withColumn("_key", key)
+    # Classes no mix names only add to the number of rows, so they are counted together.
+    named = sorted({c for shares in mixes.values() for c in shares})
     prefixed = keyed.select(
-        F.col(class_col).alias("_class"),
+        F.when(F.col(class_col).isin(named), F.col(class_col)).alias("_class"),
         F.substring("_key", 1, PREFIX_DIGITS).alias("_prefix"),
         "_key",
     )
 
-    # At most 65,536 counts per class pass through these windows.
+    # At most 65,536 counts per named class, and as many for the rest, pass these windows.
     counts = prefixed.groupBy("_class", "_prefix").agg(F.count(F.lit(1)).alias("_n"))
     in_class = Window.partitionBy("_class")
     running = counts.select(

@@ -126,6 +126,16 @@ def test_csv_keeps_missing_verdicts(spark, tmp_path):
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, df.collect()))
 
 
+def test_csv_of_other_writers(spark, tmp_path):
+    put(tmp_path / "pivot.csv", "item,run_01_pass,run_02_pass\n601,True,\n602,False,True\n")
+    rows = rd.read_pivot(spark, str(tmp_path / "pivot.csv"), ["01", "02"], "item").collect()
+    assert sorted(map(tuple, rows)) == [(601, True, None), (602, False, True)]
+    put(tmp_path / "rates.csv", "item,pass@1,pass@5,pass@10\n601,0.08333333333333337,0.41666666666666663,1.0\n")
+    assert tuple(rd.read_pass_at_k(spark, str(tmp_path / "rates.csv"), id_field="item").first()) == (
+        601, 0.08333333333333337, 0.41666666666666663, 1.0,
+    )
+
+
 def test_train_rows_jsonl_with_escapes(spark, tmp_path):
     put(tmp_path / "t.jsonl", json.dumps({"instruction": "é\n1", "output": 'x = "y"'}) + "\n")
     assert [tuple(r) for r in rd.read_train_rows(spark, str(tmp_path / "t.jsonl")).collect()] == [("é\n1", 'x = "y"')]
@@ -192,6 +202,21 @@ def test_run_metadata(spark):
     assert got == {1: (90, 90), 2: (90, 90), 3: (90, 20), 4: (90, 90), 5: (90, 4), 6: (0, 0)}
 
 
+def test_metadata_records(spark, tmp_path):
+    runs = spark.createDataFrame(
+        [("20250101", "test", True, 7, "m", "results_20250101")],
+        "timestamp string, split string, demo_mode boolean, max_problems long, model_path string, results_directory string",
+    )
+    table = rs.run_metadata(runs, spark.range(9).select(F.lit("test").alias("split")))
+    wr.write_table(rs.metadata_records(table).coalesce(1), str(tmp_path / "m"), "json")
+    stored = json.loads(next((tmp_path / "m").glob("part-*")).read_text())
+    assert stored == {
+        "timestamp": "20250101", "results_directory": "results_20250101",
+        "run_config": {"split": "test", "demo_mode": True, "max_problems": 7, "model_path": "m"},
+        "dataset_info": {"total_problems_loaded": 9, "problems_to_process": 4},
+    }
+
+
 def test_head_problems(spark):
     df = spark.range(10).withColumnRenamed("id", "task_id").orderBy(F.desc("task_id"))
     assert [r["task_id"] for r in rs.head_problems(df, 3).collect()] == [0, 1, 2]
