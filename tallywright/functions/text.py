@@ -118,35 +118,34 @@ def extract_tagged(text: Column, corrected: bool = False) -> Column:
     indentation and looks for the end mark only after the code's first line, so that a
     function's own ``def`` line does not end it.
     """
-    after = after_first(text, fv.OPEN_TAG)
-    body = strip_ws(after)
     ends = "|".join(fv.TAG_ENDS)
-    if corrected:
+
+    def up_to_end(body: Column) -> Column:
+        if not corrected:
+            return F.get(F.split(body, ends, 2), F.lit(0))
         first = F.substring_index(body, "\n", 1)
         rest = F.substr(body, F.length(first) + 1)
-        cut = F.concat(first, F.get(F.split(rest, ends, 2), F.lit(0)))
-    else:
-        cut = F.get(F.split(body, ends, 2), F.lit(0))
-    code = (
-        F.when(~F.contains(text, F.lit(fv.OPEN_TAG)), text)
-        .when(
-            F.contains(after, F.lit(fv.CLOSE_TAG)),
-            strip_ws(F.substring_index(after, fv.CLOSE_TAG, 1)),
+        return F.concat(first, F.get(F.split(rest, ends, 2), F.lit(0)))
+
+    def tagged(after: Column) -> Column:
+        closed = F.contains(after, F.lit(fv.CLOSE_TAG))
+        cut = F.when(closed, F.substring_index(after, fv.CLOSE_TAG, 1)).otherwise(
+            bind(strip_ws(after), up_to_end)
         )
-        .otherwise(strip_ws(cut))
-    )
+        return F.when(after.isNull(), text).otherwise(strip_ws(cut))
+
+    code = bind(F.get(F.split(text, fv.OPEN_TAG, 2), F.lit(1)), tagged)
 
-    def kept(line: Column) -> Column:
-        bare = strip_ws(line) if corrected else line
+    def kept(bare: Column) -> Column:
         wanted = (bare != "") & ~F.contains(bare, F.lit(fv.TAG_DROPPED_TEXT))
         for start in fv.TAG_DROPPED_STARTS:
             wanted = wanted & ~F.startswith(bare, F.lit(start))
         return wanted
 
     lines = F.split(code, "\n")
-    if not corrected:
-        lines = F.transform(lines, strip_ws)
-    return F.array_join(F.filter(lines, kept), "\n")
+    if corrected:
+        return F.array_join(F.filter(lines, lambda line: bind(strip_ws(line), kept)), "\n")
+    return F.array_join(F.filter(F.transform(lines, strip_ws), kept), "\n")
 
 
 def last_assistant(transcript: Column) -> Column:
