@@ -1,21 +1,37 @@
-"""A folder for tables a job stores on its way."""
+"""Tables a job stores on its way, in a folder that the driver and all executors share."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder the session names in ``spark.checkpoint.dir``.
+    """A new path below the folder in ``spark.checkpoint.dir``, else below the session's warehouse.
 
-    Only a local session may do without that setting; it gets a temporary folder.
+    The same rule holds on a cluster and in a local session. What is written there belongs to the
+    application: remove ``tallywright/<application id>`` when it has ended.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.gettempdir()
-    return f"{root.rstrip('/')}/tallywright/{name}-{uuid.uuid4().hex}"
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    app = spark.sparkContext.applicationId
+    return f"{root.rstrip('/')}/tallywright/{app}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows written once to the shared folder and read back, so that lineage ends there.
+
+    Unlike a local checkpoint the files outlive any executor.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, df: DataFrame) -> None:
+    """Deletes the files of a table that ``stored`` made, once nothing reads it any more."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)

@@ -4,6 +4,7 @@ import pytest
 from compare import compare, connect
 
 import __spark_entry__ as contract
+from tallywright.plans import catalog, oracle
 
 QUERIES, SQL = contract.queries(), contract.oracle_sql()
 
@@ -14,7 +15,7 @@ def con(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(SQL)
+    assert set(catalog.queries()) == set(oracle.oracle_sql())
 
 
 def test_entry(spark):
@@ -22,6 +23,6 @@ def test_entry(spark):
     assert list(rows) == ["Easy", "Medium", "Hard"] and sum(rows.values()) > 0
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query(spark, con, sf_dir, name):
     assert compare(spark, con, QUERIES[name], SQL[name], sf_dir) == []
