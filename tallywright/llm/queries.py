@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallywright.llm import html_text, simhash
+from tallywright.llm import html_text, sharding, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,8 +24,20 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def sharded(docs: DataFrame) -> DataFrame:
+    return sharding.assign(docs).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document; counts are at most one apart."""
+    return sharded(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_html_text, op2_simhash)}
+    return {f.__name__: f for f in (op1_html_text, op2_simhash, op3_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
