@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywright.llm import html_text, sharding, simhash
+from tallywright.llm import decontaminate, html_text, mixing, sharding, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,10 +36,93 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded(table(spark, sf_dir, "documents"))
 
 
+DOMAIN_WEIGHTS = {"reference": 3, "web": 1}
+LANG_WEIGHTS = {"en": 4, "de": 2, "fr": 2, "es": 2}
+
+
+def domain() -> Column:
+    """The tables name no domain; half of the sources, by hash, count as reference works."""
+    half = F.substring(F.md5(F.coalesce("source", F.lit(""))), 1, 1) < "8"
+    return F.when(half, "reference").otherwise("web")
+
+
+def mixed(docs: DataFrame) -> DataFrame:
+    return mixing.mix(
+        docs, domain(), F.col("lang"), F.col("source"), (DOMAIN_WEIGHTS, LANG_WEIGHTS, {})
+    )
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of a mix of three quarters of all tokens, by epoch."""
+    docs = table(spark, sf_dir, "documents")
+    return mixed(docs).select(
+        "doc_id", domain().alias("domain"), "lang", "source", F.col("__epoch").alias("epoch")
+    )
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, and which."""
+    return decontaminate.contaminated(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_html_text, op2_simhash, op3_sharding)}
+    return {f.__name__: f for f in (op1_html_text, op2_simhash, op3_sharding, op4_mixing, op10_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL for the queries it can express; the others are tested against brute force."""
-    return {}
+    return {"op4_mixing": OP4}
+
+
+def _level(name: str, keys: str, parent: str, weights: dict[str, int]) -> str:
+    """CTEs that split the budget of ``parent`` (keys, budget) among the nodes of a level."""
+    last = keys.split(", ")[-1]
+    up = ", ".join(keys.split(", ")[:-1]) or "1"
+    weight = "1" if not weights else "case " + last + " " + " ".join(
+        f"when '{k}' then {v}" for k, v in weights.items()
+    ) + " else 1 end"
+    join = f"join {parent} using ({up})" if up != "1" else f"cross join {parent}"
+    over = "" if up == "1" else f"partition by {up} "
+    return f"""
+{name}_caps as (
+  select {keys}, sum(tokens * 2) as cap, {weight} as w from leaves group by {keys}),
+{name}_ranked as (
+  select *, coalesce(sum(cap) over (o rows between unbounded preceding and 1 preceding), 0) as taken,
+    sum(w) over (o rows between current row and unbounded following) as share
+  from {name}_caps {join}
+  window o as ({over}order by cap::double / w::double, {last})),
+{name}_full as (select *, cap * share <= w * (budget - taken) as filled from {name}_ranked),
+{name} as (
+  select {keys}, case when filled then cap else
+      w * (budget - coalesce(sum(cap) filter (filled) over ({over}), 0))
+      // (sum(w) filter (not filled) over ({over})) end as budget
+  from {name}_full)"""
+
+
+OP4 = f"""
+with d as (
+  select doc_id, lang, source,
+    case when substr(md5(coalesce(source, '')), 1, 1) < '8' then 'reference' else 'web' end as domain,
+    coalesce(lang, '') as l, coalesce(source, '') as s,
+    len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) as n
+  from documents),
+leaves as (select domain, l, s, sum(n) as tokens from d group by domain, l, s),
+everything as (select sum(tokens) * 3 // 4 as budget from leaves),
+{_level("domains", "domain", "everything", DOMAIN_WEIGHTS)},
+{_level("langs", "domain, l", "domains", LANG_WEIGHTS)},
+{_level("sources", "domain, l, s", "langs", {})},
+planned as (
+  select domain, l, s, case when tokens = 0 then 0 else budget // tokens end as whole,
+    case when tokens = 0 then 0 else budget % tokens end as rest
+  from leaves join sources using (domain, l, s)),
+placed as (
+  select *, sum(n) over (partition by domain, l, s
+    order by md5('23:' || whole || ':' || coalesce(doc_id::varchar, ''))) as upto
+  from d join planned using (domain, l, s)),
+copies as (
+  select *, whole + (whole < 2 and upto <= rest)::int as copies from placed)
+select doc_id, domain, lang, source, epoch::int as epoch
+from copies, unnest(range(copies::bigint)) as t(epoch)
+"""
