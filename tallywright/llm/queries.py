@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywright.llm import decontaminate, html_text, mixing, sharding, simhash
+from tallywright.llm import decontaminate, html_text, langid, mixing, sharding, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,20 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded(table(spark, sf_dir, "documents"))
 
 
+def fold(count: int) -> Column:
+    """crc32 of the id as text, by ``count``; a NULL id counts as ''."""
+    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(count))
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learnt from three of four folds."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.where(fold(4) != 2))
+    return langid.predict(docs, model).select(
+        "doc_id", (fold(4) == 2).alias("held_out"), "lang_pred", "score"
+    )
+
+
 DOMAIN_WEIGHTS = {"reference": 3, "web": 1}
 LANG_WEIGHTS = {"en": 4, "de": 2, "fr": 2, "es": 2}
 
@@ -68,7 +82,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_html_text, op2_simhash, op3_sharding, op4_mixing, op10_decontaminate)}
+    return {f.__name__: f for f in (op1_html_text, op2_simhash, op3_sharding, op4_mixing, op7_language, op10_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:

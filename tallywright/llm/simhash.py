@@ -138,3 +138,39 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wid
     return marked.join(groups, "fp").select(
         id, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def deduplicate(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 3) -> DataFrame:
+    """One row of each group: that with the smallest id; all columns are kept.
+
+    Repeats of that very row (same id and fingerprint) leave one, the first by its columns as JSON.
+    A group whose ids are all NULL keeps one row in the same way. Names beginning with two
+    underscores are taken.
+
+    What goes is found from ids and fingerprints alone; texts are written once with their
+    fingerprint and meet only the keys of the rows that go.
+    """
+    marked = stored(with_fingerprint(docs, text, width, "__fp"), "marked")
+    narrow = marked.select(F.col(id).alias("__id"), F.col("__fp").alias("fp"))
+    roots = fingerprint_groups(narrow)
+    keys = narrow.groupBy("__id", "fp").agg(F.count(F.lit(1)).alias("times"))
+    grouped = stored(keys.join(roots, "fp"), "grouped")
+    # NULL ids come last.
+    first = grouped.groupBy("root").agg(
+        F.min(F.struct(F.col("__id").isNull().alias("no"), "__id", "fp")).alias("first")
+    )
+    placed = grouped.join(first, "root")
+    stays = F.col("__id").eqNullSafe(F.col("first.__id")) & (F.col("fp") == F.col("first.fp"))
+    gone = placed.where(~stays).select(F.col("__id").alias("__gone"), F.col("fp").alias("__gone_fp"))
+    repeated = placed.where(stays & (F.col("times") > 1)).select(
+        F.col("__id").alias("__gone"), F.col("fp").alias("__gone_fp")
+    )
+    same = F.col(id).eqNullSafe(F.col("__gone")) & (F.col("__fp") == F.col("__gone_fp"))
+    kept = marked.join(gone.unionByName(repeated), same, "left_anti")
+    names = docs.columns
+    one = (
+        marked.join(repeated, same, "left_semi")
+        .groupBy(F.col(id).alias("__id"), "__fp")
+        .agg(F.min_by(F.struct(*names), F.to_json(F.struct(*names))).alias("row"))
+    )
+    return kept.select(*names).unionByName(one.select(*(F.col("row")[n].alias(n) for n in names)))
