@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywright.llm import decontaminate, html_text, langid, mixing, sharding, simhash
+from tallywright.llm import decontaminate, html_text, langid, mixing, sharding, simhash, vectors
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,6 +74,11 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and groups of all embeddings at a cosine of 0.9."""
+    return vectors.cosine_groups(table(spark, sf_dir, "embeddings"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds a benchmark item, and which."""
     return decontaminate.contaminated(
@@ -82,7 +87,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_html_text, op2_simhash, op3_sharding, op4_mixing, op7_language, op10_decontaminate)}
+    return {f.__name__: f for f in (op1_html_text, op2_simhash, op3_sharding, op4_mixing, op7_language, op9_vectors, op10_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
