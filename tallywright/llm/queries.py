@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywright.llm import decontaminate, html_text, langid, mixing, sharding, simhash, vectors
+from tallywright.llm import decontaminate, html_text, langid, mixing, sharding, simhash, toxicity, vectors
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,16 @@ def fold(count: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(count))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from the labels of four of five folds."""
+    docs = table(spark, sf_dir, "documents")
+    training = docs.where(fold(5) != 0)
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.fit(training, training.select("doc_id", "text").join(labels, "doc_id"))
+    scores = toxicity.score(docs, model)
+    return scores.select("doc_id", (fold(5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learnt from three of four folds."""
     docs = table(spark, sf_dir, "documents")
@@ -87,7 +97,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_html_text, op2_simhash, op3_sharding, op4_mixing, op7_language, op9_vectors, op10_decontaminate)}
+    return {f.__name__: f for f in (op1_html_text, op2_simhash, op3_sharding, op4_mixing, op5_toxicity, op7_language, op9_vectors, op10_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
