@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywright.llm import decontaminate, html_text, langid, mixing, sharding, simhash, toxicity, vectors
+from tallywright.llm import decontaminate, html_text, katz, langid, mixing, sharding, simhash, toxicity, vectors
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +51,12 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select("doc_id", (fold(5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op6_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document under a model of six of seven folds."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return katz.score(docs.withColumn("held", fold(7) == 2), "held")
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learnt from three of four folds."""
     docs = table(spark, sf_dir, "documents")
@@ -97,7 +103,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_html_text, op2_simhash, op3_sharding, op4_mixing, op5_toxicity, op7_language, op9_vectors, op10_decontaminate)}
+    return {f.__name__: f for f in (op1_html_text, op2_simhash, op3_sharding, op4_mixing, op5_toxicity, op6_katz, op7_language, op9_vectors, op10_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
