@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywright.llm import decontaminate, html_text, katz, langid, mixing, sharding, simhash, toxicity, vectors
+from tallywright.llm import decontaminate, html_text, katz, langid, mixing, pii, sharding, simhash, toxicity, vectors
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +66,22 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: the patterns' counts and digest, and all spans."""
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.fit(docs))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def of(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    counts = [of(kind) for kind in pii.KINDS]
+    return found.select(
+        "doc_id", *counts, F.sha2(pii.written(base), 256).alias("base_sha256"),
+        pii.written(F.col("spans")).alias("spans"),
+    )
+
+
 DOMAIN_WEIGHTS = {"reference": 3, "web": 1}
 LANG_WEIGHTS = {"en": 4, "de": 2, "fr": 2, "es": 2}
 
@@ -103,7 +119,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_html_text, op2_simhash, op3_sharding, op4_mixing, op5_toxicity, op6_katz, op7_language, op9_vectors, op10_decontaminate)}
+    return {f.__name__: f for f in (op1_html_text, op2_simhash, op3_sharding, op4_mixing, op5_toxicity, op6_katz, op7_language, op8_pii, op9_vectors, op10_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
