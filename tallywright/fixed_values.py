@@ -84,5 +84,6 @@ DEMO_PROBLEMS = 4
 # --- splits and file names -------------------------------------------------------------------
 SPLITS = ["train", "test", "validation", "prompt"]
 RESPONSE_SPLITS = ["test", "train", "validation"]
-RESPONSES_NAME = "*results_final_{split}.json"
+RESPONSES_PREFIX = ""
+RESPONSES_NAME = "results_final_{split}.json"
 EVALUATIONS_NAME = "evaluations/evaluation_results_all.json"

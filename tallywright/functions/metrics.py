@@ -7,29 +7,22 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
 
-# Up to this many passes the product is taken factor by factor, which fixes the last digit.
-# Beyond it the same value comes from its k-factor form, so the work never grows with a hot
-# problem's attempts.
-FACTOR_BY_FACTOR_UP_TO = 1000
-
 
 def pass_at_k_col(n: Column, c: Column, k: int, strict: bool = False) -> Column:
     """Unbiased chance that one of ``k`` attempts passes, given ``c`` passes in ``n``.
 
     1.0 when fewer than ``k`` attempts failed, also for ``n < k``; with ``strict`` the
     latter gives NULL. No attempts at all give NULL.
+
+    A product of ``k`` factors at every size, so a hot problem's attempts cost nothing more.
     """
     n, c = n.cast("bigint"), c.cast("bigint")
-    ascending = F.aggregate(
-        F.sequence(n - c + 1, n), F.lit(1.0), lambda acc, i: acc * (1.0 - F.lit(float(k)) / i)
-    )
     k_factors = F.lit(1.0)
     for j in range(k):
         k_factors = k_factors * ((n - c - j).cast("double") / (n - j))
     value = (
         F.when(n - c < k, F.lit(1.0))
         .when(c == 0, F.lit(0.0))
-        .when(c <= FACTOR_BY_FACTOR_UP_TO, 1.0 - ascending)
         .otherwise(1.0 - k_factors)
     )
     return F.when(n >= (k if strict else 1), value)

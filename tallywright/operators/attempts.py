@@ -32,13 +32,12 @@ def with_id_check(evaluations: DataFrame) -> DataFrame:
 
 
 def by_run_and_problem(attempts: DataFrame) -> DataFrame:
-    """Global order by run, then problem: a range-partitioned sort.
+    """Global order by run, then problem, then the row's other columns: a range-partitioned sort.
 
-    Equal pairs stay in the order they came in, which also lets Spark split a pair with very
-    many rows over several partitions.
+    The key is a function of the row alone, so a task that is run again sorts it to the same place.
     """
-    numbered = attempts.withColumn("_came", F.monotonically_increasing_id())
-    return numbered.orderBy("run_id", "problem_id", "_came").drop("_came")
+    others = [c for c in attempts.columns if c not in ("run_id", "problem_id")]
+    return attempts.orderBy("run_id", "problem_id", *others)
 
 
 def duplicate_attempts(attempts: DataFrame) -> DataFrame:

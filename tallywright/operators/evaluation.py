@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
 from ..functions.metrics import ratio
-from ..functions.text import extract_code, response_content, strip_ws, test_script
+from ..functions.text import bind, extract_code, response_content, strip_ws, test_script
 from ..functions.verdict import all_passed, final_outputs, outcome_lines, parse_outcome
 from .totals import grouped_with_total
 
@@ -42,22 +42,21 @@ def with_verdict(runs: DataFrame, printed_lines_only: bool = False) -> DataFrame
         script = F.col("script")
     else:
         script = test_script(F.col("generated_code"), F.col("test_cases"))
-    outputs = final_outputs(
-        F.col("_lines"),
-        F.col("_stderr"),
-        F.lit(0) if printed_lines_only else F.coalesce(F.col("returncode"), F.lit(0)),
-        timed_out,
-        F.col("runner_error"),
-        script,
+    returncode = F.lit(0) if printed_lines_only else F.coalesce(F.col("returncode"), F.lit(0))
+    # Bound, so that each text is taken apart once, also in a filter on the verdict.
+    texts = F.struct(
+        outcome_lines(F.col("stdout")).alias("lines"),
+        strip_ws(F.coalesce(F.col("stderr"), F.lit(""))).alias("stderr"),
+    )
+    outputs = bind(
+        texts,
+        lambda t: final_outputs(
+            t["lines"], t["stderr"], returncode, timed_out, F.col("runner_error"), script
+        ),
     )
-    # In steps, so that each text is taken apart once per row.
     passed = all_passed(F.col("test_outputs"), if_none=printed_lines_only)
-    return (
-        runs.withColumn("_lines", outcome_lines(F.col("stdout")))
-        .withColumn("_stderr", strip_ws(F.coalesce(F.col("stderr"), F.lit(""))))
-        .withColumn("test_outputs", outputs)
-        .withColumn("passed", ~timed_out & F.col("runner_error").isNull() & passed)
-        .drop("_lines", "_stderr")
+    return runs.withColumn("test_outputs", outputs).withColumn(
+        "passed", ~timed_out & F.col("runner_error").isNull() & passed
     )
 
 
@@ -69,8 +68,8 @@ def evaluate(
 ) -> DataFrame:
     """Evaluations of responses whose scripts were run elsewhere.
 
-    ``keys`` identify an attempt on both sides; ``keep`` names further columns of the
-    responses to carry along, such as the split. A response without code is a failed
+    ``keys`` identify an attempt on both sides; a second recorded run of one raises. ``keep`` names
+    further columns of the responses to carry along, such as the split. A response without code is a failed
     evaluation without outputs; a script without a recorded run is a runner error.
     """
     coded = with_generated_code(
@@ -85,7 +84,7 @@ def evaluate(
         )
     ).drop("model_response")
     joined = coded.join(
-        script_runs.select(*keys, *RUN_FIELDS).withColumn("_found", F.lit(True)), keys, "left"
+        _one_run(script_runs.select(*keys, *RUN_FIELDS), keys), keys, "left"
     ).withColumn(
         "runner_error",
         F.when(F.col("_found").isNull(), F.lit(NOT_RUN)).otherwise(F.col("runner_error")),
@@ -96,6 +95,16 @@ def evaluate(
     )
 
 
+def _one_run(runs: DataFrame, keys: list[str]) -> DataFrame:
+    """The recorded run of each key; a window on the join's keys costs no exchange of its own."""
+    named = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
+    twice = F.raise_error(F.concat(F.lit("more than one recorded run of "), named)).cast("boolean")
+    several = F.count(F.lit(1)).over(Window.partitionBy(*keys)) > 1
+    return runs.withColumn("_several", several).withColumn(
+        "_found", F.when(F.col("_several"), twice).otherwise(F.lit(True))
+    ).drop("_several")
+
+
 def without_code_failed(judged: DataFrame) -> DataFrame:
     """Rows without code did not pass and have no outputs; adds ``error``."""
     empty = F.col("generated_code") == ""
@@ -131,6 +140,11 @@ def explode_tests(evaluations: DataFrame, keep: list[str] = ["problem_id"]) -> D
     )
 
 
+def _passed() -> Column:
+    """No verdict counts as not passed."""
+    return F.coalesce(F.col("passed"), F.lit(False))
+
+
 def evaluation_stats(
     evaluations: DataFrame, by: list[str] = [], total: bool = True
 ) -> DataFrame:
@@ -138,9 +152,9 @@ def evaluation_stats(
     no_code = F.col("error").eqNullSafe(F.lit(fv.NO_CODE))
     measures = {
         "total_problems": F.count(F.lit(1)),
-        "passed": F.count_if(F.col("passed")),
+        "passed": F.count_if(_passed()),
         "no_code_generated": F.count_if(no_code),
-        "test_failures": F.count_if(~F.col("passed") & ~no_code),
+        "test_failures": F.count_if(~_passed() & ~no_code),
     }
     return grouped_with_total(evaluations, measures, by, total).select(
         *by, "is_total", "total_problems", "passed",
@@ -152,14 +166,14 @@ def evaluation_stats(
 
 def ids_where(evaluations: DataFrame, passed: bool | None = None, keep: list[str] = []) -> DataFrame:
     """Ids of passed, failed or all evaluations, as rows (a list would grow with the data)."""
-    rows = evaluations if passed is None else evaluations.where(F.col("passed") == passed)
+    rows = evaluations if passed is None else evaluations.where(_passed() == passed)
     return rows.select(*keep, "problem_id")
 
 
 def failed_preview(evaluations: DataFrame, n: int = 3, order: list[str] = ["problem_id"]) -> DataFrame:
     """The first ``n`` failed evaluations with their error or outputs."""
     shown = F.coalesce(F.col("error"), F.array_join("test_outputs", "\n"))
-    first = evaluations.where(~F.col("passed")).orderBy(*order).limit(n)
+    first = evaluations.where(~_passed()).orderBy(*order).limit(n)
     others = [c for c in order if c != "problem_id"]
     return first.select("problem_id", *others, shown.alias("details"))
 

@@ -8,8 +8,6 @@ from pyspark.sql import types as T
 
 from ..functions.text import cut_text
 
-INLINE_IDS = 1000  # longer lists are joined instead of written into the plan
-
 
 def with_id(df: DataFrame, wanted: str | int, id_col: str = "problem_id") -> DataFrame:
     """Rows of one id, which may be given as text; text that is no number raises."""
@@ -20,14 +18,12 @@ def ids_above(df: DataFrame, lower: int, id_col: str = "problem_id") -> DataFram
     return df.where(F.col(id_col) > lower)
 
 
-def ids_in(df: DataFrame, ids: list[int] | DataFrame, id_col: str = "problem_id") -> DataFrame:
-    """Rows whose id is listed: pushed to the scan for short lists, else a semi join."""
+def ids_in(df: DataFrame, ids: list | DataFrame, id_col: str = "problem_id") -> DataFrame:
+    """Rows whose id is listed. A list is pushed to the scan; a table, for ids that come from
+    data or are very many, is a semi join on its first column. Ids may be numbers or texts."""
     if isinstance(ids, DataFrame):
         return df.join(ids.select(F.col(ids.columns[0]).alias(id_col)), id_col, "left_semi")
-    if len(ids) <= INLINE_IDS:
-        return df.where(F.col(id_col).isin(ids))
-    table = df.sparkSession.createDataFrame([(int(i),) for i in ids], f"{id_col} bigint")
-    return df.join(table, id_col, "left_semi")
+    return df.where(F.col(id_col).isin(ids))
 
 
 def splits_for_run(df: DataFrame, fine_tuned: bool = False) -> DataFrame:

@@ -66,20 +66,13 @@ def response_stats(
     )
 
 
-def run_metadata(
-    runs: DataFrame, problems: DataFrame, splits: list[str] = fv.SPLITS
-) -> DataFrame:
+def run_metadata(runs: DataFrame, problems: DataFrame) -> DataFrame:
     """Run settings with the problems loaded for their split and those to process.
 
     ``runs`` has ``split``, ``demo_mode``, ``max_problems`` (0 or NULL: no limit) and any
-    further settings, which are kept. The broadcast table has one row per name in ``splits``
-    at most.
+    further settings, which are kept. Every split there is counts; the counts are one row a split.
     """
-    loaded = F.broadcast(
-        problems.where(F.col("split").isin(splits))
-        .groupBy("split")
-        .agg(F.count(F.lit(1)).alias("total_problems_loaded"))
-    )
+    loaded = problems.groupBy("split").agg(F.count(F.lit(1)).alias("total_problems_loaded"))
     limit = F.nullif(F.col("max_problems"), F.lit(0))
     count = F.coalesce(F.col("total_problems_loaded"), F.lit(0))
     return (

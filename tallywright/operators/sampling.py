@@ -16,9 +16,14 @@ from .. import fixed_values as fv
 PREFIX_DIGITS = 4  # 65,536 prefixes per class
 
 
-def sample_key(row_id: Column, seed: int) -> Column:
-    """Random-looking key that is unique per id: a digest, then the id itself."""
-    text = row_id.cast("string")
+def sample_key(row_id: Column, seed: int, ties: list[str] = []) -> Column:
+    """Random-looking key: a digest, then the id itself, and ``ties`` to tell rows of one id apart.
+
+    A NULL id is a key like any other.
+    """
+    text = F.coalesce(row_id.cast("string"), F.lit(""))
+    if ties:
+        text = F.concat_ws(":", text, F.to_json(F.struct(*ties)))
     return F.concat(F.md5(F.concat(text, F.lit(f":{seed}"))), F.lit(":"), text)
 
 
@@ -33,20 +38,23 @@ def stratified_mix(
     seed: int = fv.SAMPLE_SEED,
     id_col: str = "problem_id",
     class_col: str = "difficulty",
+    ties: list[str] = [],
 ) -> DataFrame:
     """All mixes at once, tagged by ``dataset``.
 
     Of each class a mix takes ``min(int(rows * share), rows of the class)`` rows, where
-    ``rows`` counts the whole input. Ids must be there and unique. The three readings of ``df`` share
-    its exchanges; store ``df`` first when it is costly and has none.
+    ``rows`` counts the whole input, NULL and repeated ids included. Rows of one id are told apart
+    by the columns in ``ties``; where a cut falls between rows that still are equal, the query
+    raises. The three readings of ``df`` share its exchanges; store ``df`` first when it is costly
+    and has none.
 
     Nothing but counts and the rows at a cut is shuffled, and the broadcast tables hold at
     most one row per mix and class, whatever the input.
     """
     # Ids and keys that cannot be NULL keep the optimizer from adding a filter to some of the
     # three readings and not to others, which would stop them from sharing exchanges.
-    key = F.coalesce(sample_key(F.col(id_col), seed), F.lit(""))
-    keyed = df.where(F.col(id_col).isNotNull()).withColumn("_key", key)
+    key = F.coalesce(sample_key(F.col(id_col), seed, ties), F.lit(""))
+    keyed = df.withColumn("_key", key)
     # Classes no mix names only add to the number of rows, so they are counted together.
     named = sorted({c for shares in mixes.values() for c in shares})
     prefixed = keyed.select(
@@ -80,8 +88,14 @@ def stratified_mix(
     cuts = (
         prefixed.join(F.broadcast(at_cut), ["_class", "_prefix"])
         .withColumn("_place", F.row_number().over(at_prefix))
+        .withColumn("_with_equals", F.count(F.lit(1)).over(at_prefix))
         .where(F.col("_place") == F.col("_rank"))
-        .select("dataset", "_class", F.col("_key").alias("_last"))
+        .select(
+            "dataset", "_class",
+            F.when(F.col("_with_equals") == F.col("_rank"), F.col("_key"))
+            .otherwise(F.raise_error(F.concat(F.lit("equal rows at a cut, name columns in ties: "), "_key")))
+            .alias("_last"),
+        )
     )
     return keyed.join(
         F.broadcast(cuts),

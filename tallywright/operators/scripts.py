@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
 
@@ -59,7 +60,8 @@ def run_scripts(
     """
     narrow = scripts.select(*keys, "script")
     count = partitions or int(scripts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = narrow.repartition(count, *keys)
+    # The script's hash is part of the key, so one problem's many scripts reach all tasks.
+    spread = narrow.repartition(count, *keys, F.xxhash64("script"))
     fields = ", ".join(f"{k} {narrow.schema[k].dataType.simpleString()}" for k in keys)
 
     def outcome(script: str) -> tuple:

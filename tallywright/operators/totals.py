@@ -11,7 +11,8 @@ def grouped_with_total(
 ) -> DataFrame:
     """Additive ``measures`` per ``by``, plus one row over everything (``is_total``).
 
-    The total is added up from the groups, so the input is read and shuffled once.
+    The total is added up from the groups, so the input is read and shuffled once; it is there
+    also for no input, with zeros.
     """
     named = [column.alias(name) for name, column in measures.items()]
     if not by:
@@ -19,8 +20,8 @@ def grouped_with_total(
     groups = df.groupBy(*by).agg(*named)
     if not total:
         return groups.withColumn("is_total", F.lit(False))
-    keys = [F.col(c) for c in by]
-    return groups.groupingSets([keys, []], *keys).agg(
-        *[F.sum(name).alias(name) for name in measures],
-        (F.grouping_id() > 0).alias("is_total"),
+    # A global aggregate has a row for no groups too; a grouping set has not. Both read one exchange.
+    overall = groups.agg(*[F.coalesce(F.sum(name), F.lit(0)).cast("bigint").alias(name) for name in measures])
+    return groups.withColumn("is_total", F.lit(False)).unionByName(
+        overall.withColumn("is_total", F.lit(True)), allowMissingColumns=True
     )

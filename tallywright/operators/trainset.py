@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from .. import fixed_values as fv
 from ..functions.text import instruction_text
 from ..functions.verdict import pass_count
+from ..sources.scratch import stored
 
 POSITION = ["position"]
+MOST_BROADCAST = 200_000  # rows of ids, a run, a position and dataset names
 
 
 def best_attempt(evaluations: DataFrame, position: list[str] = POSITION) -> DataFrame:
@@ -52,20 +54,25 @@ def train_rows(
     With ``code`` the output is the reference solution and the instruction the full question;
     without it they are the best attempt's own code and the bare problem statement.
 
-    ``samples`` holds (dataset, problem_id), each pair once. The texts of one attempt per
-    sampled problem are fetched once and only at the end given to each of its datasets.
+    ``samples`` holds (dataset, problem_id), each pair once. The best attempts of the sampled
+    problems, without texts, are stored and counted first. Up to ``MOST_BROADCAST`` of them are
+    sent to the texts, which then are not shuffled; more are joined by (problem, run, position),
+    which spreads a hot problem. Only the texts that the rows are made of are read.
     """
     datasets = samples.groupBy("problem_id").agg(F.collect_set("dataset").alias("_datasets"))
+    keys = ["problem_id", "run_id", *position]
     best = best_attempt(evaluations, position).drop("score").join(datasets, "problem_id")
-    # The key includes run and position, so a problem with very many attempts is spread out.
-    # One row per problem is kept should a position occur twice; the joins below are on the
-    # same key, so this costs no exchange of its own.
-    parts = ["problem_statement", "test_cases", "generated_code"]
+    best = stored(best.select(*[F.col(k).alias(f"_{k}") for k in keys], "_datasets"), "best-attempts")
+    if best.count() <= MOST_BROADCAST:
+        best = F.broadcast(best)
+    parts = ["problem_statement", "generated_code" if code is None else "test_cases"]
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    # One row per problem is kept should a position occur twice; its hash decides, not its texts.
     rows = (
-        evaluations.select("problem_id", "run_id", *position, *parts)
-        .join(best, ["problem_id", "run_id", *position])
+        evaluations.select(*keys, *parts)
+        .join(best, same)
         .groupBy("problem_id")
-        .agg(F.min(F.struct(*parts, "_datasets")).alias("_first"))
+        .agg(F.min_by(F.struct(*parts, "_datasets"), F.xxhash64(*parts)).alias("_first"))
         .select("problem_id", "_first.*")
     )
     if code is None:

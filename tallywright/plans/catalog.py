@@ -278,19 +278,15 @@ def mix_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def shuffled_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    balanced = {"Balanced": fv.MIXES["Balanced"]}
-    sample = sm.stratified_mix(_classified(spark, sf_dir).drop("n", "c"), balanced)
-    return sm.shuffle_rows(sample).select("dataset", "problem_id", "difficulty", "shuffle_key")
+    return sm.shuffle_rows(_samples(spark, sf_dir)).select("dataset", "problem_id", "difficulty", "shuffle_key")
 
 
 @_query
 def sample_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One mix stored as csv and read back."""
+    """All mixes stored as csv, a folder each, and read back."""
     path = scratch_path(spark, "sample-csv")
-    easy = {"Easy-heavy": fv.MIXES["Easy-heavy"]}
-    sample = sm.stratified_mix(_classified(spark, sf_dir).drop("n", "c"), easy)
-    wr.write_table(sample.drop("dataset"), path, "csv")
-    return rd.read_sample(spark, path)
+    wr.write_table(_samples(spark, sf_dir), path, "csv", ["dataset"])
+    return rd.read_sample(spark, path, dataset=True)
 
 
 # --- best attempts and training rows ---------------------------------------------------------
@@ -357,10 +353,11 @@ def train_rows_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def train_rows_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Training rows stored as JSON lines and read back."""
+    """Training rows stored as JSON lines, a folder for each dataset, and read back."""
     path = scratch_path(spark, "train-jsonl")
-    wr.write_table(train_rows(spark, sf_dir).select("instruction", "output"), path, "json")
-    return rd.read_train_rows(spark, path)
+    rows = train_rows(spark, sf_dir).select("dataset", "instruction", "output")
+    wr.write_table(rows, path, "json", ["dataset"])
+    return rd.read_train_rows(spark, path, dataset=True)
 
 
 # --- text ------------------------------------------------------------------------------------
@@ -612,7 +609,7 @@ def _store_responses(spark: SparkSession, sf_dir: str) -> str:
     base = scratch_path(spark, "results")
     rows = vw.responses(spark, sf_dir)
     for split in fv.RESPONSE_SPLITS:
-        name = fv.RESPONSES_NAME.replace("*", "").format(split=split)
+        name = fv.RESPONSES_NAME.format(split=split)
         wr.write_json_arrays(
             rows.where(F.col("split") == split).drop("split", "run_id"), f"{base}/{name}"
         )
@@ -636,7 +633,7 @@ def stored_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def stored_responses_one_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _store_responses(spark, sf_dir)
-    name = fv.RESPONSES_NAME.replace("*", "").format(split="validation")
+    name = fv.RESPONSES_NAME.format(split="validation")
     return _response_columns(rd.read_response_file(spark, f"{base}/{name}"))
 
 
@@ -687,6 +684,54 @@ def stored_lines_well_formed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def streamed_progress_of_cut_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh arriving line is cut in half; the rest is counted as in a batch."""
+    base = scratch_path(spark, "progress-cut")
+    rows = vw.responses(spark, sf_dir).drop("split")
+    whole = F.to_json(F.struct(*[c for c in rows.columns if c != "run_id"]))
+    half = F.substr(whole, F.lit(1), F.floor(F.length(whole) / 2).cast("int"))
+    rows.select(
+        F.when(F.col("problem_id") % 7 == 0, half).otherwise(whole).alias("value"), "run_id"
+    ).write.partitionBy("run_id").text(f"{base}/records")
+    stream_progress(
+        spark, f"{base}/records", f"{base}/stats", f"{base}/checkpoint", max_files=8
+    ).awaitTermination()
+    return read_progress(spark, f"{base}/stats")
+
+
+@_query
+def stored_array_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every run folder's array files, cut at record starts."""
+    base = _store_run_folders(spark, sf_dir, arrays=True)
+    return at.to_attempts(rd.read_attempts(spark, base))
+
+
+@_query
+def pass_at_k_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """pass@k stored as csv and read back."""
+    path = scratch_path(spark, "pass-at-k-csv")
+    rates = pk.pass_at_k(vw.attempts(spark, sf_dir))
+    wr.write_table(rates.drop("n", "c"), path, "csv")
+    return rd.read_pass_at_k(spark, path)
+
+
+@_query
+def all_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ev.ids_where(vw.evaluations(spark, sf_dir), keep=["run_id"])
+
+
+@_query
+def evaluation_stats_null_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows without a verdict have not passed."""
+    return ev.evaluation_stats(vw.evaluations_some_null(spark, sf_dir)).drop("is_total")
+
+
+@_query
+def failed_ids_null_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ev.ids_where(vw.evaluations_some_null(spark, sf_dir), False, ["run_id"])
+
+
 @_query
 def streamed_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records arriving as files, followed to the end."""

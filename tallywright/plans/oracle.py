@@ -379,6 +379,13 @@ def _class_rows(source: str) -> str:
   left join (select difficulty, count(*) as n from {source} group by 1) using (difficulty)"""
 
 
+# A missing verdict is none that passed.
+_SOME_NULL = """
+some_null as (
+  select * replace (coalesce(case when l_orderkey % 11 <> 0 then passed end, false) as passed)
+  from evaluations)"""
+
+
 def _stats(by: str, source: str) -> str:
     no_code = "error = 'No code generated'"
     return f"""
@@ -541,11 +548,11 @@ def oracle_sql() -> dict[str, str]:
         "shuffled_mix": sql(
             _SAMPLES,
             "select dataset, problem_id, difficulty, md5(problem_id || ':43') || ':' || problem_id "
-            "as shuffle_key from samples where dataset = 'Balanced' order by shuffle_key",
+            "as shuffle_key from samples order by shuffle_key",
         ),
         "sample_csv": sql(
             _SAMPLES,
-            f"select problem_id, {_RATE_COLUMNS}, difficulty from samples where dataset = 'Easy-heavy'",
+            f"select dataset, problem_id, {_RATE_COLUMNS}, difficulty from samples",
         ),
         "passed_test_count": sql(
             _EVALUATIONS,
@@ -588,7 +595,7 @@ def oracle_sql() -> dict[str, str]:
               or o_orderkey not in (select doc_id from documents)""",
         "train_rows_jsonl": sql(
             f"{mixed},{_RESPONSES}",
-            f"select {_instruction('b.problem_statement', 'problem_id', 'b.test_cases')} as instruction, "
+            f"select s.dataset, {_instruction('b.problem_statement', 'problem_id', 'b.test_cases')} as instruction, "
             "r.code as output from samples s join best b using (problem_id) "
             "join responses r using (problem_id)",
         ),
@@ -731,4 +738,16 @@ def oracle_sql() -> dict[str, str]:
             _RESPONSES, "select problem_id, prompt, timestamp from responses where problem_id % 7 <> 0"
         ),
         "streamed_progress": sql(_RESPONSES, _response_stats("run_id,") + " group by run_id"),
+        "streamed_progress_of_cut_lines": sql(
+            _RESPONSES, _response_stats("run_id,") + " where problem_id % 7 <> 0 group by run_id"
+        ),
+        "stored_array_attempts": sql(_EVALUATIONS, "select run_id, problem_id, passed from evaluations"),
+        "pass_at_k_csv": sql(
+            f"{_ATTEMPTS},{_rates('attempts', 'rates')}", f"select problem_id, {_RATE_COLUMNS} from rates"
+        ),
+        "all_ids": sql(_EVALUATIONS, "select run_id, problem_id from evaluations"),
+        "evaluation_stats_null_verdicts": sql(f"{_EVALUATIONS},{_SOME_NULL}", _stats("", "some_null")),
+        "failed_ids_null_verdicts": sql(
+            f"{_EVALUATIONS},{_SOME_NULL}", "select run_id, problem_id from some_null where not passed"
+        ),
     }

@@ -1,8 +1,13 @@
 """Readers. All take a schema from ``schemas``, so no pass over the data is spent on one.
 
-Two layouts of JSON files are read: ``array`` (a file is one JSON array, the form in which
-runs are usually delivered) and ``lines`` (one record per line). An array file is one task;
-convert such files once with ``writers.write_table`` and work on the result.
+Three layouts of JSON files are read: ``array`` (a file is one JSON array indented by two, the form
+in which runs are usually delivered), ``array_in_order`` (the same, with each record's place in its
+file) and ``lines`` (one record per line). ``array`` files are cut at record starts, so that large
+ones are read by many tasks, record by record; an array written in another way is one row. Reading
+in order takes a whole file, of at most 2 GB, into one task.
+
+``position`` is a record's place in its file where it is read in order, else its stored field
+``position`` where it has one, else a hash of its text, by which equal records are the same.
 
 Whatever is no JSON object is left out; a field of the wrong type is NULL and costs neither
 its record nor its file. ``id_field`` is the name the problem id has in the files. Ids are
@@ -12,7 +17,7 @@ whole numbers unless ``numeric_ids=False`` keeps them as text.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,23 +27,41 @@ from .. import schemas
 _CORRUPT = "_corrupt_record"
 
 
+# What stands before a record of an array that is indented by two.
+_RECORD_START = "\n  {"
+
+
+def _decoded(content: Column) -> Column:
+    """Texts are UTF-8; one that is not is taken as Latin-1."""
+    text = content.cast("string")
+    return F.when(F.is_valid_utf8(text), text).otherwise(F.decode(content.cast("binary"), "ISO-8859-1"))
+
+
+def _with_position(texts: DataFrame) -> DataFrame:
+    stored = F.get_json_object("_json", "$.position").try_cast("bigint")
+    return texts.withColumn("position", F.coalesce(stored, F.shiftrightunsigned(F.xxhash64("_json"), 1)))
+
+
 def _json_texts(spark: SparkSession, path: str, layout: str) -> DataFrame:
-    """(_path, position, _json) of every record; ``position`` only in array files."""
+    """(_path, _json, position) of every record."""
+    source = F.col("_metadata.file_path").alias("_path")
     if layout == "lines":
-        return spark.read.text(path).select(
-            F.col("_metadata.file_path").alias("_path"),
-            F.lit(None).cast("int").alias("position"),
-            F.col("value").alias("_json"),
-        )
-    if layout != "array":
-        raise ValueError("layout is 'array' or 'lines'")
-    # Files are UTF-8; one that is not is taken as Latin-1.
-    text = F.col("content").cast("string")
-    decoded = F.when(F.is_valid_utf8(text), text).otherwise(F.decode("content", "ISO-8859-1"))
+        return _with_position(spark.read.text(path).select(source, F.col("value").alias("_json")))
+    if layout == "array":
+        pieces = spark.read.option("lineSep", _RECORD_START).text(path)
+        text = _decoded(F.col("value"))
+        # The first piece is what stands before the first record: a bracket, or a whole array that
+        # is not indented. The others lack their first brace and end with a comma or the bracket.
+        opening = F.startswith(F.ltrim(text), F.lit("["))
+        others = F.array(F.concat(F.lit("{"), F.regexp_replace(text, r"[\s,\]]+$", "")))
+        records = F.when(opening, F.from_json(text, "array<string>")).otherwise(others)
+        return _with_position(pieces.select(source, F.explode(records).alias("_json")))
+    if layout != "array_in_order":
+        raise ValueError("layout is 'array', 'array_in_order' or 'lines'")
     return spark.read.format("binaryFile").load(path).select(
-        F.col("_metadata.file_path").alias("_path"),
-        F.posexplode(F.from_json(decoded, "array<string>")).alias("position", "_json"),
-    )
+        source,
+        F.posexplode(F.from_json(_decoded(F.col("content")), "array<string>")).alias("position", "_json"),
+    ).withColumn("position", F.col("position").cast("bigint"))
 
 
 def _read_json(
@@ -53,6 +76,24 @@ def _read_json(
 
     No matching file gives an empty table, as a run without results is no error.
     """
+    try:
+        texts = _json_texts(spark, path, layout)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        texts = spark.createDataFrame([], "_path string, _json string, position bigint")
+    return parse_records(texts, schema, id_field, numeric_ids).select(
+        "problem_id", *[f.name for f in schema.fields if f.name != id_field], "position", "_path"
+    )
+
+
+def parse_records(
+    texts: DataFrame, schema: T.StructType, id_field: str = "problem_id", numeric_ids: bool = True
+) -> DataFrame:
+    """``texts`` with the fields of the JSON objects in ``_json``; what is no object is left out.
+
+    Batches and streams read records by this rule alike.
+    """
     id_type = "bigint" if numeric_ids else "string"
     typed = [
         T.StructField(f.name, T.StringType() if f.name == id_field else f.dataType)
@@ -65,12 +106,6 @@ def _read_json(
         for f in schema.fields
     ]
     parsed = T.StructType([*typed, T.StructField(_CORRUPT, T.StringType())])
-    try:
-        texts = _json_texts(spark, path, layout)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        texts = spark.createDataFrame([], "_path string, position int, _json string")
     record = F.from_json("_json", parsed, {"columnNameOfCorruptRecord": _CORRUPT})
     corrupt = F.col(f"_record.{_CORRUPT}")
     # Only records with a flaw are looked at a second time.
@@ -78,7 +113,7 @@ def _read_json(
     return (
         texts.withColumn("_record", record)
         .where(F.col("_record").isNotNull() & is_object)
-        .select(*columns, "position", "_path")
+        .select(*columns, *[c for c in texts.columns if c != "_json"])
     )
 
 
@@ -91,7 +126,9 @@ def read_problems(
     column only that partition's files are read.
     """
     problems = spark.read.schema(schemas.PROBLEM_TABLE).format(fmt).load(path)
-    order = F.array_position(F.array(*[F.lit(s) for s in fv.SPLITS]), F.col("split"))
+    place = F.array_position(F.array(*[F.lit(s) for s in fv.SPLITS]), F.col("split"))
+    # Listed splits in their order, then others by name.
+    order = F.struct(place == 0, place, "split")
     chosen = problems.agg(
         F.coalesce(
             F.max(F.when(F.col("split") == split, F.col("split"))), F.min_by("split", order)
@@ -107,10 +144,14 @@ def read_responses(
     id_field: str = "problem_id",
     layout: str = "array",
     numeric_ids: bool = True,
+    prefix: str = fv.RESPONSES_PREFIX,
 ) -> DataFrame:
-    """Response records of one results folder: one split, or all that are there."""
+    """Response records of one results folder: one split, or all that are there.
+
+    Files are found by their exact name; ``prefix`` is what it begins with.
+    """
     splits = [split] if split else fv.RESPONSE_SPLITS
-    name = fv.RESPONSES_NAME.format(split="{" + ",".join(splits) + "}")
+    name = prefix + fv.RESPONSES_NAME.format(split="{" + ",".join(splits) + "}")
     return read_response_file(spark, f"{base}/{name}", id_field, layout, numeric_ids)
 
 
@@ -123,7 +164,7 @@ def read_response_file(
 ) -> DataFrame:
     """Response records of one explicit file; a file that cannot be read gives none."""
     schema = schemas.response(id_field)
-    pattern = fv.RESPONSES_NAME.replace("*", "").replace(".", r"\.").format(split="([a-z]+)")
+    pattern = fv.RESPONSES_NAME.replace(".", r"\.").format(split="([a-z]+)")
     return (
         _read_json(spark, path, schema, layout, id_field, numeric_ids)
         .withColumn("split", F.regexp_extract("_path", pattern, 1))
@@ -170,12 +211,13 @@ def read_evaluations(
     base: str,
     runs: list[str] | None = None,
     id_field: str = "problem_id",
-    layout: str = "array",
+    layout: str = "array_in_order",
     numeric_ids: bool = True,
 ) -> DataFrame:
     """Whole evaluation records of every run folder, or of the listed ones.
 
-    The run id is the folder's name, ``position`` the place of a record in its array file.
+    The run id is the folder's name. ``array`` reads files of any size, without the order that
+    decides between several records of a problem in one run.
     """
     schema = schemas.evaluation(id_field)
     return _read_runs(spark, base, runs, schema, layout, id_field, numeric_ids)
@@ -205,10 +247,17 @@ def read_pass_at_k(
 
 
 def read_sample(
-    spark: SparkSession, path: str, ks: list[int] = fv.PASS_AT, id_field: str = "problem_id"
+    spark: SparkSession, path: str, ks: list[int] = fv.PASS_AT, id_field: str = "problem_id",
+    dataset: bool = False,
 ) -> DataFrame:
-    return _read_csv(spark, path, schemas.sample(ks, id_field), id_field)
+    """A sample; with ``dataset``, of a folder that has one folder for each."""
+    return _read_csv(spark, path, _of_datasets(schemas.sample(ks, id_field), dataset), id_field)
+
+
+def read_train_rows(spark: SparkSession, path: str, dataset: bool = False) -> DataFrame:
+    """Training rows; with ``dataset``, of a folder that has one folder for each."""
+    return spark.read.schema(_of_datasets(schemas.TRAIN_ROW, dataset)).json(path)
 
 
-def read_train_rows(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.TRAIN_ROW).json(path)
+def _of_datasets(schema: T.StructType, dataset: bool) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField("dataset", T.StringType())] if dataset else schema.fields)

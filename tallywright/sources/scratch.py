@@ -30,8 +30,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def remove(spark: SparkSession, df: DataFrame) -> None:
     """Deletes the files of a table that ``stored`` made, once nothing reads it any more."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
+        remove_path(spark, folder)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of any file system Spark knows; one that is not there is no error."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

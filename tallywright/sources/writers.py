@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,23 +42,30 @@ def append_records(df: DataFrame, path: str, partition_by: list[str] = ["run_id"
 
 
 def write_json_arrays(df: DataFrame, path: str, id_field: str = "problem_id") -> None:
-    """Store records as indented JSON arrays, one array per part file.
+    """Store records as JSON arrays indented by two, one array per part file.
 
-    The rows pass through line by line; no task ever holds more than one Arrow batch.
+    A part file is never cut, because a cut array could not be read. No task holds more than one
+    Arrow batch.
     """
     if id_field != "problem_id":
         df = df.withColumnRenamed("problem_id", id_field)
-    text = df.select(F.to_json(F.struct(*df.columns), {"pretty": "true"}).alias("value"))
+    record = F.to_json(F.struct(*df.columns), {"pretty": "true"})
+    # Line ends inside of texts are escaped, so every one is followed by a line of the record.
+    text = df.select(F.concat(F.lit("\n  "), F.regexp_replace(record, "\r?\n", "\n  ")).alias("value"))
 
     def as_array(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opened = False
         for batch in batches:
-            lines = []
-            for value in batch.column(0).to_pylist():
-                lines.append(("," if opened else "[") + value)
-                opened = True
-            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["value"])
-        closing = ["]"] if opened else ["[]"]
+            count = batch.num_rows
+            if not count:
+                continue
+            heads = pa.array(["," if opened else "["] + [","] * (count - 1), pa.string())
+            opened = True
+            lines = pc.binary_join_element_wise(heads, batch.column(0), "")
+            yield pa.RecordBatch.from_arrays([lines], ["value"])
+        closing = ["\n]\n"] if opened else ["[]\n"]
         yield pa.RecordBatch.from_arrays([pa.array(closing, pa.string())], ["value"])
 
-    text.mapInArrow(as_array, "value string").write.mode("overwrite").text(path)
+    lines = text.mapInArrow(as_array, "value string").write.mode("overwrite")
+    # Every piece brings its own line ends.
+    lines.option("maxRecordsPerFile", 0).option("lineSep", " ").text(path)

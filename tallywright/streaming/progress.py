@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
 from ..operators.filters import latest_run
 from ..operators.responses import response_stats
+from ..sources.readers import parse_records
+from ..sources.scratch import remove_path
 
-_SCHEMA = T.StructType([*schemas.response().fields, T.StructField("run_id", T.StringType())])
+_TEXTS = T.StructType([T.StructField("value", T.StringType()), T.StructField("run_id", T.StringType())])
 _PROGRESS = T.StructType(
     [
         T.StructField("run_id", T.StringType()),
@@ -37,20 +41,28 @@ def stream_progress(
     """Follow a folder of response records and keep the statistics per run up to date.
 
     Takes everything there is and stops; call it again, or on a schedule, to go on from the
-    checkpoint. The state is one row of counters per run. Each epoch is stored in its own
-    folder, so an epoch repeated after a failure overwrites itself. ``once_per_record`` also
-    drops records delivered twice; its state then grows with the number of records.
+    checkpoint. The state is one row of counters per run. Lines that are no records are left out, as
+    in a batch. Each epoch is stored under a number above all stored before, whatever the
+    checkpoint, in one file; only the last two are kept. ``once_per_record`` also drops records
+    delivered twice; its state then grows with the number of records.
     """
-    reader = spark.readStream.schema(_SCHEMA)
+    reader = spark.readStream.schema(_TEXTS)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    stream = reader.json(records)
+    lines = reader.text(records).select(F.col("value").alias("_json"), "run_id")
+    stream = parse_records(lines, schemas.response())
     if once_per_record:
         stream = stream.dropDuplicates(["run_id", "problem_id"])
     stats = response_stats(stream, by=["run_id"], total=False)
 
+    last = _stored(spark, progress).agg(F.max("epoch")).first()[0] or 0
+
     def store(rows: DataFrame, epoch: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{progress}/epoch={epoch}")
+        nonlocal last
+        # One small file, which appears whole or not at all.
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{progress}/epoch={last + 1}")
+        last += 1
+        remove_path(spark, f"{progress}/epoch={last - 2}")
 
     return (
         stats.writeStream.outputMode("complete")
@@ -61,7 +73,15 @@ def stream_progress(
     )
 
 
+def _stored(spark: SparkSession, progress: str) -> DataFrame:
+    try:
+        return spark.read.schema(_PROGRESS).parquet(progress)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], _PROGRESS)
+
+
 def read_progress(spark: SparkSession, progress: str) -> DataFrame:
-    """Statistics per run as of the newest stored epoch."""
-    stored = spark.read.schema(_PROGRESS).parquet(progress)
-    return latest_run(stored, "epoch").drop("epoch", "is_total")
+    """Statistics per run as of the newest stored epoch; an empty table where there is none."""
+    return latest_run(_stored(spark, progress), "epoch").drop("epoch", "is_total")

@@ -97,7 +97,19 @@ def test_attempt_reader_parses_two_fields(spark, tmp_path):
     assert "passed" in text and "generated_code" not in text
 
 
-def test_response_stats_expands_only_totals(spark, sf_dir):
-    text = plan(catalog.queries()["response_stats_by_split"](spark, sf_dir))
-    # The expansion for the overall row stands above the first aggregation.
-    assert text.index("Expand") < text.rindex("HashAggregate")
+def test_response_stats_add_totals_up_from_groups(spark, sf_dir):
+    df = catalog.queries()["response_stats_by_split"](spark, sf_dir)
+    df.collect()
+    assert "ReusedExchange" in plan(df)
+
+
+@pytest.mark.parametrize("name, steps", [("passed_ids", 1), ("failed_preview", 2)])
+def test_lines_are_taken_apart_once_a_step(spark, sf_dir, name, steps):
+    # The preview looks at them in its filter and, for three rows, in what it shows.
+    assert plan(catalog.queries()[name](spark, sf_dir)).count("(?md)^Test") == steps
+
+
+@pytest.mark.parametrize("name", ["train_rows", "train_rows_own_code"])
+def test_training_texts_are_not_shuffled_before_the_join(spark, sf_dir, name):
+    text = plan(catalog.queries()[name](spark, sf_dir))
+    assert any("BroadcastHashJoin" in line and "_run_id" in line for line in text.splitlines())

@@ -40,8 +40,8 @@ def verdict(item, passed=True, **extra):
 
 
 def test_read_responses(spark, tmp_path):
-    put(tmp_path / "x_results_final_test.json", [record(11), record(12)])
-    put(tmp_path / "x_results_final_train.json", [record(601), {"model_response": {"error": "down"}}])
+    put(tmp_path / "results_final_test.json", [record(11), record(12)])
+    put(tmp_path / "results_final_train.json", [record(601), {"model_response": {"error": "down"}}])
     put(tmp_path / "other.json", [record(1)])
     rows = rd.read_responses(spark, str(tmp_path), id_field="item")
     got = sorted((r["split"], r["problem_id"]) for r in rows.where("problem_id is not null").collect())
@@ -49,7 +49,7 @@ def test_read_responses(spark, tmp_path):
     assert rows.where(F.col("model_response.error") == "down").count() == 1
     assert rd.read_responses(spark, str(tmp_path), "train", "item").count() == 2
     assert rd.read_responses(spark, str(tmp_path), "validation", "item").count() == 0
-    one = rd.read_response_file(spark, str(tmp_path / "x_results_final_test.json"), "item")
+    one = rd.read_response_file(spark, str(tmp_path / "results_final_test.json"), "item")
     assert one.count() == 2
     assert rd.read_response_file(spark, str(tmp_path / "none.json"), "item").count() == 0
 
@@ -97,9 +97,9 @@ def test_malformed_lines(spark, tmp_path):
 
 @pytest.mark.parametrize("layout", ["array", "lines"])
 def test_response_files_round_trip(spark, tmp_path, layout):
-    put(tmp_path / "in" / "x_results_final_test.json", [record(i, f'say "é"\n{i}') for i in range(50)])
+    put(tmp_path / "in" / "results_final_test.json", [record(i, f'say "é"\n{i}') for i in range(50)])
     rows = rd.read_responses(spark, str(tmp_path / "in"), id_field="item").drop("position")
-    out = str(tmp_path / "out" / "x_results_final_test.json")
+    out = str(tmp_path / "out" / "results_final_test.json")
     spread = rows.drop("split").repartition(4)
     if layout == "array":
         wr.write_json_arrays(spread, out, "item")
