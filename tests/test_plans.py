@@ -18,6 +18,7 @@ STORING = {
     "pass_at_k_from_pivot_csv", "sample_csv", "train_rows_jsonl", "stored_problems",
     "stored_problems_other_split", "stored_responses", "stored_responses_one_file",
     "stored_run_attempts", "stored_run_evaluations", "stored_lines_well_formed", "streamed_progress",
+    "streamed_progress_of_cut_lines", "stored_array_attempts", "pass_at_k_csv",
 }
 
 
