@@ -35,7 +35,7 @@ def _cells(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     lower, script = letters.tables()
     small = lower[codes]
     a = np.concatenate(([0], small[:-1]))
-    b = np.concatenate(([0, 0], small[:-2]))
+    b = np.concatenate(([0, 0], small[:-2]))[: len(small)]
     b[a == 0] = 0
     mixed = (small.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (
         a.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
