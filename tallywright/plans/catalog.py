@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import fixed_values as fv
-from .. import schemas
 from ..functions import text as tx
 from ..functions.metrics import difficulty
 from ..functions.verdict import pass_count
@@ -606,13 +605,13 @@ def stored_problems_other_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _store_responses(spark: SparkSession, sf_dir: str) -> str:
+    """One folder a split, named as the file of its responses is."""
     base = scratch_path(spark, "results")
-    rows = vw.responses(spark, sf_dir)
-    for split in fv.RESPONSE_SPLITS:
-        name = fv.RESPONSES_NAME.format(split=split)
-        wr.write_json_arrays(
-            rows.where(F.col("split") == split).drop("split", "run_id"), f"{base}/{name}"
-        )
+    name = F.concat(F.lit("results_final_"), "split", F.lit(".json"))
+    rows = vw.responses(spark, sf_dir).where(F.col("split").isin(fv.RESPONSE_SPLITS))
+    wr.write_json_arrays(
+        rows.withColumn("file", name).drop("split", "run_id"), base, partition_by="file"
+    )
     return base
 
 
@@ -627,46 +626,39 @@ def _response_columns(df: DataFrame) -> DataFrame:
 @_query
 def stored_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Array files of all splits."""
-    return _response_columns(rd.read_responses(spark, _store_responses(spark, sf_dir)))
+    return _response_columns(rd.read_responses(spark, _store_responses(spark, sf_dir), prefix="file="))
 
 
 @_query
 def stored_responses_one_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _store_responses(spark, sf_dir)
     name = fv.RESPONSES_NAME.format(split="validation")
-    return _response_columns(rd.read_response_file(spark, f"{base}/{name}"))
+    return _response_columns(rd.read_response_file(spark, f"{base}/file={name}"))
 
 
-def _store_run_folders(spark: SparkSession, sf_dir: str, arrays: bool) -> str:
-    """One folder per run. The rows are first stored by run, so each folder's job reads
-    only its own."""
-    base, staged = scratch_path(spark, "runs"), scratch_path(spark, "runs-staged")
+def _store_runs(spark: SparkSession, sf_dir: str, arrays: bool) -> str:
+    """One folder per run, all in one job."""
+    base = scratch_path(spark, "runs")
     rows = vw.evaluations(spark, sf_dir).drop(*vw.POSITION)
-    wr.write_table(rows, staged, "parquet", ["run_id"])
-    schema = T.StructType([*schemas.evaluation().fields, T.StructField("run_id", T.StringType())])
-    by_run = rd.read_stored(spark, staged, schema)
-    for run in vw.RUNS:
-        one = by_run.where(F.col("run_id") == run).drop("run_id")
-        path = f"{base}/{run}/{fv.EVALUATIONS_NAME}"
-        if arrays:
-            wr.write_json_arrays(one, path)
-        else:
-            wr.write_table(one, path, "json")
+    if arrays:
+        wr.write_json_arrays(rows, base, partition_by="run_id")
+    else:
+        wr.write_table(rows, base, "json", ["run_id"])
     return base
 
 
 @_query
 def stored_run_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every run folder, only the fields a pass rate needs."""
-    base = _store_run_folders(spark, sf_dir, arrays=False)
-    return at.to_attempts(rd.read_attempts(spark, base, layout="lines"))
+    base = _store_runs(spark, sf_dir, arrays=False)
+    return at.to_attempts(rd.read_attempts(spark, base, layout="lines", partitioned=True))
 
 
 @_query
 def stored_run_evaluations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole records of listed run folders, from array files."""
-    base = _store_run_folders(spark, sf_dir, arrays=True)
-    rows = rd.read_evaluations(spark, base, vw.RUNS)
+    base = _store_runs(spark, sf_dir, arrays=True)
+    rows = rd.read_evaluations(spark, base, vw.RUNS, layout="array", partitioned=True)
     return _evaluation_columns(rows, "problem_id", "run_id")
 
 
@@ -703,8 +695,8 @@ def streamed_progress_of_cut_lines(spark: SparkSession, sf_dir: str) -> DataFram
 @_query
 def stored_array_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every run folder's array files, cut at record starts."""
-    base = _store_run_folders(spark, sf_dir, arrays=True)
-    return at.to_attempts(rd.read_attempts(spark, base))
+    base = _store_runs(spark, sf_dir, arrays=True)
+    return at.to_attempts(rd.read_attempts(spark, base, partitioned=True))
 
 
 @_query

@@ -180,10 +180,14 @@ def _read_runs(
     layout: str,
     id_field: str,
     numeric_ids: bool,
+    partitioned: bool,
 ) -> DataFrame:
     folder = "{" + ",".join(runs) + "}" if runs else "*"
-    path = f"{base}/{folder}/{fv.EVALUATIONS_NAME}"
-    pattern = "([^/]+)/" + fv.EVALUATIONS_NAME.replace(".", r"\.")
+    if partitioned:
+        path, pattern = f"{base}/run_id={folder}", "/run_id=([^/]+)/"
+    else:
+        path = f"{base}/{folder}/{fv.EVALUATIONS_NAME}"
+        pattern = "([^/]+)/" + fv.EVALUATIONS_NAME.replace(".", r"\.")
     # Paths in file metadata are URL-encoded; "+" is a plain character there.
     name = F.url_decode(F.replace(F.col("_path"), F.lit("+"), F.lit("%2B")))
     return (
@@ -200,10 +204,15 @@ def read_attempts(
     id_field: str = "problem_id",
     layout: str = "array",
     numeric_ids: bool = True,
+    partitioned: bool = False,
 ) -> DataFrame:
-    """(run_id, problem_id, passed) of every run folder; only two fields are parsed."""
+    """(run_id, problem_id, passed) of every run folder; only two fields are parsed.
+
+    A run's folder holds ``evaluations/evaluation_results_all.json``, or is ``run_id=<run>`` as this
+    library's writers make them (``partitioned``).
+    """
     schema = schemas.attempt_fields(id_field)
-    return _read_runs(spark, base, runs, schema, layout, id_field, numeric_ids)
+    return _read_runs(spark, base, runs, schema, layout, id_field, numeric_ids, partitioned)
 
 
 def read_evaluations(
@@ -213,6 +222,7 @@ def read_evaluations(
     id_field: str = "problem_id",
     layout: str = "array_in_order",
     numeric_ids: bool = True,
+    partitioned: bool = False,
 ) -> DataFrame:
     """Whole evaluation records of every run folder, or of the listed ones.
 
@@ -220,7 +230,7 @@ def read_evaluations(
     decides between several records of a problem in one run.
     """
     schema = schemas.evaluation(id_field)
-    return _read_runs(spark, base, runs, schema, layout, id_field, numeric_ids)
+    return _read_runs(spark, base, runs, schema, layout, id_field, numeric_ids, partitioned)
 
 
 def read_stored(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:

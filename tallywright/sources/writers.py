@@ -41,31 +41,52 @@ def append_records(df: DataFrame, path: str, partition_by: list[str] = ["run_id"
     write_table(df, path, "json", partition_by, mode="append")
 
 
-def write_json_arrays(df: DataFrame, path: str, id_field: str = "problem_id") -> None:
+def write_json_arrays(
+    df: DataFrame, path: str, id_field: str = "problem_id", partition_by: str | None = None
+) -> None:
     """Store records as JSON arrays indented by two, one array per part file.
 
-    A part file is never cut, because a cut array could not be read. No task holds more than one
-    Arrow batch.
+    ``partition_by`` puts the rows of each value of a column into a folder of its own, in one job. A
+    part file is never cut, because a cut array could not be read. No task holds more than one Arrow
+    batch.
     """
     if id_field != "problem_id":
         df = df.withColumnRenamed("problem_id", id_field)
-    record = F.to_json(F.struct(*df.columns), {"pretty": "true"})
+    record = F.to_json(F.struct(*[c for c in df.columns if c != partition_by]), {"pretty": "true"})
     # Line ends inside of texts are escaped, so every one is followed by a line of the record.
-    text = df.select(F.concat(F.lit("\n  "), F.regexp_replace(record, "\r?\n", "\n  ")).alias("value"))
+    folder = F.col(partition_by).cast("string") if partition_by else F.lit("")
+    text = df.select(
+        F.coalesce(folder, F.lit("__HIVE_DEFAULT_PARTITION__")).alias("folder"),
+        F.concat(F.lit("\n  "), F.regexp_replace(record, "\r?\n", "\n  ")).alias("value"),
+    )
+    if partition_by:
+        text = text.sortWithinPartitions("folder")
 
     def as_array(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        opened = False
+        names, now = ["folder", "value"], None
+        end = lambda folder, text: pa.RecordBatch.from_arrays(
+            [pa.array([folder]), pa.array([text])], names
+        )
         for batch in batches:
-            count = batch.num_rows
-            if not count:
-                continue
-            heads = pa.array(["," if opened else "["] + [","] * (count - 1), pa.string())
-            opened = True
-            lines = pc.binary_join_element_wise(heads, batch.column(0), "")
-            yield pa.RecordBatch.from_arrays([lines], ["value"])
-        closing = ["\n]\n"] if opened else ["[]\n"]
-        yield pa.RecordBatch.from_arrays([pa.array(closing, pa.string())], ["value"])
+            folders = batch.column(0)
+            # Rows are sorted by folder, so each folder's run ends where its last value stands.
+            at = 0
+            while at < batch.num_rows:
+                folder = folders[at].as_py()
+                count = pc.sum(pc.equal(folders, folder)).as_py()
+                if folder != now and now is not None:
+                    yield end(now, "\n]\n")
+                heads = pa.array(["," if folder == now else "["] + [","] * (count - 1), pa.string())
+                lines = pc.binary_join_element_wise(heads, batch.column(1).slice(at, count), "")
+                yield pa.RecordBatch.from_arrays([folders.slice(at, count), lines], names)
+                now, at = folder, at + count
+        if now is not None:
+            yield end(now, "\n]\n")
+        elif not partition_by:
+            yield end("", "[]\n")
 
-    lines = text.mapInArrow(as_array, "value string").write.mode("overwrite")
+    lines = text.mapInArrow(as_array, "folder string, value string")
+    lines = lines.withColumnRenamed("folder", partition_by) if partition_by else lines.select("value")
     # Every piece brings its own line ends.
-    lines.option("maxRecordsPerFile", 0).option("lineSep", " ").text(path)
+    writer = lines.write.mode("overwrite").option("maxRecordsPerFile", 0).option("lineSep", " ")
+    (writer.partitionBy(partition_by) if partition_by else writer).text(path)
