@@ -41,6 +41,9 @@ BOILER_WORDS = set(
 )
 # Elements whose names may mark them as boilerplate; names of text elements say too little.
 NAMED = set("div section ul ol dl table td aside center iframe li p figure blockquote".split())
+BOILER_STEMS = re.compile(r"(?:comment|advert|sidebar|cookie|sponsor|newsletter|breadcrumb|disqus|paginat)|\w*(?:nav|menu)$")
+# Class names that only say what a layout has beside the content.
+LAYOUT = re.compile(r"(?:has|with|without|no)[-_]", re.I)
 GOOD_WORDS = set("article content main post entry story body text".split())
 CLOSED_BY = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
@@ -79,7 +82,7 @@ class Node:
 
 def _marks(tag: str, attrs: str) -> tuple[bool, bool]:
     """(boilerplate, likely content) by an element's own attributes."""
-    boiler = good = False
+    boiler = named = good = False
     for name, *values in ATTR.findall(attrs):
         name, value = name.lower(), values[0] or values[1] or values[2]
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
@@ -90,10 +93,15 @@ def _marks(tag: str, attrs: str) -> tuple[bool, bool]:
         elif name == "style":
             boiler |= bool(HIDDEN.search(value))
         elif name in ("class", "id"):
-            words = {w.lower() for w in WORD.findall(value)}
-            boiler |= tag in NAMED and bool(words & BOILER_WORDS)
-            good |= bool(words & GOOD_WORDS)
-    return boiler, good
+            content = False
+            for token in value.split():
+                words = {w.lower() for w in WORD.findall(token)}
+                content |= len(words) == 1 and words <= GOOD_WORDS
+                good |= bool(words & GOOD_WORDS)
+                if tag in NAMED and not LAYOUT.match(token):
+                    named |= bool(words & BOILER_WORDS) or any(map(BOILER_STEMS.match, words))
+            named &= not content
+    return boiler or named, good
 
 
 def blocks(page: str) -> list[tuple[Node, str, int]]:

@@ -30,6 +30,7 @@ from tallywright.llm import (
     ("<p>a <span style='display: none'>hidden <b>too</b></span> b</p>", "a b"),
     ("<div><p>" + "prose, more prose. " * 20 + "</p><ul>" + "<li><a href=x>link</a>" * 30 + "</ul></div>",
      ("prose, more prose. " * 20).strip() + "\nlink" * 30),
+    ("<div class='content with-sidebar'><p>In, here.</p><ol class='commentlist'><li>me, too, here</ol><div class=topnav>x</div></div>", "In, here."),
     ("<p>unclosed <a href='x>broken", "unclosed broken"),
 ])
 def test_main_text(page, text):
