@@ -7,7 +7,7 @@ seen backs off with weight one.
 Documents are turned once into blocks: arrays of word numbers, with the block's distinct words and
 bigrams. What has to be known about a word or a bigram is asked for, once a block, from the bucket
 its hash belongs to; buckets add up all blocks' counts, keep the count tables, and answer each block
-in the order it asked. So shuffled rows are arrays, one for each block and bucket. Bigrams of a
+in the order it asked. So shuffled rows are compressed arrays, one for each block and bucket. Bigrams of a
 context that makes up more than ``HOT`` of the corpus are dealt by both words; such contexts are at
 most 1 / ``HOT``, and only their sums meet on the driver.
 """
@@ -37,17 +37,21 @@ KINDS = ("<u1", "<u2", "<u4", "<i8", "<f4")
 
 
 def pack(a: np.ndarray) -> bytes:
-    """A non-negative integer array, or one of floats, in the narrowest of ``KINDS``."""
+    """A non-negative integer array, or one of floats, in the narrowest of ``KINDS``, compressed."""
     if a.dtype.kind == "f":
         kind = 4
     else:
         top = int(a.max()) if len(a) else 0
         kind = 0 if top < 1 << 8 else 1 if top < 1 << 16 else 2 if top < 1 << 32 else 3
-    return bytes([kind]) + a.astype(KINDS[kind]).tobytes()
+    # Bytes of equal weight stand together, so that the zeros of small numbers do.
+    plain = a.astype(KINDS[kind]).view(np.uint8).reshape(len(a), -1).T.tobytes()
+    return bytes([kind]) + len(a).to_bytes(8, "little") + pa.compress(plain, codec="zstd", asbytes=True)
 
 
 def unpack(data: bytes) -> np.ndarray:
-    a = np.frombuffer(data, KINDS[data[0]], offset=1)
+    size, width = int.from_bytes(data[1:9], "little"), np.dtype(KINDS[data[0]]).itemsize
+    plain = pa.decompress(data[9:], size * width, codec="zstd", asbytes=True)
+    a = np.frombuffer(plain, np.uint8).reshape(width, size).T.copy().view(KINDS[data[0]]).ravel()
     return a.astype(np.float64 if data[0] == 4 else np.int64)
 
 
@@ -69,7 +73,8 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def _to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(block, ids, held, sizes, tokens, hashes, counts): words numbered within the block."""
+    """(block, ids, held, sizes, tokens, place, hashes, counts): words numbered as they come, which
+    gives frequent ones small numbers; place is each one's rank by hash."""
     number = TaskContext.get().partitionId() << 32
     for batch in batches:
         texts = batch.column(1).to_pylist()
@@ -85,7 +90,7 @@ def _to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sizes, tokens = np.array(sizes), np.concatenate(tokens)
             hashes = np.fromiter((xxhash.xxh64_intdigest(w, 7) for w in local), np.uint64, len(local))
             counts = np.bincount(tokens[np.repeat(held, sizes) == 0], minlength=len(local))
-            order = np.argsort(hashes)  # words are numbered by hash from here on
+            order = np.argsort(hashes)
             place = np.empty(len(order), np.int64)
             place[order] = np.arange(len(order))
             ids = batch.column(0).slice(a, b - a)
@@ -93,11 +98,11 @@ def _to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array([number], pa.int64()),
                 pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
                 *(pa.array([x], pa.binary()) for x in (
-                    pack(held), pack(sizes), pack(place[tokens]), hashes[order].tobytes(), pack(counts[order])
+                    pack(held), pack(sizes), pack(tokens), pack(place), hashes[order].tobytes(), pack(counts[order])
                 )),
             ]
             number += 1
-            yield pa.RecordBatch.from_arrays(columns, names=["block", "ids", "held", "sizes", "tokens", "hashes", "counts"])
+            yield pa.RecordBatch.from_arrays(columns, names=["block", "ids", "held", "sizes", "tokens", "place", "hashes", "counts"])
 
 
 def _slices(bucket: np.ndarray) -> Iterator[tuple[int, int, int]]:
@@ -165,7 +170,8 @@ class Block:
         # 0 is the start of a text; words count from 1.
         self.words = np.concatenate([unpack(x["ranks"]) + bases[x["bucket"]] + 1 for x in answers] + [[0]])
         self.counts = np.concatenate([unpack(x["counts"]) for x in answers] + [[0]])
-        self.sizes, held, self.tokens = (unpack(row[n]) for n in ("sizes", "held", "tokens"))
+        self.sizes, held, tokens, place = (unpack(row[n]) for n in ("sizes", "held", "tokens", "place"))
+        self.tokens = place[tokens]
         start = len(self.words) - 1
         before = np.concatenate(([start], self.tokens[:-1]))
         before[np.cumsum(self.sizes)[:-1]] = start
@@ -190,16 +196,13 @@ class Block:
 ASKED = ["bucket", "block", "runs", "lengths", "words", "counts", "times"]
 
 
-def _ask_bigrams(bases: dict[int, int], buckets: int, hot_from: float, trained: bool):
-    """Questions of a block about its bigrams; with ``trained``, only what it adds to the counts."""
+def _ask_bigrams(bases: dict[int, int], buckets: int, hot_from: float):
+    """What a block adds to the counts of its bigrams, which is also what it asks about."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             block = Block(row, bases)
             order, bucket = block.dealt(buckets, hot_from)
-            if trained:
-                some = block.times[order] > 0
-                order, bucket = order[some], bucket[some]
             context, word = block.words[block.before[order]], block.words[block.word[order]]
             count, times = block.counts[block.word[order]], block.times[order]
             asked = []
@@ -207,7 +210,7 @@ def _ask_bigrams(bases: dict[int, int], buckets: int, hot_from: float, trained:
                 edges = np.concatenate(([0], np.flatnonzero(np.diff(context[a:b])) + 1))
                 asked.append((
                     k, row["block"], pack(context[a:b][edges]), pack(np.diff(np.append(edges, b - a))),
-                    pack(word[a:b]), pack(count[a:b]), pack(times[a:b]) if trained else b"",
+                    pack(word[a:b]), pack(count[a:b]), pack(times[a:b]),
                 ))
             yield _batch(ASKED, [pa.int64(), pa.int64(), *[pa.binary()] * 5], *asked)
 
@@ -219,22 +222,27 @@ def _contexts(row: dict) -> np.ndarray:
 
 
 def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The count table: (bucket, contexts, words, counts of the words, times, n1 to n6)."""
-    names = ["bucket", "runs", "lengths", "words", "counts", "times", "seen"]
+    """One row a bucket: its count table (contexts, words, counts of the words, times), n1 to n6, and
+    for each block where in the table its bigrams stand."""
+    names = ["bucket", "runs", "lengths", "words", "counts", "times", "seen", "asked"]
+    asked_kind = pa.list_(pa.struct([("block", pa.int64()), ("places", pa.binary())]))
     for rows in _grouped(batches):
         context = np.concatenate([_contexts(r) for r in rows])
         word, count, times = (np.concatenate([unpack(r[n]) for r in rows]) for n in ("words", "counts", "times"))
         order = np.lexsort((word, context))
-        context, word, count, times = context[order], word[order], count[order], times[order]
-        new = np.concatenate(([True], (np.diff(context) != 0) | (np.diff(word) != 0)))
-        at = np.flatnonzero(new)
-        times = np.add.reduceat(times, at)
+        new = np.concatenate(([True], (np.diff(context[order]) != 0) | (np.diff(word[order]) != 0)))
+        place = np.empty(len(order), np.int64)
+        place[order] = np.cumsum(new) - 1
+        at = order[new]
+        times = np.add.reduceat(times[order], np.flatnonzero(new))
+        ends = np.cumsum([int(unpack(r["lengths"]).sum()) for r in rows])
+        asked = [{"block": r["block"], "places": pack(p)} for r, p in zip(rows, np.split(place, ends[:-1]))]
         context = context[at]
         edges = np.concatenate(([0], np.flatnonzero(np.diff(context)) + 1))
         seen = np.bincount(np.minimum(times, DISCOUNTED + 2), minlength=DISCOUNTED + 3)[1 : DISCOUNTED + 2]
-        yield _batch(names, [pa.int64(), *[pa.binary()] * 5, pa.list_(pa.int64())], (
+        yield _batch(names, [pa.int64(), *[pa.binary()] * 5, pa.list_(pa.int64()), asked_kind], (
             rows[0]["bucket"], pack(context[edges]), pack(np.diff(np.append(edges, len(context)))),
-            pack(word[at]), pack(count[at]), pack(times), seen.tolist(),
+            pack(word[at]), pack(count[at]), pack(times), seen.tolist(), asked,
         ))
 
 
@@ -253,32 +261,49 @@ def discounts(seen: list[int]) -> np.ndarray:
 
 
 class Sums:
-    """What backoff weights are made of, by context."""
+    """What backoff weights are made of, by context of a bucket's table."""
 
-    def __init__(self, context: np.ndarray, times: np.ndarray, p_word: np.ndarray, d: np.ndarray):
-        self.edges = np.concatenate(([0], np.flatnonzero(np.diff(context)) + 1)) if len(context) else np.zeros(0, np.int64)
-        self.context = context[self.edges]
-        kept = times * d[np.where(times > DISCOUNTED, 0, times)]
-        add = lambda x: np.add.reduceat(x, self.edges) if len(self.edges) else np.zeros(0)
-        self.all, self.kept, self.p_seen = add(times.astype(np.float64)), add(kept), add(p_word)
-        self.mass = kept
+    def __init__(self, row: dict, d: np.ndarray, floor: float):
+        self.lengths, self.times = unpack(row["lengths"]), unpack(row["times"])
+        self.context = unpack(row["runs"])
+        self.p_word = (unpack(row["counts"]) + 1) / floor
+        self.mass = self.times * d[np.where(self.times > DISCOUNTED, 0, self.times)]
+        starts = np.cumsum(self.lengths) - self.lengths
+        self.all, self.kept, self.p_seen = (
+            np.add.reduceat(x, starts)
+            for x in (self.times.astype(np.float64), self.mass, np.where(self.times > 0, self.p_word, 0.0))
+        )
 
 
 def backoff(every: np.ndarray, kept: np.ndarray, p_seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(divisor, weight) of contexts: all of a context's probabilities add up to one.
 
-    Where no count was discounted, one novel word is counted in, so that others keep a chance.
+    Where no count was discounted, one novel word is counted in, so that others keep a chance. A
+    context never seen has weight one.
     """
     divisor = np.where(kept >= every, every + 1, every)
-    return divisor, (1 - kept / divisor) / (1 - p_seen)
+    return divisor, np.where(every > 0, (1 - kept / divisor) / (1 - p_seen), 1.0)
 
 
-def _context_sums(d: np.ndarray, floor: float):
+def _hot_words(bases: dict[int, int], hot_from: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            sums = Sums(_contexts(row), unpack(row["times"]), (unpack(row["counts"]) + 1) / floor, d)
+            found = unpack(row["ranks"])[unpack(row["counts"]) > hot_from] + bases[row["bucket"]] + 1
+            yield pa.RecordBatch.from_arrays([pa.array(found)], names=["word"])
+
+    return run
+
+
+def _context_sums(d: np.ndarray, floor: float, hot: list[int]):
+    """What each bucket has of the hot contexts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            sums = Sums(row, d, floor)
+            some = (sums.all > 0) & np.isin(sums.context, hot)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (sums.context, sums.all, sums.kept, sums.p_seen)], names=["context", "all", "kept", "p_seen"]
+                [pa.array(x[some]) for x in (sums.context, sums.all, sums.kept, sums.p_seen)],
+                names=["context", "all", "kept", "p_seen"],
             )
 
     return run
@@ -288,48 +313,16 @@ def _answer_bigrams(d: np.ndarray, floor: float, hot: dict[int, tuple[float, flo
     """(block, bucket, scores): log10 P(word | context) in the order each block asked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _grouped(batches):
-            table = next((r for r in rows if r["block"] is None), None)
-            rows = [r for r in rows if r["block"] is not None]
-            empty = np.zeros(0, np.int64)
-            context, word, times, count = (
-                (_contexts(table), unpack(table["words"]), unpack(table["times"]), unpack(table["counts"]))
-                if table else (empty,) * 4
-            )
-            sums = Sums(context, times, (count + 1) / floor, d)
+        for row in _rows(batches):
+            sums = Sums(row, d, floor)
             for k in np.flatnonzero(np.isin(sums.context, list(hot))):
                 sums.all[k], sums.kept[k], sums.p_seen[k] = hot[int(sums.context[k])]
-            divisor, weight = backoff(sums.all, sums.kept, sums.p_seen)
-            lengths = np.diff(np.append(sums.edges, len(context)))
-            logs = np.log10(sums.mass / np.repeat(divisor, lengths)) if len(context) else np.zeros(0)
-            known, known_weight = sums.context, np.log10(weight)
-            missing = [c for c in hot if c not in set(known.tolist())]
-            if missing:  # a hot context of which this bucket holds no seen word
-                extra = backoff(*(np.array([hot[c][n] for c in missing]) for n in range(3)))[1]
-                known, known_weight = np.append(known, missing), np.append(known_weight, np.log10(extra))
-                order = np.argsort(known)
-                known, known_weight = known[order], known_weight[order]
-            for r in rows:
-                c, w = _contexts(r), unpack(r["words"])
-                scores = np.log10((unpack(r["counts"]) + 1) / floor)
-                at = np.minimum(np.searchsorted(known, c), max(len(known) - 1, 0))
-                if len(known):
-                    scores += np.where(known[at] == c, known_weight[at], 0.0)
-                if len(context):
-                    first = np.searchsorted(context, c, "left")
-                    last = np.searchsorted(context, c, "right")
-                    # Words stand in order inside a context: halve each range until it is one.
-                    while (open_ := first < last).any():
-                        middle = (first + last) // 2
-                        less = open_ & (word[np.minimum(middle, len(word) - 1)] < w)
-                        last = np.where(open_ & ~less, middle, last)
-                        first = np.where(less, middle + 1, first)
-                    place = np.minimum(first, len(word) - 1)
-                    seen = (context[place] == c) & (word[place] == w)
-                    scores[seen] = logs[place[seen]]
+            divisor, weight = (np.repeat(x, sums.lengths) for x in backoff(sums.all, sums.kept, sums.p_seen))
+            logs = np.log10(np.where(sums.times > 0, sums.mass / divisor, weight * sums.p_word))
+            for one in row["asked"]:
                 yield _batch(
                     ["block", "bucket", "scores"], [pa.int64(), pa.int64(), pa.binary()],
-                    (r["block"], r["bucket"], pack(scores)),
+                    (one["block"], row["bucket"], pack(logs[unpack(one["places"])])),
                 )
 
     return run
@@ -378,7 +371,7 @@ def score(docs: DataFrame, held_out: str, id: str = "doc_id", text: str = "text"
         chosen.mapInArrow(
             _to_blocks,
             f"block bigint, ids array<{kind.simpleString()}>, held binary, sizes binary, tokens binary, "
-            "hashes binary, counts binary",
+            "place binary, hashes binary, counts binary",
         ),
         "blocks",
     )
@@ -409,37 +402,37 @@ def score(docs: DataFrame, held_out: str, id: str = "doc_id", text: str = "text"
     by_block = answers.groupBy("block").agg(
         F.collect_list(F.struct("bucket", "ranks", "counts")).alias("answers")
     )
+    hot_from = HOT * total
+    hot_words = answers.select("bucket", "ranks", "counts").mapInArrow(_hot_words(bases, hot_from), "word bigint")
+    hot_contexts = [0, *(r["word"] for r in hot_words.distinct().collect())]
     indexed = _stored(blocks.drop("hashes", "counts").join(by_block, "block"), "indexed")
     remove(spark, blocks)
     remove(spark, answers)
 
-    hot_from = HOT * total
     buckets = 1 + total // BIGRAMS_A_BUCKET
     schema = "bucket bigint, block bigint, runs binary, lengths binary, words binary, counts binary, times binary"
     table = _stored(
-        indexed.drop("ids").mapInArrow(_ask_bigrams(bases, buckets, hot_from, True), schema)
+        indexed.drop("ids").mapInArrow(_ask_bigrams(bases, buckets, hot_from), schema)
         .repartition("bucket").sortWithinPartitions("bucket")
         .mapInArrow(
             _add_up,
-            "bucket bigint, runs binary, lengths binary, words binary, counts binary, times binary, seen array<bigint>",
+            "bucket bigint, runs binary, lengths binary, words binary, counts binary, times binary, "
+            "seen array<bigint>, asked array<struct<block: bigint, places: binary>>",
         ),
         "bigrams",
     )
     seen = table.agg(*(F.coalesce(F.sum(F.col("seen")[r]), F.lit(0)) for r in range(DISCOUNTED + 1))).first()
     d = discounts(list(seen))
     # Hot contexts lie in several buckets: their sums are added up, at most 1 / HOT rows and the start.
-    sums = table.drop("seen").mapInArrow(_context_sums(d, floor), "context bigint, `all` double, kept double, p_seen double")
+    sums = table.drop("seen", "asked").mapInArrow(
+        _context_sums(d, floor, hot_contexts), "context bigint, `all` double, kept double, p_seen double"
+    )
     hot = {
         r["context"]: (r["all"], r["kept"], r["p_seen"])
-        for r in sums.groupBy("context").agg(*(F.sum(c).alias(c) for c in ("all", "kept", "p_seen")))
-        .where((F.col("all") > hot_from) | (F.col("context") == 0)).collect()
+        for r in sums.groupBy("context").agg(*(F.sum(c).alias(c) for c in ("all", "kept", "p_seen"))).collect()
     }
-    questions = indexed.drop("ids").mapInArrow(_ask_bigrams(bases, buckets, hot_from, False), schema)
-    told = table.withColumn("block", F.lit(None).cast("bigint")).select(*ASKED)
     scored = (
-        questions.unionByName(told)
-        .repartition("bucket").sortWithinPartitions("bucket")
-        .mapInArrow(_answer_bigrams(d, floor, hot), "block bigint, bucket bigint, scores binary")
+        table.drop("seen").mapInArrow(_answer_bigrams(d, floor, hot), "block bigint, bucket bigint, scores binary")
         .groupBy("block").agg(F.collect_list(F.struct("bucket", "scores")).alias("scored"))
     )
     found = indexed.join(scored, "block").mapInArrow(_finish(bases, buckets, hot_from, floor, id, kind), result)
