@@ -40,7 +40,7 @@ WINDOW = 96  # characters
 STRIDE = 48
 AT_ONCE = 2048  # windows read together
 SAMPLE = 2400  # windows the tagger is trained on
-EPOCHS = 6
+EPOCHS = 10
 
 Span = tuple[str, int, int, bool]
 
@@ -142,9 +142,17 @@ def _windows(text: str, spans: list[Span], rng: np.random.Generator) -> Iterator
         if inside:
             kind, s, e, _ = inside[int(rng.integers(len(inside)))]
             new = _reform(kind, text[s:e], rng)
-            start = max(a, e - WINDOW + len(new))
-            line = text[start:s] + new + text[e:b]
-            yield line[:WINDOW], [(kind, s - start, s - start + len(new), False)]
+            more = len(new) - (e - s)
+            line = (text[a:s] + new + text[e:b])[:WINDOW]
+            # The other spans move along; windows that cut or overlap one are left out.
+            marks = [(kind, s - a, s - a + len(new), False)]
+            for other, x, y, _ in inside:
+                if (x, y) != (s, e):
+                    move = more if x >= e else 0
+                    marks.append((other, x + move - a, y + move - a, False))
+            apart = all(y <= s or x >= e or (x, y) == (s, e) for _, x, y, _ in inside)
+            if apart and max(m[2] for m in marks) <= len(line):
+                yield line, marks
 
 
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,7 +265,9 @@ def added_spans(tagger: Tagger, texts: list[str], base: list[list[Span]]) -> lis
         for (k, a, _), path in zip(part, tagger.decode([s / w for s, w in zip(sums, weights)])):
             for kind, s, e in _spans_of(path, a):
                 free = all(e <= x[1] or x[2] <= s for x in base[k])
-                if free and well_formed(kind, texts[k][s:e]):
+                beside = texts[k][max(0, s - 1) : s] + texts[k][e : e + 1]
+                whole = not any(c.isalnum() or c in ":@" for c in beside)
+                if free and whole and well_formed(kind, texts[k][s:e]):
                     found[k].append((kind, s, e, False))
     return found
 
