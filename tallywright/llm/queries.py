@@ -45,8 +45,8 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learnt from the labels of four of five folds."""
     docs = table(spark, sf_dir, "documents")
     training = docs.where(fold(5) != 0)
-    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    model = toxicity.fit(training, training.select("doc_id", "text").join(labels, "doc_id"))
+    labelled = toxicity.labelled_texts(training, table(spark, sf_dir, "labels"))
+    model = toxicity.fit(training, labelled)
     scores = toxicity.score(docs, model)
     return scores.select("doc_id", (fold(5) == 0).alias("held_out"), "score", "predicted")
 

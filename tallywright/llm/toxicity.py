@@ -46,6 +46,7 @@ DRAWN_OUT = re.compile(rf"({LETTER})\1\1")
 BLANK = re.compile(r"\s")
 STEMS = (4, 5)
 LONGEST = 64  # letters: longer tokens are no words in disguise, and are scored as they stand
+LABELLED_ROWS = 200_000  # labelled ids the marks are learnt from: 16 bytes each are broadcast
 CALIBRATE_ROWS = 20_000  # labelled rows the probability's two numbers are fitted on
 MOST_FEATURES = 100_000  # of the highest evidence: the model's size
 CACHE = 200_000
@@ -241,6 +242,21 @@ def _count_features(lm: Letters):
     return run
 
 
+def labelled_texts(
+    docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic",
+    rows: int = LABELLED_ROWS,
+) -> DataFrame:
+    """(text, label) of the documents among about ``rows`` labelled ids, chosen by a hash of the id.
+
+    So many ids and labels at most are sent to the documents, whose texts are not shuffled. An id
+    labelled twice has the larger label.
+    """
+    known = labels.where(F.col(label).isin(0, 1)).groupBy(id).agg(F.max(label).alias(label))
+    share = min(1.0, rows / max(1, known.count()))
+    picked = known.where(F.pmod(F.xxhash64(id), F.lit(1 << 20)) < int(share * (1 << 20)))
+    return docs.select(id, text).join(F.broadcast(picked), id).select(text, label)
+
+
 def fit(texts: DataFrame, labelled: DataFrame, text: str = "text", label: str = "toxic") -> Model:
     """A letter model of all ``texts`` and marks from all ``labelled`` rows (text, 0 or 1).
 
