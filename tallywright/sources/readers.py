@@ -53,7 +53,7 @@ def _json_texts(spark: SparkSession, path: str, layout: str) -> DataFrame:
         # The first piece is what stands before the first record: a bracket, or a whole array that
         # is not indented. The others lack their first brace and end with a comma or the bracket.
         opening = F.startswith(F.ltrim(text), F.lit("["))
-        others = F.array(F.concat(F.lit("{"), F.regexp_replace(text, r"[\s,\]]+$", "")))
+        others = F.array(F.concat(F.lit("{"), F.rtrim(text, F.lit(" \t\r\n,]"))))
         records = F.when(opening, F.from_json(text, "array<string>")).otherwise(others)
         return _with_position(pieces.select(source, F.explode(records).alias("_json")))
     if layout != "array_in_order":

@@ -57,7 +57,7 @@ def write_json_arrays(
     folder = F.col(partition_by).cast("string") if partition_by else F.lit("")
     text = df.select(
         F.coalesce(folder, F.lit("__HIVE_DEFAULT_PARTITION__")).alias("folder"),
-        F.concat(F.lit("\n  "), F.regexp_replace(record, "\r?\n", "\n  ")).alias("value"),
+        F.concat(F.lit("\n  "), F.replace(record, F.lit("\n"), F.lit("\n  "))).alias("value"),
     )
     if partition_by:
         text = text.sortWithinPartitions("folder")
