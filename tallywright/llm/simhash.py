@@ -24,6 +24,7 @@ SEED = 42
 RADIUS = 3
 SEGMENT = 32
 CHUNK = 1 << 16  # shingles of one text that are hashed at a time
+MOST_BROADCAST = 500_000  # keys of 16 bytes
 BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.float64)
 PLACES = (np.arange(8) * 256).astype(np.intp)
 
@@ -148,7 +149,8 @@ def deduplicate(docs: DataFrame, id: str = "doc_id", text: str = "text", width:
     underscores are taken.
 
     What goes is found from ids and fingerprints alone; texts are written once with their
-    fingerprint and meet only the keys of the rows that go.
+    fingerprint and meet only the keys of the rows that go, which are sent to them where they are
+    at most ``MOST_BROADCAST``.
     """
     marked = stored(with_fingerprint(docs, text, width, "__fp"), "marked")
     narrow = marked.select(F.col(id).alias("__id"), F.col("__fp").alias("fp"))
@@ -165,8 +167,11 @@ def deduplicate(docs: DataFrame, id: str = "doc_id", text: str = "text", width:
     repeated = placed.where(stays & (F.col("times") > 1)).select(
         F.col("__id").alias("__gone"), F.col("fp").alias("__gone_fp")
     )
+    leaving = stored(gone.unionByName(repeated), "leaving")
+    if leaving.count() <= MOST_BROADCAST:
+        leaving = F.broadcast(leaving)
     same = F.col(id).eqNullSafe(F.col("__gone")) & (F.col("__fp") == F.col("__gone_fp"))
-    kept = marked.join(gone.unionByName(repeated), same, "left_anti")
+    kept = marked.join(leaving, same, "left_anti")
     names = docs.columns
     one = (
         marked.join(repeated, same, "left_semi")
