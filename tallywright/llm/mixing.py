@@ -16,6 +16,7 @@ from pyspark.sql import window as W
 from tallywright.sources.scratch import stored
 
 BUCKET_DIGITS = 4  # hex digits of the hash by which a leaf's tokens are first counted
+MOST_BROADCAST = 50_000  # leaves, of some 100 bytes each
 WORD = r"[^\x20\x09-\x0D]+"
 LEVELS = ("__domain", "__lang", "__source")
 
@@ -97,7 +98,8 @@ def mix(
     does not begin with two underscores.
 
     Tokens are counted once and stored; then a leaf's tokens are summed by hash prefix, and only the
-    documents at the cut are ordered, so a leaf with a third of all rows is no single task.
+    documents at the cut are ordered, so a leaf with a third of all rows is no single task. Texts
+    are not shuffled where the leaves are at most ``MOST_BROADCAST``.
     """
     named = docs.withColumns(
         {n: F.coalesce(c.cast("string"), F.lit("")) for n, c in zip(LEVELS, (domain, lang, source))}
@@ -118,8 +120,11 @@ def mix(
         ),
         "budgets",
     )
+    # The plan has one row a leaf; sent to the rows if it is small, else joined by their leaf.
+    few = plan.count() <= MOST_BROADCAST
+    known = F.broadcast if few else (lambda df: df)
     open_leaves = plan.where(F.col("whole") < epochs)
-    rows = counted.join(open_leaves.select(*LEVELS, "whole", "rest"), list(LEVELS)).withColumn(
+    rows = counted.join(known(open_leaves.select(*LEVELS, "whole", "rest")), list(LEVELS)).withColumn(
         "order", _order(seed, F.col("whole"), "__id")
     ).withColumn("bucket", F.substring("order", 1, BUCKET_DIGITS))
     before = W.Window.partitionBy(*LEVELS).orderBy("bucket").rowsBetween(W.Window.unboundedPreceding, -1)
@@ -147,7 +152,7 @@ def mix(
     in_prefix = F.coalesce(_order(seed, F.col("__whole"), id) <= F.col("__upto"), F.lit(False))
     copies = F.col("__whole") + in_prefix.cast("int")
     return (
-        named.join(limits, list(LEVELS))
+        named.join(known(limits), list(LEVELS))
         .withColumn("__copies", copies)
         .where("__copies > 0")
         .withColumn("__epoch", F.explode(F.sequence(F.lit(0), F.col("__copies") - 1)))
