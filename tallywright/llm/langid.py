@@ -207,7 +207,7 @@ def decide(model: Model, texts: list[str], penalty: float) -> tuple[list[str], n
     return names, scores
 
 
-def accepted(docs: DataFrame, model: Model, text: str = "text", least: float = 0.5, penalty: float = SWITCH) -> DataFrame:
+def accepted(docs: DataFrame, model: Model, text: str = "text", least: float = 0.4, penalty: float = SWITCH) -> DataFrame:
     """The rows with a language that holds at least ``least`` of their letters, all columns kept.
 
     Rejected are NULL, empty and letter-free texts and those without such a language.
