@@ -136,6 +136,18 @@ def test_last_assistant(spark):
         assert one(spark, tx.last_assistant(F.col("a")), a=text) == wanted
 
 
+def test_script_text(spark):
+    row = spark.createDataFrame([("y = 1", ["assert y == 1"])], "a string, b array<string>").select(
+        tx.test_script(F.col("a"), F.col("b")).alias("s")
+    ).first()
+    assert row["s"] == (
+        "# Generated code\ny = 1\n\n# Test cases\n\n# Test case 1\ntry:\n    result = y == 1\n"
+        "    if result:\n        print(f\"Test 1: PASS - All Clear\")\n    else:\n"
+        "        print(f\"Test 1: FAIL - Result does not match expected output\")\n"
+        "except Exception as e:\n    print(f\"Test 1: FAIL - {e}\")\n"
+    )
+
+
 def test_script_runs_as_written(spark):
     code = "def f(x):\n    return x + 1"
     script = one(

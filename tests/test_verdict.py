@@ -170,26 +170,20 @@ def test_evaluate_end_to_end(spark):
     assert sorted(r[0] for r in ev.ids_where(done, False).collect()) == [2, 3, 4, 5]
 
 
-def test_three_mock_records_all_pass(spark):
-    from tallywright import schemas
-
-    records = [
-        ("add", "assert add_numbers(1, 2) == 3"),
-        ("multiply", "assert multiply_numbers(2, 3) == 6"),
-        ("even", "assert is_even(2) == True"),
+def test_rate_of_mixed_endings(spark):
+    """One passes, one fails an assertion, one prints nothing, one was stopped."""
+    endings = [
+        (0, "Test 1: PASS - All Clear\n", "", False), (1, "", "AssertionError: no\n", False),
+        (0, "", "", False), (0, "", "", True),
     ]
     df = spark.createDataFrame(
-        [(i, "x = 1", [t]) for i, (_, t) in enumerate(records)],
-        "problem_id long, generated_code string, test_cases array<string>",
-    )
-    runs = ev.with_script(df).withColumns(
-        {
-            "returncode": F.lit(0), "stdout": F.lit("Test 1: PASS - All Clear\n"),
-            "stderr": F.lit(""), "timed_out": F.lit(False), "runner_error": F.lit(None).cast("string"),
-        }
+        [(k, "y = 2", ["assert y == 2"], *e, None) for k, e in enumerate(endings)],
+        "problem_id long, generated_code string, test_cases array<string>, returncode int, stdout string, "
+        "stderr string, timed_out boolean, runner_error string",
     )
-    stats = ev.evaluation_stats(ev.without_code_failed(ev.with_verdict(runs))).first()
-    assert (stats["total_problems"], stats["passed"], stats["pass_rate"]) == (3, 3, 1.0)
+    judged = ev.without_code_failed(ev.with_verdict(ev.with_script(df)))
+    stats = ev.evaluation_stats(judged).first()
+    assert (stats["total_problems"], stats["passed"], stats["pass_rate"]) == (4, 1, 0.25)
 
 
 def test_stats_of_nothing(spark):
