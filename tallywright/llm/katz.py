@@ -14,7 +14,6 @@ most 1 / ``HOT``, and only their sums meet on the driver.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,7 +43,8 @@ def pack(a: np.ndarray) -> bytes:
         top = int(a.max()) if len(a) else 0
         kind = 0 if top < 1 << 8 else 1 if top < 1 << 16 else 2 if top < 1 << 32 else 3
     # Bytes of equal weight stand together, so that the zeros of small numbers do.
-    plain = a.astype(KINDS[kind]).view(np.uint8).reshape(len(a), -1).T.tobytes()
+    width = np.dtype(KINDS[kind]).itemsize
+    plain = a.astype(KINDS[kind]).view(np.uint8).reshape(len(a), width).T.tobytes()
     return bytes([kind]) + len(a).to_bytes(8, "little") + pa.compress(plain, codec="zstd", asbytes=True)
 
 
