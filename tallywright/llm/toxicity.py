@@ -34,16 +34,22 @@ DROP_COST = 1.5  # a sign that stands for nothing
 DROP_READABLE_COST = 6.0  # the same, if it could stand for a letter
 KEEP_COST = 6.0  # a sign that is no disguise: the word ends there
 SHORTEN_COST = 0.5  # a drawn-out letter written once or twice
+BREAK_COST = 0.5  # a gap between short pieces read as a word's end, or as none if others are narrower
+WIDE_COST = 3.0
 BEAM = 64
 READINGS = 6  # kept for each end of a reading, within this of the best
 WITHIN = 8.0
 EDGES = " \t.,;:?!\"'()[]{}<>"
 LETTER = r"[^\W\d_]"
 WORD = re.compile(rf"{LETTER}+")
-SPACED = re.compile(rf"[\s._*\-]{LETTER}(?:[ ._*\-]{{1,2}}{LETTER}(?!{LETTER})){{3,}}")
+SIGN = re.compile(r"[@$!|+(€£*#]")  # look-alikes that are no digits
+# A short piece is one character, also drawn out, or two of which one is a digit.
+PIECES = [rf"(?:([^\W_])\{k}*+|[^\W_][0-9]|[0-9][^\W_])(?![^\W_])" for k in (1, 2)]
+SPELLED = re.compile(rf"(?<![^\W_]){PIECES[0]}(?:[\W_]++{PIECES[1]})*")
 SIGNS = re.compile(rf"[0-9@$!|+(€£*#_.\-](?:(?={LETTER})|(?<={LETTER}[0-9@$]))")
 DRAWN_OUT = re.compile(rf"({LETTER})\1\1")
 BLANK = re.compile(r"\s")
+GAP = re.compile(r"[\W_]+")
 STEMS = (4, 5)
 LONGEST = 64  # letters: longer tokens are no words in disguise, and are scored as they stand
 LABELLED_ROWS = 200_000  # labelled ids the marks are learnt from: 16 bytes each are broadcast
@@ -121,10 +127,48 @@ def _lattice(token: str) -> list[list[tuple[str, float]]]:
     return steps
 
 
-def readings(token: str, model: Letters) -> list[str]:
-    """The likeliest readings of a lower-case token, best first; blanks set words in it apart."""
+def _piece_lattice(pieces: list[str], k: int) -> list[list[tuple[str, float]]]:
+    steps = _lattice(pieces[k])
+    same = [set(x) == set(pieces[k]) for x in pieces[max(0, k - 2) : k + 3]]
+    here = min(k, 2)
+    if here and len(steps) == 1 and same[here - 1] and (any(same[: here - 1]) or any(same[here + 1 : here + 2])):
+        steps[0].append(("", SHORTEN_COST))
+    return steps
+
+
+def _spelled_lattice(run: str) -> list[list[tuple[str, float]]]:
+    """The same for short pieces with gaps between: each gap is read as none or as a word's end.
+
+    Where gaps differ in width the narrow ones rather join and the wider ones rather part. A sign in
+    a gap may also be a look-alike. Pieces of one letter drawn out over three or more may be fewer.
+    """
+    gaps = list(GAP.finditer(run))
+    narrow = min((len(m[0]) for m in gaps), default=0)
+    pieces = GAP.split(run)
+    steps = []
+    for k, m in enumerate(gaps):
+        steps += _piece_lattice(pieces, k)
+        wide = len(m[0]) > narrow and not SIGN.search(m[0])
+        gap = [("", WIDE_COST), (" ", 0.0)] if wide else [("", 0.0), (" ", BREAK_COST)]
+        apart = True
+        for c in dict.fromkeys(m[0]):
+            if SIGN.match(c):
+                options = _lattice(c)[0]
+                steps.append([("", DROP_COST), *options[2:]])
+                apart = True
+            elif apart:
+                steps.append(gap)
+                apart = False
+    return steps + _piece_lattice(pieces, len(gaps))
+
+
+def readings(token: str, model: Letters, spelled: bool = False) -> list[str]:
+    """The likeliest readings of a lower-case token, best first; blanks set words in it apart.
+
+    A ``spelled`` token is a run of short pieces with blanks or signs between.
+    """
     beam: dict[tuple[int, int], list[tuple[float, str]]] = {(0, 0): [(0.0, "")]}
-    for options in [*_lattice(token), [(" ", 0.0)]]:
+    for options in [*(_spelled_lattice if spelled else _lattice)(token), [(" ", 0.0)]]:
         reached: dict[tuple[int, int], dict[str, float]] = {}
         for (b, a), paths in beam.items():
             for reading, cost in options:
@@ -148,21 +192,46 @@ def readings(token: str, model: Letters) -> list[str]:
     return [t.strip() for v, t in paths if v > paths[0][0] - WITHIN]
 
 
+def spelled_runs(small: str) -> Iterator[str]:
+    """Runs of two or more short pieces, with the look-alike signs that stand apart beside them.
+
+    A run of digits alone is a number and no word in disguise.
+    """
+    for m in SPELLED.finditer(small):
+        a, b = m.span()
+        while a and not small[a - 1].isalnum():
+            a -= 1
+        while b < len(small) and not small[b].isalnum():
+            b += 1
+        # Signs without a blank to a longer word beside the run belong to that word.
+        before, after = small[a : m.start()], small[m.end() : b]
+        if a:
+            blank = BLANK.search(before)
+            before = before[blank.end() :] if blank else ""
+        if b < len(small):
+            after = after[: max([0, *(x.start() for x in BLANK.finditer(after))])]
+        run = (before + m[0] + after).strip()
+        if SIGN.search(run) or (GAP.search(run.strip(EDGES)) and WORD.search(run)):
+            yield run
+
+
 class Reader:
     """The distinct words of a text, plain and restored."""
 
     def __init__(self, model: Letters):
         self.model = model
-        self.cache: dict[str, tuple[str, ...]] = {}
+        self.cache: dict[tuple[str, bool], tuple[str, ...]] = {}
 
-    def _read(self, token: str) -> tuple[str, ...]:
-        found = self.cache.get(token)
+    def _read(self, token: str, spelled: bool = False) -> tuple[str, ...]:
+        found = self.cache.get((token, spelled))
         if found is None:
             if len(self.cache) > CACHE:
                 self.cache.clear()
-            words = {w for t in readings(token, self.model) for w in WORD.findall(t)} if len(token) <= LONGEST else ()
+            words = ()
+            if len(token) <= LONGEST:
+                words = {w for t in readings(token, self.model, spelled) for w in WORD.findall(t)}
             found = tuple(words)
-            self.cache[token] = found
+            self.cache[token, spelled] = found
         return found
 
     def words(self, text: str | None) -> set[str]:
@@ -170,8 +239,8 @@ class Reader:
             return set()
         small = text.lower()
         found = set(WORD.findall(small))
-        for m in SPACED.finditer("\n" + small):
-            found.update(self._read("".join(WORD.findall(m[0]))))
+        for run in spelled_runs(small):
+            found.update(self._read(run, True))
         for trigger in (SIGNS, DRAWN_OUT):
             done = 0
             for m in trigger.finditer(small):

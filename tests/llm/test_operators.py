@@ -197,6 +197,17 @@ def test_disguised_words_are_read():
     assert reader.words("x1" * 50_000) >= {"x"}
 
 
+@pytest.mark.parametrize("text, word", [
+    ("i d 1 o t", "idiot"), ("m 0 r 0 n", "moron"), ("1 d 10 t", "idiot"), ("$ t u p ! d", "stupid"), ("m * r * n", "moron"),
+    ("a s t u p i d", "stupid"), ("s t u p i d i d i o t", "stupid"), ("s t u p i d i d i o t", "idiot"), ("c a t", "cat"),
+    ("y o u a r e s t u p i d", "stupid"), ("y o u  a r e  a  l o s e r", "loser"), ("m, o, r, o, n", "moron"),
+    ("the m\no\nr\no\nn sat", "moron"), ("s t u u u u p i d", "stupid"), ("m*o*r*o*n", "moron"), ("s t u p 1 d cat", "stupid"),
+])
+def test_spelled_words_are_read(text, word):
+    model = letter_model(*["you are a stupid idiot and a loser moron the cat is there on that mat"] * 20)
+    assert word in toxicity.Reader(model).words(text)
+
+
 def test_op5_separates_labels(spark):
     random.seed(7)
     plain = "the cat sat on that mat and then it went out for more of this".split()
