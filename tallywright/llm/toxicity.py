@@ -51,7 +51,11 @@ DRAWN_OUT = re.compile(rf"({LETTER})\1\1")
 BLANK = re.compile(r"\s")
 GAP = re.compile(r"[\W_]+")
 STEMS = (4, 5)
-LONGEST = 64  # letters: longer tokens are no words in disguise, and are scored as they stand
+WINDOW = 128  # steps of the lattice decoded at a time; longer stretches in windows, each half new
+KNOWN = 1024  # characters: readings of longer windows are not kept
+PART = re.compile(r"[a-z\u00df-\u024f0-9@$!|+(\u20ac\u00a3*#]+")  # what look-alikes may be part of
+SAME = re.compile(r"(.)\1*", re.DOTALL)
+PIECE_OR_GAP = re.compile(r"[^\W_]+|[\W_]+")
 LABELLED_ROWS = 200_000  # labelled ids the marks are learnt from: 16 bytes each are broadcast
 CALIBRATE_ROWS = 20_000  # labelled rows the probability's two numbers are fitted on
 MOST_FEATURES = 100_000  # of the highest evidence: the model's size
@@ -220,37 +224,63 @@ class Reader:
 
     def __init__(self, model: Letters):
         self.model = model
-        self.cache: dict[tuple[str, bool], tuple[str, ...]] = {}
+        self.cache: dict[tuple[str, bool, tuple[bool, bool]], tuple[str, ...]] = {}
 
-    def _read(self, token: str, spelled: bool = False) -> tuple[str, ...]:
-        found = self.cache.get((token, spelled))
+    def _read(self, token: str, spelled: bool = False, cut: tuple[bool, bool] = (False, False)) -> tuple[str, ...]:
+        """Words of a window's readings; at a cut only a long word's beginning, no end, is a word."""
+        key = token, spelled, cut
+        found = self.cache.get(key)
         if found is None:
-            if len(self.cache) > CACHE:
-                self.cache.clear()
-            words = ()
-            if len(token) <= LONGEST:
-                words = {w for t in readings(token, self.model, spelled) for w in WORD.findall(t)}
+            words = set()
+            for t in readings(token, self.model, spelled):
+                for m in WORD.finditer(t):
+                    torn = cut[1] and m.end() == len(t) and m.end() - m.start() < WINDOW // 4
+                    if not (torn or cut[0] and m.start() == 0):
+                        words.add(m[0])
             found = tuple(words)
-            self.cache[token, spelled] = found
+            if len(token) <= KNOWN:
+                if len(self.cache) > CACHE:
+                    self.cache.clear()
+                self.cache[key] = found
         return found
 
+    def _read_all(self, token: str, spelled: bool = False) -> Iterator[str]:
+        """Words of the whole token: a word of less than ``WINDOW`` / 2 steps is inside some window."""
+        if len(token) <= WINDOW:
+            yield from self._read(token, spelled)
+            return
+        starts = [m.start() for m in (PIECE_OR_GAP if spelled else SAME).finditer(token)] + [len(token)]
+        count = len(starts) - 1
+        for at in range(0, max(1, count - WINDOW // 2), WINDOW // 2):
+            end = min(count, at + WINDOW)
+            piece = token[starts[at] : starts[end]]
+            if spelled or SIGNS.search(piece) or DRAWN_OUT.search(piece):
+                yield from self._read(piece, spelled, (at > 0, end < count))
+
     def words(self, text: str | None) -> set[str]:
         if not text:
             return set()
         small = text.lower()
         found = set(WORD.findall(small))
         for run in spelled_runs(small):
-            found.update(self._read(run, True))
+            found.update(self._read_all(run, True))
         for trigger in (SIGNS, DRAWN_OUT):
             done = 0
             for m in trigger.finditer(small):
                 if m.start() < done:
                     continue
-                near = small[max(done, m.start() - LONGEST) : m.start()]
-                begin = m.start() - len(near) + max([0, *(x.end() for x in BLANK.finditer(near))])
+                begin = m.start()
+                while begin > done and not small[begin - 1].isspace():
+                    begin -= 1
                 end = BLANK.search(small, m.end())
                 done = end.start() if end else len(small)
-                found.update(self._read(small[begin:done].strip(EDGES)))
+                token = small[begin:done].strip(EDGES)
+                found.update(self._read_all(token))
+                # Signs and letters that no look-alike stands for also part words.
+                for part in PART.findall(token):
+                    part = part.strip(EDGES)
+                    if len(part) < len(token) and (SIGNS.search(part) or DRAWN_OUT.search(part)):
+                        found.update(self._read_all(part))
         return found
 
 

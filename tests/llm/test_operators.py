@@ -208,6 +208,17 @@ def test_spelled_words_are_read(text, word):
     assert word in toxicity.Reader(model).words(text)
 
 
+@pytest.mark.parametrize("text, word", [
+    *((sign.join(["hello"] * 14 + ["1d10t"] + ["there"] * 14), "idiot") for sign in (",", ".", "_", "-", "/", "|", "*", "</b><b>")),
+    ("\u4f60\u771f\u662f1d10t\u554a" + "\u4f60" * 90, "idiot"), ("\u4f60" * 90 + "m0r0n\u554a", "moron"),
+    (" ".join("thecatisthereonthatmat" * 9 + "youareastupididiot" + "thecatisthere" * 5), "stupid"),
+    (" ".join("thecatisthereonthatmat" * 9 + "stup1d" + "thecatisthere" * 5), "stupid"), ("hello" * 40 + ",l0ser", "loser"),
+])
+def test_long_stretches_are_read(text, word):
+    model = letter_model(*["you are a stupid idiot and a loser moron the cat is there on that mat hello"] * 20)
+    assert word in toxicity.Reader(model).words(text)
+
+
 def test_op5_separates_labels(spark):
     random.seed(7)
     plain = "the cat sat on that mat and then it went out for more of this".split()
