@@ -304,10 +304,10 @@ def cosine_groups(
 
     n_links counts the other rows with at least that cosine, component_id is the smallest id reached
     by links, kept says that this is the row's own. Vectors that are NULL, empty, zero or hold NULL
-    or non-finite numbers have no links and keep their id; so do vectors of another length than the
-    most frequent one. Equal directions are merged first, and counted with their number; repeated
-    ids are rows like any other. Ids are integers. An empty table gives an empty one; other columns
-    are left out.
+    or non-finite numbers have no links and keep their id. Vectors of different lengths have no
+    links; those of each length are compared in a run of their own. Equal directions are merged
+    first, and counted with their number; repeated ids are rows like any other. Ids are integers. An
+    empty table gives an empty one; other columns are left out.
 
     Every pair of pieces whose boxes allow a link is compared once, in a task that holds these two
     pieces; what leaves it is one row a vector, never a list of pairs.
@@ -315,17 +315,18 @@ def cosine_groups(
     chosen = vectors.select(F.col(id).cast("bigint").alias("id"), F.col(vector).alias("v"))
     units = stored(chosen.mapInArrow(_unit, "id bigint, unit binary"), "units")
     size = F.octet_length("unit")
-    most = units.where("unit is not null").groupBy(size.alias("size")).count().orderBy(F.desc("count"), "size").first()
-    bytes_each = most["size"] if most else -1
-    fits = F.coalesce(size == bytes_each, F.lit(False))
-    alone = units.where(~fits).select(
+    sizes = units.where("unit is not null").select(size.alias("size")).distinct().orderBy("size").collect()
+    found = units.where("unit is null").select(
         F.col("id").alias(id), F.lit(0).cast("bigint").alias("n_links"),
         F.col("id").alias("component_id"), F.lit(True).alias("kept"),
     )
-    if not most:
-        return alone
-    width = bytes_each // 8
-    rows = units.where(fits)
+    for r in sizes:
+        found = _groups_of_width(units.where(size == r["size"]), r["size"] // 8, cosine, id, lead).unionByName(found)
+    return found
+
+
+def _groups_of_width(rows: DataFrame, width: int, cosine: float, id: str, lead: int) -> DataFrame:
+    """(id, n_links, component_id, kept) of rows (id, unit) whose vectors all have that length."""
     # Copies: one vector stands for all, with their number.
     merged = rows.groupBy("unit").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("times"))
     merged = stored(merged.withColumn("rep", F.monotonically_increasing_id()), "merged")
@@ -366,4 +367,4 @@ def cosine_groups(
     )
     return rows.join(known, "unit").select(
         F.col("id").alias(id), "n_links", "component_id", (F.col("id") == F.col("component_id")).alias("kept")
-    ).unionByName(alone)
+    )

@@ -431,6 +431,14 @@ def test_op9_against_brute_force(spark, monkeypatch, cosine):
     assert vectors.cosine_groups(df.limit(0)).count() == 0
 
 
+def test_op9_compares_every_width(spark):
+    data = [(k, [1.0, 0.0, 0.01 * k]) for k in range(4)] + [(10, [1.0, 0.0]), (11, [2.0, 0.0]), (12, [0.0, 1.0]), (20, [3.0]), (21, [0.0])]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    got = sorted(map(tuple, vectors.cosine_groups(df).collect()))
+    assert got == [*((k, 3, 0, k == 0) for k in range(4)), (10, 1, 10, True), (11, 1, 10, False), (12, 0, 12, True),
+                   (20, 0, 20, True), (21, 0, 21, True)]
+
+
 # --- op10 and its stage ---
 
 
