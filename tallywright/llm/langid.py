@@ -85,6 +85,7 @@ class Model:
         scripts[letters.NONE] = 0
         shares = scripts / np.maximum(scripts.sum(axis=0), 1)
         allowed = shares >= SCRIPT_SHARE
+        self.own = allowed.any(axis=1)
         allowed[~allowed.any(axis=1)] = True  # nobody's script narrows nothing
         self.barred = np.where(allowed, 0, -50).astype(np.float32)
         self.first = int(np.argmax(counts.sum(axis=0))) if self.langs else 0
@@ -207,21 +208,23 @@ def decide(model: Model, texts: list[str], penalty: float) -> tuple[list[str], n
     return names, scores
 
 
-def accepted(docs: DataFrame, model: Model, text: str = "text", least: float = 0.4, penalty: float = SWITCH) -> DataFrame:
-    """The rows with a language that holds at least ``least`` of their letters, all columns kept.
+def accepted(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows with a letter of a script that some learned language is written in, all columns kept.
 
-    Rejected are NULL, empty and letter-free texts and those without such a language.
+    Rejected are NULL, empty and letter-free texts and those in scripts of no learned language. A
+    text may spread over any number of languages.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    most = max(AT_ONCE, (1 << 25) // max(4, len(model.langs)))
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = shared.value.own
+        _, script = letters.tables()
         for batch in batches:
             texts = [t or "" for t in batch.to_pylist()]
             kept: list[bool] = []
-            for a, b in letters.groups(texts, most):
-                names, scores = decide(shared.value, texts[a:b], penalty)
-                kept += [n != UNKNOWN and bool(x >= least) for n, x in zip(names, scores)]
+            for a, b in letters.groups(texts, AT_ONCE):
+                codes, starts = letters.points(texts[a:b])
+                kept += np.logical_or.reduceat(own[script[codes]], starts[:-1]).tolist()
             yield pa.array(kept, pa.bool_())
 
     return docs.where(F.arrow_udf(run, "boolean")(F.col(text)))

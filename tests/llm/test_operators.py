@@ -315,6 +315,16 @@ def test_op7_spans_and_odd_rows(spark, odd, docs):
     assert langid.accepted(odd, model).where("text is null or trim(text) = ''").count() == 0
 
 
+def test_texts_in_many_languages_are_accepted(docs):
+    parts = [("the cat sat on that mat and went there with them", "en"), ("le chat est sur le tapis avec une souris et des", "fr"),
+             ("кошка сидит на ковре и смотрит на птиц во дворе", "ru")]
+    model = langid.fit(docs(*[(k, t, lang) for k, (t, lang) in enumerate(parts * 20)]))
+    mixed = " ".join(t for t, _ in parts)
+    assert langid.decide(model, [mixed], langid.SWITCH)[1][0] < 0.4
+    rows = docs((1, mixed), (2, "고양이가 앉아 있다"), (3, "123 !?"), (4, None), (5, "le chat"))
+    assert sorted(r["doc_id"] for r in langid.accepted(rows, model).collect()) == [1, 5]
+
+
 def test_viterbi_against_brute_force():
     rng = np.random.default_rng(2)
     sizes = [0, 1, 5, 3, 6]
