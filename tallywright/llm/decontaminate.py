@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 RATE = 0.08
 BLOCK_CHARS = 4_000_000  # benchmark characters one pass over the documents looks for
+SHORT_CHARS = 13  # items below, so short that no edit is allowed, must stand between word edges
+SHORT_WORDS = 3  # and be a whole line or text if they have fewer words
 OTHER = re.compile(r"[\W_]+")
 
 
@@ -67,6 +69,18 @@ class Pattern:
         return best, end
 
 
+def _stands(item: str, line: str, places: set[int], lines: set[str]) -> int | None:
+    """Where a short item stands in ``line`` as words of its own, or as one of ``lines``."""
+    whole = item.count(" ") + 1 < SHORT_WORDS
+    if whole and item not in lines:
+        return None
+    for p in sorted(places):
+        end = p + len(item)
+        if (p == 0 or line[p - 1] == " ") and (end == len(line) or line[end] == " "):
+            return p
+    return None
+
+
 class Matcher:
     """All items of a block, ready to be looked for."""
 
@@ -94,6 +108,7 @@ class Matcher:
         if not text or not self.any:
             return []
         line = normal(text)
+        lines: set[str] | None = None
         starts: dict[int, set[int]] = {}
         for last, (size, where) in self.find.iter(line):
             for number, offset in where:
@@ -101,6 +116,13 @@ class Matcher:
         found = []
         for number, places in starts.items():
             key, pattern, budget = self.items[number]
+            if not budget and pattern.size < SHORT_CHARS:
+                if lines is None:
+                    lines = {line, *map(normal, text.splitlines())}
+                place = _stands(pattern.item, line, places, lines)
+                if place is not None:
+                    found.append((key, 0, place + pattern.size))
+                continue
             # Exact copies need no alignment.
             exact = next((p for p in sorted(places) if p >= 0 and line.startswith(pattern.item, p)), None)
             if exact is not None:
@@ -136,6 +158,9 @@ def contaminated(
 ) -> DataFrame:
     """(id, item, edits, end): every document row and every benchmark item it holds.
 
+    An item of fewer than ``SHORT_CHARS`` characters must begin and end at word edges, and with fewer
+    than ``SHORT_WORDS`` words it must be a whole line or text, unless ``rate`` allows it an edit.
+
     ``end`` is where the best match ends in the document's normal text. NULL and empty texts on
     either side hold nothing and match nothing, and so do items without a letter or digit. Repeated
     documents give repeated rows, repeated items one row each; empty tables give an empty one. Other

@@ -506,3 +506,11 @@ def test_op10_in_blocks(spark, docs, monkeypatch):
     df = docs(*[(k, f"before {t} after") for k, t in items])
     found = decontaminate.contaminated(df, spark.createDataFrame(items, "item_id long, text string"), rate=0.0)
     assert sorted((r["doc_id"], r["item_id"]) for r in found.collect()) == [(k, k) for k, _ in items]
+
+
+@pytest.mark.parametrize("item, text, held", [
+    ("he", "the sheet is there", False), ("42", "page 1421 of 42 pages", False), ("yes", "is it so?\nYes!\nwell", True), ("42", "42.", True),
+    ("he is in", "the is into", False), ("he is in", "now he is in, and", True), ("a long passage", "xa long passagex", True),
+])
+def test_short_items_are_words_of_their_own(item, text, held):
+    assert bool(decontaminate.Matcher([(1, item)], decontaminate.RATE).matches(text)) == held
