@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallywright.sources.scratch import stored
+
 RATE = 0.08
 BLOCK_CHARS = 4_000_000  # benchmark characters one pass over the documents looks for
 SHORT_CHARS = 13  # items below, so short that no edit is allowed, must stand between word edges
@@ -145,7 +147,8 @@ class Matcher:
 
 
 def _blocks(benchmark: DataFrame, item: str, text: str) -> list[DataFrame]:
-    """The items in blocks of about ``BLOCK_CHARS``, cut by a hash of the id."""
+    """(item, text, times) in blocks of about ``BLOCK_CHARS``, cut by a hash; repeats are one item."""
+    benchmark = benchmark.groupBy(item, text).agg(F.count(F.lit(1)).alias("__times"))
     total = benchmark.agg(F.sum(F.length(text))).first()[0] or 0
     count = max(1, -(-2 * total // BLOCK_CHARS)) if total > BLOCK_CHARS else 1
     block = F.pmod(F.xxhash64(item, text), F.lit(count))
@@ -166,31 +169,35 @@ def contaminated(
     documents give repeated rows, repeated items one row each; empty tables give an empty one. Other
     columns are left out. Very long texts are read whole, in time linear in their length.
 
-    One pass over the documents for each block of the benchmark and no shuffle; a block is what the
-    driver holds and sends, so its size is bounded whatever the benchmark's.
+    One pass over the documents for each block of the benchmark and no shuffle of documents; a block
+    is what the driver holds and sends, so its size is bounded whatever the benchmark's. With more
+    than one block, the result of each is stored before the next is collected.
     """
     chosen = docs.select(F.col(id).alias("__id"), F.col(text).alias("__text"))
     kinds = chosen.schema["__id"].dataType.simpleString(), benchmark.schema[item].dataType.simpleString()
     schema = f"`{id}` {kinds[0]}, `{item}` {kinds[1]}, edits int, `end` bigint"
     found = None
-    for block in _blocks(benchmark, item, item_text):
-        items = [tuple(r) for r in block.select(item, item_text).collect()]
+    blocks = _blocks(benchmark, item, item_text)
+    for block in blocks:
+        items = [((r[0], r[2]), r[1]) for r in block.select(item, item_text, "__times").collect()]
         part = chosen.mapInArrow(_search(items, rate, id, item), schema)
+        if len(blocks) > 1:
+            part = stored(part, "found")
         found = part if found is None else found.unionByName(part)
     return found
 
 
-def _search(items: list[tuple[object, str]], rate: float, id: str, item: str):
+def _search(items: list[tuple[tuple[object, int], str]], rate: float, id: str, item: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(items, rate)
         for batch in batches:
             rows, keys, edits, ends = [], [], [], []
             for k, value in enumerate(batch.column(1)):
-                for key, distance, end in matcher.matches(value.as_py()):
-                    rows.append(k)
-                    keys.append(key)
-                    edits.append(distance)
-                    ends.append(end)
+                for (key, times), distance, end in matcher.matches(value.as_py()):
+                    rows += [k] * times
+                    keys += [key] * times
+                    edits += [distance] * times
+                    ends += [end] * times
             ids = batch.column(0).take(pa.array(rows, pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array(keys), pa.array(edits, pa.int32()), pa.array(ends, pa.int64())],
@@ -203,9 +210,12 @@ def _search(items: list[tuple[object, str]], rate: float, id: str, item: str):
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", rate: float = RATE) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, all columns and repeats kept."""
     kept = docs
-    for block in _blocks(benchmark, item, item_text):
+    blocks = _blocks(benchmark.select(F.lit(0).alias(item), item_text), item, item_text)
+    for block in blocks:
         items = [tuple(r) for r in block.select(item, item_text).collect()]
         kept = kept.where(~F.arrow_udf(_holds(items, rate), "boolean")(F.col(text)))
+        if len(blocks) > 1:
+            kept = stored(kept, "kept")
     return kept
 
 

@@ -514,3 +514,18 @@ def test_op10_in_blocks(spark, docs, monkeypatch):
 ])
 def test_short_items_are_words_of_their_own(item, text, held):
     assert bool(decontaminate.Matcher([(1, item)], decontaminate.RATE).matches(text)) == held
+
+
+def test_op10_holds_one_block_at_a_time(spark, docs, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 100)
+    calls = []
+    monkeypatch.setattr(decontaminate, "stored", lambda df, name: calls.append(name) or df)
+    items = [(k, f"a passage of the benchmark numbered {k} of ten thousand") for k in range(4)] + [(9, "one passage many times over")] * 50
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    df = docs((1, items[0][1]), (2, items[-1][1]), (3, "clean"))
+    blocks = decontaminate._blocks(benchmark, "item_id", "text")
+    assert max(b.count() for b in blocks) <= 5
+    found = decontaminate.contaminated(df, benchmark, rate=0.0)
+    assert Counter((r["doc_id"], r["item_id"]) for r in found.collect()) == {(1, 0): 1, (2, 9): 50}
+    assert calls == ["found"] * len(blocks)
+    assert [r["doc_id"] for r in decontaminate.clean(df, benchmark).collect()] == [3] and "kept" in calls
