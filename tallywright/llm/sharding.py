@@ -146,15 +146,15 @@ def _cuts(waiting: DataFrame, need: dict[int, int]) -> dict[int, tuple[int, int]
 
 def assign(
     docs: DataFrame, id: str = "doc_id", text: str = "text", shards: int = 8, virtual: int = 128,
-    slack: float = 0.0, seed: int = 17,
+    slack: float = 0.0, seed: int = 17, carried: tuple[str, ...] = (),
 ) -> DataFrame:
-    """(id, size, text_crc32, shard, slot): every row's shard and its place there.
+    """(id, size, text_crc32, shard, slot, *carried): every row's shard and its place there.
 
     Capacity is in rows: ``slack`` 0 gives counts at most one apart; with more slack fewer rows
     leave their first shard, and fewer move when a shard is added. size is the text's UTF-8 bytes
     (NULL: none) and one; slots run from 0 without gaps. Repeated rows and ids are rows like any
     other (a cut among repeats of one key falls between them); NULL ids share one place of the ring.
-    An empty table gives an empty one; other columns are left out.
+    An empty table gives an empty one; other columns than ``carried`` are left out.
 
     Hashes are stored once. Each step around the ring counts the rows still waiting by hash prefix;
     at most ``shards`` * 2**14 counts reach the driver, whatever the size of the table.
@@ -166,7 +166,7 @@ def assign(
         F.crc32(F.coalesce(F.col(text), F.lit(""))).alias("text_crc32"),
         F.xxhash64(F.lit(seed), F.col(id)).alias("position"),
         F.xxhash64(F.lit(seed + 1), F.col(id)).alias("rank"),
-        F.xxhash64(F.monotonically_increasing_id()).alias("row"),
+        F.xxhash64(F.monotonically_increasing_id()).alias("row"), *carried,
     )
     table = stored(table.withColumn("walk", _walk(points, walks, F.col("position"))).drop("position"), "ring")
     total = table.count()
@@ -189,7 +189,7 @@ def assign(
     bits = max(1, (max(total, 1) // (shards * SLOT_ROWS)).bit_length())
     placed = table.select(
         id, "size", "text_crc32", "row", cuts.shard().alias("shard"),
-        F.shiftright(F.col("row"), 64 - bits).alias("part"),
+        F.shiftright(F.col("row"), 64 - bits).alias("part"), *carried,
     )
     before = W.Window.partitionBy("shard").orderBy("part").rowsBetween(W.Window.unboundedPreceding, -1)
     starts = (
@@ -200,12 +200,16 @@ def assign(
     return (
         placed.withColumn("n", F.row_number().over(order))
         .join(starts, ["shard", "part"])
-        .select(id, "size", "text_crc32", "shard", (F.col("start") + F.col("n") - 1).alias("slot"))
+        .select(id, "size", "text_crc32", "shard", (F.col("start") + F.col("n") - 1).alias("slot"), *carried)
     )
 
 
 def write_shards(docs: DataFrame, path: str, id: str = "doc_id", shards: int = 8) -> None:
-    """Writes ``docs`` as Parquet, one folder a shard; ids must be unique and not NULL."""
-    places = assign(docs, id, shards=shards).select(id, "shard", "slot")
-    joined = docs.join(places, id)
+    """Writes ``docs`` as Parquet, one folder a shard: every row once, repeats and NULL ids included.
+
+    Rows are numbered and stored, and joined with their places by that number.
+    """
+    numbered = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    places = assign(numbered, id, shards=shards, carried=("__row",)).select("__row", "shard", "slot")
+    joined = numbered.join(places, "__row").drop("__row")
     joined.repartitionByRange("shard", "slot").write.partitionBy("shard").parquet(path)

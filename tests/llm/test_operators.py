@@ -159,6 +159,15 @@ def test_ring_walk_against_brute_force(spark):
     assert got == home
 
 
+def test_every_row_is_written_once(spark, odd, tmp_path):
+    sharding.write_shards(odd.unionByName(odd.where("doc_id = 5")), f"{tmp_path}/shards", shards=3)
+    rows = spark.read.parquet(f"{tmp_path}/shards").collect()
+    want = [tuple(r) for r in odd.collect()]
+    assert Counter(tuple(r[c] for c in odd.columns) for r in rows) == Counter(want + [r for r in want if r[0] == 5])
+    slots = [(r["shard"], r["slot"]) for r in rows]
+    assert len(set(slots)) == len(slots) == len(want) + 1
+
+
 # --- op4 ---
 
 
