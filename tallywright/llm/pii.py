@@ -29,6 +29,7 @@ CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 EMAIL_RUN = re.compile(r"[A-Za-z0-9._%+@-]+")
 TRIGGER = re.compile(r"[0-9@]+")
+BLANK = re.compile(r"\s")
 # Forms a span the tagger found must have.
 FORMS = {
     "email": re.compile(r"[^\s@]+ ?@ ?[^\s@]+\.[^\s@]*[^\W\d_]"),
@@ -216,10 +217,18 @@ WEIGHTS = (1 - np.abs(np.arange(WINDOW) - (WINDOW - 1) / 2) / (WINDOW / 2)).asty
 
 
 def stretches(text: str) -> list[tuple[int, int]]:
-    """Parts of the text within half a window of a digit or an at-sign."""
+    """Parts of the text within half a window of a digit or an at-sign, and the blank-free runs they cut."""
     found: list[tuple[int, int]] = []
     for m in TRIGGER.finditer(text):
+        done = found[-1][1] if found else 0
+        if found and m.end() + STRIDE <= done:
+            continue
         a, b = max(0, m.start() - STRIDE), min(len(text), m.end() + STRIDE)
+        while a > done and not text[a - 1].isspace():
+            a -= 1
+        if b < len(text) and not text[b - 1].isspace():
+            blank = BLANK.search(text, b)
+            b = blank.start() if blank else len(text)
         if found and a <= found[-1][1]:
             found[-1] = (found[-1][0], b)
         else:

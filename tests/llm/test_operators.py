@@ -419,6 +419,15 @@ def test_op8_keeps_base_spans_and_finds_more(spark, odd):
     assert pii.find(odd, pii.fit(odd.limit(0))).count() == odd.count() and pii.find(odd.limit(0), model).count() == 0
 
 
+def test_stretches_do_not_cut_blank_free_runs():
+    address = "\u00e9" * 70 + "@" + "m\u00fcller" * 12 + ".example"
+    text = "word " * 30 + address + " word" * 30
+    (a, b), = pii.stretches(text)
+    assert a <= text.index(address) and text.index(address) + len(address) <= b < len(text)
+    assert pii.stretches(address + " " + "x" * 90) == [(0, len(address))]
+    assert pii.stretches("a1" * 100_000) == [(0, 200_000)] and pii.stretches("words alone") == []
+
+
 # --- op9 ---
 
 
