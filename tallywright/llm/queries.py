@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywright.llm import decontaminate, html_text, katz, langid, mixing, pii, sharding, simhash, toxicity, vectors
+from tallywright.llm import decontaminate, html_text, katz, langid, mixing, pii, sharding, simhash, substrings, toxicity, vectors
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -118,13 +118,21 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of windows that stood before."""
+    docs = table(spark, sf_dir, "documents")
+    return substrings.remove_repeats(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_html_text, op2_simhash, op3_sharding, op4_mixing, op5_toxicity, op6_katz, op7_language, op8_pii, op9_vectors, op10_decontaminate)}
+    return {f.__name__: f for f in (op1_html_text, op2_simhash, op3_sharding, op4_mixing, op5_toxicity, op6_katz, op7_language, op8_pii, op9_vectors, op10_decontaminate, op11_substrings)}
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL for the queries it can express; the others are tested against brute force."""
-    return {"op4_mixing": OP4}
+    return {"op4_mixing": OP4, "op11_substrings": OP11}
 
 
 def _level(name: str, keys: str, parent: str, weights: dict[str, int]) -> str:
@@ -177,3 +185,21 @@ copies as (
 select doc_id, domain, lang, source, epoch::int as epoch
 from copies, unnest(range(copies::bigint)) as t(epoch)
 """
+
+OP11 = """
+with d as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w from documents),
+places as (select doc_id, w, unnest(range(1, len(w) + 1)) as i from d),
+windows as (
+  select doc_id, i, w[i] as word,
+    case when i + 19 <= len(w) then array_to_string(w[i:i + 19], ' ') end as win from places),
+found as (
+  select *, win is not null and row_number() over (partition by win order by doc_id, i) > 1 as again
+  from windows),
+covered as (
+  select *, max(again::int) over (partition by doc_id order by i
+    rows between 19 preceding and current row) as gone from found)
+select doc_id, len(any_value(w))::bigint as n_words, coalesce(sum(gone), 0)::bigint as n_removed,
+  sha256(coalesce(string_agg(word, ' ' order by i) filter (gone = 0), '')) as kept_sha256
+from d left join covered using (doc_id) group by doc_id
+"""

@@ -1,0 +1,104 @@
+"""Substring dedup, hard negatives and resampling against brute force, and on odd tables."""
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from llm_data import with_clashes
+from tallywright.llm import substrings
+
+# --- op11 ---
+
+BLANKS = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def without_repeats(rows, words):
+    """(id, n_words, n_removed, kept) by looking at every window."""
+    split = [(doc, BLANKS.findall(text or "")) for doc, text in rows]
+    seen = defaultdict(set)
+    for k, (doc, found) in enumerate(split):
+        for i in range(len(found) - words + 1):
+            seen[tuple(found[i : i + words])].add((doc, k, i))
+    out = []
+    for k, (doc, found) in enumerate(split):
+        gone = set()
+        for i in range(len(found) - words + 1):
+            for other, row, at in seen[tuple(found[i : i + words])]:
+                smaller = other is not None and doc is not None and other < doc
+                if smaller or (row == k and at < i):
+                    gone.update(range(i, i + words))
+                    break
+        kept = " ".join(w for i, w in enumerate(found) if i not in gone).encode()
+        out.append((doc, len(found), len(gone), kept))
+    return out
+
+
+def removed(df, words):
+    rows = substrings.remove_repeats(df, words).collect()
+    return Counter((r["doc_id"], r["n_words"], r["n_removed"], bytes(r["kept"])) for r in rows)
+
+
+@pytest.mark.parametrize("words, seed", [(2, 1), (4, 2), (6, 3), (20, 4), (14, 5)])
+def test_substrings_equal_brute_force(docs, words, seed):
+    random.seed(seed)
+    some = ["a", "b", "ab", "é", "x y", "."]
+    passages = [[random.choice(some) for _ in range(random.randrange(1, 70))] for _ in range(12)]
+    rows = []
+    for k in range(60):
+        parts = [random.choice(passages) if random.random() < 0.6 else [random.choice(some)] for _ in range(random.randrange(6))]
+        text = random.choice([" ", "\n", " \t"]).join(w for p in parts for w in p)
+        rows.append((random.choice([k, k, 7, None]), text))
+    rows += [(100 + k, rows[3][1]) for k in range(20)] + [(1, "a " * 400), (0, "a " * 300), (55, None), (56, "")]
+    assert removed(docs(*rows), words) == Counter(without_repeats(rows, words))
+
+
+def test_substrings_of_odd_tables(odd):
+    rows = [(r["doc_id"], r["text"]) for r in odd.collect()]
+    want = Counter(without_repeats([(d, t) for d, t in rows if len(t or "") < 1000], 20))
+    got = removed(with_clashes(odd), 20)
+    for key, count in want.items():
+        assert got[key] == count
+    # Of a word said over and over only the first window does not stand earlier; the second covers all words but one.
+    assert got[(6, 60_000, 59_999, b"word")] == 1
+    assert removed(odd.limit(0), 20) == Counter()
+    with pytest.raises(ValueError):
+        substrings.remove_repeats(odd, 3)
+
+
+def test_words_longer_than_a_slice(monkeypatch):
+    monkeypatch.setattr(substrings, "SLICE", 8)
+    texts = [b"one two three", b"  a  aaaaaaa aaaaaaaa aaaaaaaaa bb aaaaaaaa", b"aaaaaaaa", b"aaaaaaa\n", b"x" * 30 + b" x"]
+    seen = {}
+    for text in texts:
+        found = substrings.word_hashes(text)
+        assert len(found) == len(text.split())
+        for word, h in zip(text.split(), found):
+            assert seen.setdefault(word, h) == h
+    assert len(set(seen.values())) == len(seen)
+
+
+def test_longest_repeats(docs):
+    random.seed(9)
+    words = [f"w{k}" for k in range(1000)]
+    shared = random.choices(words, k=23)
+    rows = [(k, " ".join(random.choices(words, k=9) + shared[: 23 - 4 * k] + random.choices(words, k=7))) for k in range(4)]
+    rows += [(8, rows[0][1]), (None, rows[1][1])]
+    got = {(r["doc_id"], r["at"]): r["length"] for r in substrings.longest_repeats(docs(*rows), 4).collect()}
+    lists = {k: t.split() for k, t in rows[:4]}
+    want = {}
+    length = 4
+    while True:
+        places = defaultdict(set)
+        for k, found in lists.items():
+            for i in range(len(found) - length + 1):
+                places[tuple(found[i : i + length])].add((k, i))
+        again = {p for group in places.values() if len({k for k, _ in group}) > 1 for p in group}
+        if not again:
+            break
+        want.update(dict.fromkeys(again, length))
+        length *= 2
+    assert got == want and max(got.values()) == 16
+    assert substrings.longest_repeats(docs((1, "a b c d e"))).count() == 0
