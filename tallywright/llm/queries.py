@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywright.llm import decontaminate, html_text, katz, langid, mixing, pii, sharding, simhash, substrings, toxicity, vectors
+from tallywright.llm import decontaminate, html_text, katz, langid, mixing, negatives, pii, resample, sharding, simhash, substrings, toxicity, vectors
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -126,13 +126,25 @@ def op11_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth embedding; every seventh counts under the next label."""
+    label = F.col("label").cast("bigint")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, moved)
+
+
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight of every document toward the benchmark's texts, and the rank of the drawn tenth."""
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_html_text, op2_simhash, op3_sharding, op4_mixing, op5_toxicity, op6_katz, op7_language, op8_pii, op9_vectors, op10_decontaminate, op11_substrings)}
+    return {f.__name__: f for f in (op1_html_text, op2_simhash, op3_sharding, op4_mixing, op5_toxicity, op6_katz, op7_language, op8_pii, op9_vectors, op10_decontaminate, op11_substrings, op12_negatives, op13_resample)}
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL for the queries it can express; the others are tested against brute force."""
-    return {"op4_mixing": OP4, "op11_substrings": OP11}
+    return {"op4_mixing": OP4, "op11_substrings": OP11, "op12_negatives": OP12, "op13_resample": OP13}
 
 
 def _level(name: str, keys: str, parent: str, weights: dict[str, int]) -> str:
@@ -203,3 +215,69 @@ select doc_id, len(any_value(w))::bigint as n_words, coalesce(sum(gone), 0)::big
   sha256(coalesce(string_agg(word, ' ' order by i) filter (gone = 0), '')) as kept_sha256
 from d left join covered using (doc_id) group by doc_id
 """
+
+OP12 = """
+with rows as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) as q
+  from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scores as (
+  select a.vec_id as anchor_id, b.vec_id as other_id, a.label = b.label as same,
+    list_dot_product(a.q, b.q)::bigint as score
+  from rows a join rows b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+positives as (
+  select anchor_id, other_id as positive_id, score as positive_score from scores where same
+  qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5)
+select anchor_id, positive_id,
+  row_number() over (partition by anchor_id, positive_id order by score desc, other_id)::int as rank,
+  other_id as negative_id, positive_score, score as negative_score
+from positives join scores using (anchor_id)
+where not same and 80 * positive_score <= 100 * score and score <= positive_score
+qualify rank <= 5
+"""
+
+# crc32 of a word's bytes, bit by bit; each distinct word once.
+_CRC = """
+xor(4294967295::ubigint, list_reduce(
+  list_transform(range(octet_length(encode(word))), lambda i: ('0x' || substr(hex(encode(word)), 2 * i + 1, 2))::ubigint),
+  lambda c, b: list_reduce([0, 0, 0, 0, 0, 0, 0, 0]::ubigint[],
+    lambda r, k: case when r % 2 = 1 then xor(r // 2, 3988292384::ubigint) else r // 2 end, xor(c, b)),
+  4294967295::ubigint)) % 10000"""
+
+OP13 = f"""
+with texts as (
+  select doc_id, false as wanted, text from documents
+  union all select null, true, text from benchmark),
+words as (
+  select doc_id, wanted, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) as word
+  from texts),
+buckets as (select word, {_CRC} as bucket from (select distinct word from words)),
+counts as (
+  select bucket, count_if(not wanted) as s, count_if(wanted) as t
+  from words join buckets using (word) group by bucket),
+totals as (select sum(s) as s_all, sum(t) as t_all from counts),
+gains as (
+  select bucket, floor(1000 * ln((t + 1)::double * (s_all + 10000)::double
+    / ((s + 1)::double * (t_all + 10000)::double)))::bigint as gain
+  from counts, totals),
+weights as (
+  select doc_id, count(*) as n_features, sum(gain)::bigint as total
+  from words join buckets using (word) join gains using (bucket) where not wanted group by doc_id),
+scored as (
+  select doc_id, coalesce(n_features, 0) as n_features,
+    coalesce(floor(total::hugeint / n_features), 0)::bigint as weight,
+    ('0x' || substr(sha256('2024:' || doc_id), 1, 8))::ubigint::double as h
+  from documents left join weights using (doc_id)),
+noisy as (select *, weight + floor(-1000 * ln(-ln((h + 0.5) / 4294967296)))::bigint as score from scored),
+ranked as (
+  select *, row_number() over (partition by n_features >= 20 order by score desc, doc_id) as place,
+    count(*) over (partition by n_features >= 20) as n
+  from noisy)
+select doc_id, n_features, weight, score,
+  case when n_features >= 20 and place <= n * 10 // 100 then place end as rank
+from ranked
+"""

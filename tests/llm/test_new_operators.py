@@ -1,14 +1,18 @@
 """Substring dedup, hard negatives and resampling against brute force, and on odd tables."""
 
+import hashlib
+import math
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from llm_data import with_clashes
-from tallywright.llm import substrings
+from tallywright.llm import negatives, resample, substrings
 
 # --- op11 ---
 
@@ -102,3 +106,135 @@ def test_longest_repeats(docs):
         length *= 2
     assert got == want and max(got.values()) == 16
     assert substrings.longest_repeats(docs((1, "a b c d e"))).count() == 0
+
+# --- op12 ---
+
+VECTORS = "vec_id long, embedding array<double>, label int"
+
+
+def hard_negatives(rows, percent=80, positives=5, negatives=5):
+    """All answers by scoring every pair; every fifth id is an anchor."""
+
+    def usable(v):
+        return v is not None and all(x is not None and math.isfinite(x) for x in v)
+
+    rows = [(i, [math.floor(256 * x) for x in v], label) for i, v, label in rows if label is not None and usable(v)]
+    out = Counter()
+    for k, (i, v, label) in enumerate(rows):
+        if i is None or i % 5:
+            continue
+
+        def best(same):
+            found = [
+                (-max(-(2**63) + 1, min(2**63 - 1, sum(a * b for a, b in zip(v, w)))), j is None, j)
+                for n, (j, w, other) in enumerate(rows)
+                if n != k and len(w) == len(v) and (other == label) == same
+            ]
+            return sorted(found, key=lambda f: (f[0], f[1], f[2] or 0))
+
+        others = best(False)
+        for score, _, j in best(True)[:positives]:
+            fit = [f for f in others if f[0] >= score and 100 * -f[0] >= percent * -score]
+            for rank, (low, _, n) in enumerate(fit[:negatives], 1):
+                out[(i, j, rank, n, -score, -low)] += 1
+    return out
+
+
+def mined(spark, rows, **more):
+    df = with_clashes(spark.createDataFrame(rows, VECTORS))
+    found = negatives.mine(df, F.col("vec_id") % 5 == 0, F.col("label"), **more)
+    names = ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+    return Counter(tuple(r[n] for n in names) for r in found.collect())
+
+
+@pytest.mark.parametrize("seed, members, piece", [(1, 512, 4096), (2, 7, 30), (3, 3, 8)])
+def test_negatives_equal_brute_force(spark, monkeypatch, seed, members, piece):
+    monkeypatch.setattr(negatives, "MEMBERS", members)
+    monkeypatch.setattr(negatives, "PIECE", piece)
+    random.seed(seed)
+    centres = [[random.gauss(0, 1) for _ in range(6)] for _ in range(4)]
+    rows = []
+    for k in range(220):
+        v = [c + random.gauss(0, 0.3) for c in random.choice(centres)]
+        # Coarse components make many ties; a third of the rows has one label.
+        rows.append((k, [round(x * 2) / 2 if seed == 3 else x for x in v], random.choice([0, 0, 1, 2, 3])))
+    rows += [(500, rows[5][1], 0), (500, rows[5][1], 0), (None, rows[5][1], 1), (505, [0.0] * 6, 1), (510, [-3.0] * 6, 9)]
+    assert mined(spark, rows) == hard_negatives(rows)
+    assert mined(spark, rows, percent=50, positives=2, negatives=9) == hard_negatives(rows, 50, 2, 9)
+
+
+def test_negatives_of_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(5, [1.0, 2.0], 1), (6, [2.0, 1.0], 1), (7, [1.0, 1.0], 2), (8, [1.0], 2), (10, [1.0], 2), (11, [3.0], 2), (12, [2.5], 1),
+            (15, None, 1), (20, [None, 1.0], 1), (25, [nan, 1.0], 1), (30, [inf, 1.0], 2), (35, [1.0, 1.0], None), (40, [], 1), (41, [], 1),
+            (42, [], 2), (0, [], 2), (45, [1e300, -1.0], 3), (46, [1e300, 1.0], 3), (47, [4e17, 3.0], 4), (50, [3e9, 3e9], 5),
+            (51, [3e9, 3e9 + 1], 5), (52, [3e9, 3e9 - 1], 6), (53, [2.9e9, 3e9], 6), (None, [1.0, 2.0], 2)]
+    small = [r for r in rows if not r[1] or all(x is None or not abs(x) > 1e200 for x in r[1])]
+    assert mined(spark, small) == hard_negatives(small)
+    assert sum(mined(spark, rows).values()) >= sum(hard_negatives(small).values())
+    assert mined(spark, []) == Counter() == mined(spark, rows[-1:])
+
+
+def test_walk_stops_where_bounds_certify():
+    rows = np.diag([9.0, 8.0, 7.0] + [0.0] * 2000)
+    bounds = rows.max(axis=1)
+    seen = []
+
+    def may(live, part):
+        seen.append(part.start)
+        return np.ones((len(live), len(rows[part])), bool)
+
+    member, _, row, score = negatives.walk(
+        np.ones((1, len(rows))), np.ones(1), np.full((1, 1), -np.inf), np.full((1, 1), np.inf), rows, bounds, may, 2
+    )
+    assert sorted(row) == [0, 1] and sorted(score) == [8, 9] and seen == [0]
+
+
+# --- op13 ---
+
+
+def resampled(docs, target, share, order, buckets, least):
+    """(id, n_features, weight, score, rank) with all features counted one by one."""
+    plain = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+
+    def features(text):
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(plain))
+        runs = [" ".join(words[i : i + n]) for n in range(1, order + 1) for i in range(len(words) - n + 1)]
+        return len(words), [zlib.crc32(f.encode()) % buckets for f in runs]
+
+    s = Counter(b for _, text in docs for b in features(text)[1])
+    t = Counter(b for text in target for b in features(text)[1])
+    total, wanted = sum(s.values()), sum(t.values())
+    rows = []
+    for doc, text in docs:
+        count, found = features(text)
+        gain = [math.floor(1000 * math.log((t[b] + 1) * (total + buckets) / ((s[b] + 1) * (wanted + buckets)))) for b in found]
+        weight = sum(gain) // len(gain) if gain else 0
+        h = int(hashlib.sha256(f"2024:{'' if doc is None else doc}".encode()).hexdigest()[:8], 16)
+        rows.append([doc, len(found), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 2**32))), None, count])
+    enough = sorted((r for r in rows if r[5] >= least), key=lambda r: (-r[3], r[0] is None, r[0] or 0, r[1], r[2]))
+    for rank, r in enumerate(enough[: len(enough) * share // 100], 1):
+        r[4] = rank
+    return Counter(tuple(r[:5]) for r in rows)
+
+
+@pytest.mark.parametrize("order, share, buckets", [(1, 10, 10_000), (2, 50, 97), (3, 33, 10_000), (4, 100, 11)])
+def test_resample_equals_brute_force(spark, docs, order, share, buckets):
+    random.seed(order)
+    lines = [" ".join(random.choices(["the", "A", "Éa", "x-y", "1", "q"], k=random.randrange(0, 9))) for _ in range(30)]
+    rows = [(random.choice([k, k, 3, None]), random.choice(["\n", "\r\n", "\n\n"]).join(random.choices(lines, k=random.randrange(9)))) for k in range(150)]
+    rows += [(900, None), (901, ""), (902, "\n"), (7, "the\n" * 300), (7, "the\n" * 300)]
+    target = ["the q", "a\nx", None, ""]
+    wanted = spark.createDataFrame([(t,) for t in target], "text string")
+    found = resample.resample(with_clashes(docs(*rows)), wanted, share=share, order=order, buckets=buckets, least_words=5)
+    got = Counter(tuple(r[c] for c in ("doc_id", "n_features", "weight", "score", "rank")) for r in found.collect())
+    assert got == resampled(rows, target, share, order, buckets, 5)
+
+
+def test_resample_of_odd_tables(spark, docs, odd):
+    target = spark.createDataFrame([], "text string")
+    rows = [(r["doc_id"], r["text"]) for r in odd.collect()]
+    got = Counter(tuple(r) for r in resample.resample(odd, target, share=50, least_words=2).collect())
+    assert got == resampled(rows, [], 50, 1, 10_000, 2)
+    assert resample.resample(odd.limit(0), target).count() == 0
+    assert {r["rank"] for r in resample.resample(docs((1, "a b")), target).collect()} == {None}
