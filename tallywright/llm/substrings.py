@@ -13,7 +13,7 @@ Texts equal to that of a smaller id go as a whole and are not cut into windows.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from itertools import compress
 
 import numpy as np
@@ -111,7 +111,8 @@ class Windows:
             late[: max(0, n - length)] = piece[length:]
             piece = piece * np.uint64(factor) + late
             factor, length = factor * factor % (1 << 64), length * 2
-        self.keys = np.maximum(_mixed(half), np.uint64(1))
+        # The lowest bit is left free.
+        self.keys = np.maximum(_mixed(half) & np.uint64(2**64 - 2), np.uint64(2))
         least = _runs(self.keys, words - self.half + 1, np.minimum)
         self.least = np.where(self.whole, least, np.uint64(0))
         # A half window is marked if it is the smallest of some whole window around it.
@@ -189,11 +190,13 @@ def _marked(words: int):
     return run
 
 
-def _listed(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """(row, key) of the lists in the fourth column."""
+def _listed(batch: pa.RecordBatch, late: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(row, key) of the lists in the fourth column; with ``late`` only of keys that stand in a smaller id."""
     lists = batch.column(3)
     keys = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-    return np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False)), keys
+    rows = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+    chosen = (keys & np.uint64(1) == 1) | (not late)
+    return rows[chosen], keys[chosen] & np.uint64(2**64 - 2)
 
 
 def _located(batch: pa.RecordBatch, windows: Windows, at: np.ndarray) -> pa.RecordBatch:
@@ -206,13 +209,13 @@ def _located(batch: pa.RecordBatch, windows: Windows, at: np.ndarray) -> pa.Reco
     )
 
 
-def _candidates(words: int):
-    """(k1, k2, doc, ref, at): the windows around the repeated marks of (doc, ref, text, marks), each once a document."""
+def _candidates(words: int, late: bool):
+    """(k1, k2, doc, ref, at): the windows around the marks of (doc, ref, text, marks), each once a document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in _held(batches, 2):
             windows = Windows(texts, words)
-            yield _located(batch, windows, windows.distinct(windows.around(*_listed(batch)))[0])
+            yield _located(batch, windows, windows.distinct(windows.around(*_listed(batch, late)))[0])
 
     return run
 
@@ -256,9 +259,10 @@ def _kept(words: int):
 
 
 def _texts(docs: DataFrame, id: str, text: str) -> DataFrame:
-    """(doc, ref, text, later): every row once; ``later`` says that a smaller id has the same text.
+    """(doc, ref, text, first): every row once; ``first`` says that no smaller id has the same text.
 
-    ``ref`` names a row by id and text. All further joins are by it, so texts are shuffled once.
+    It is NULL where one has, or the row has no id. ``ref`` names a row by id and text. All further
+    joins are by it and none looks at the id, so texts are shuffled once.
     """
     rows = docs.select(
         F.col(id).cast("bigint").alias("doc"), F.md5(F.coalesce(F.col(text), F.lit(""))).alias("digest"),
@@ -268,36 +272,41 @@ def _texts(docs: DataFrame, id: str, text: str) -> DataFrame:
     # One row a text: the name of the row that has the smallest id.
     firsts = (
         rows.where("doc is not null").groupBy("digest").agg(F.min("doc").alias("doc"))
-        .select(ref.alias("ref"), F.lit(False).alias("later"))
+        .select(ref.alias("ref"), F.lit(True).alias("first"))
     )
     named = rows.select("doc", ref.alias("ref"), "text")
-    return named.join(firsts.hint("shuffle_hash"), "ref", "left").select(
-        "doc", "ref", "text", (F.col("doc").isNotNull() & F.col("later").isNull()).alias("later")
-    )
+    return named.join(firsts.hint("shuffle_hash"), "ref", "left").select("doc", "ref", "text", "first")
 
 
-def _in_several(rows: DataFrame, *keys: str) -> DataFrame:
-    """``rows`` whose keys stand in documents of several ids, and the ``least`` of these.
+def _in_several(rows: DataFrame, keys: list[str], asked: DataFrame | None = None) -> DataFrame:
+    """``asked`` (or ``rows``) whose keys stand in documents of several ids in ``rows``, and the ``least`` of these.
 
     Keys are counted with a partial step. For the join they are negated on both sides, so that it does not
     build on the counts' own partitions, where Spark could not split those of a hot key.
     """
+    turned = [F.bitwise_not(k).alias(k) for k in keys]
     found = (
         rows.groupBy(*keys).agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
-        .where("least < most").select(*[F.bitwise_not(k).alias(k) for k in keys], "least")
+        .where("least < most").select(*turned, "least")
     )
-    others = [c for c in rows.columns if c not in keys]
-    return rows.select(*[F.bitwise_not(k).alias(k) for k in keys], *others).join(found, list(keys))
+    asked = rows if asked is None else asked
+    others = [c for c in asked.columns if c not in keys]
+    return asked.select(*turned, *others).join(found, keys)
 
 
-def _windows(texts: DataFrame, words: int, windows: Callable) -> DataFrame:
-    """(k1, k2, doc, ref, at): windows that may stand in several documents, found by their halves."""
-    single = texts.where("doc is not null and not later")
-    marked = single.select("doc", "ref", "text").mapInArrow(_marked(words), "h bigint, doc bigint, ref bigint")
-    marks = _in_several(marked, "h").groupBy("ref").agg(F.collect_set(F.bitwise_not("h")).alias("marks"))
-    return single.join(marks.hint("shuffle_hash"), "ref").select("doc", "ref", "text", "marks").mapInArrow(
-        windows(words), "k1 bigint, k2 bigint, doc bigint, ref bigint, at bigint"
-    )
+def _marked_texts(texts: DataFrame, words: int) -> DataFrame:
+    """(doc, ref, text, marks): texts with halves that stand in several documents.
+
+    The lowest bit of a mark is set where a smaller id has it.
+    """
+    single = texts.where("first is not null").select("doc", "ref", "text")
+    marked = single.mapInArrow(_marked(words), "h bigint, doc bigint, ref bigint")
+    mark = F.bitwise_not("h").bitwiseOR((F.col("doc") > F.col("least")).cast("bigint"))
+    marks = _in_several(marked, ["h"]).groupBy("ref").agg(F.collect_set(mark).alias("marks"))
+    return single.join(marks.hint("shuffle_hash"), "ref").select("doc", "ref", "text", "marks")
+
+
+_WINDOW = "k1 bigint, k2 bigint, doc bigint, ref bigint, at bigint"
 
 
 def remove_repeats(
@@ -322,11 +331,15 @@ def remove_repeats(
     if words < 2 or words % 2:
         raise ValueError("words is even and at least 2")
     texts = _texts(docs, id, text)
+    marked = _marked_texts(texts, words)
+    # A window can stand earlier elsewhere only if its mark does.
+    asked = marked.mapInArrow(_candidates(words, True), _WINDOW)
     again = (
-        _in_several(_windows(texts, words, _candidates), "k1", "k2").where("doc > least")
-        .groupBy("ref").agg(F.collect_set("at").alias("gone"))
+        _in_several(marked.mapInArrow(_candidates(words, False), _WINDOW), ["k1", "k2"], asked)
+        .where("doc > least").groupBy("ref").agg(F.collect_set("at").alias("gone"))
     )
-    joined = texts.join(again.hint("shuffle_hash"), "ref", "left").select("doc", "text", "later", "gone")
+    later = (F.col("doc").isNotNull() & F.col("first").isNull()).alias("later")
+    joined = texts.join(again.hint("shuffle_hash"), "ref", "left").select("doc", "text", later, "gone")
     kept = joined.mapInArrow(_kept(words), "doc bigint, n_words bigint, n_removed bigint, kept binary")
     return kept.withColumnRenamed("doc", id)
 
@@ -337,7 +350,7 @@ def _every(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in _held(batches, 2):
             windows = Windows(texts, words)
-            yield _located(batch, windows, windows.around(*_listed(batch)))
+            yield _located(batch, windows, windows.around(*_listed(batch, False)))
 
     return run
 
@@ -353,10 +366,10 @@ def longest_repeats(docs: DataFrame, words: int = WORDS, id: str = "doc_id", tex
     """
     spark = docs.sparkSession
     place = [F.col("doc").alias(id), F.col("at")]
-    rows = _windows(_texts(docs, id, text), words, _every)
+    rows = _marked_texts(_texts(docs, id, text), words).mapInArrow(_every(words), _WINDOW)
     level, found, length = None, None, words
     while True:
-        survivors = stored(_in_several(rows, "k1", "k2").drop("least"), "survivors")
+        survivors = stored(_in_several(rows, ["k1", "k2"]).drop("least"), "survivors")
         if level is not None:
             ended = level.join(survivors.select("ref", "at").distinct(), ["ref", "at"], "left_anti")
             ended = stored(ended.select(*place, F.lit(length // 2).cast("bigint").alias("length")), "ended")
