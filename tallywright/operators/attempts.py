@@ -2,8 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..sources.quarantine import read_kept, read_set_aside, write_split
+
+_CHECKED = T.StructType(
+    [T.StructField("run_id", T.StringType()), T.StructField("raw_id", T.StringType()),
+     T.StructField("problem_id", T.LongType()), T.StructField("passed", T.BooleanType())]
+)
 
 
 def to_attempts(evaluations: DataFrame) -> DataFrame:
@@ -31,6 +39,28 @@ def with_id_check(evaluations: DataFrame) -> DataFrame:
     )
 
 
+NO_NUMBER = "id is not a whole number"
+
+
+def store_attempts(evaluations: DataFrame, path: str) -> dict[str, int]:
+    """Store attempts whose id is a whole number, and set the others aside with the reason, in one write.
+
+    Returns how many were ``kept`` and ``set_aside``. ``stored_attempts`` and ``attempts_set_aside`` read them.
+    """
+    reason = F.when(F.col("problem_id").isNull(), NO_NUMBER)
+    return write_split(with_id_check(evaluations), path, reason)
+
+
+def stored_attempts(spark: SparkSession, path: str) -> DataFrame:
+    """(run_id, problem_id, passed) of the attempts that were kept."""
+    return read_kept(spark, path, _CHECKED).select("run_id", "problem_id", "passed")
+
+
+def attempts_set_aside(spark: SparkSession, path: str) -> DataFrame:
+    """(run_id, raw_id, passed, reason) of the attempts that were not."""
+    return read_set_aside(spark, path, _CHECKED).select("run_id", "raw_id", "passed", "reason")
+
+
 def by_run_and_problem(attempts: DataFrame) -> DataFrame:
     """Global order by run, then problem, then the row's other columns: a range-partitioned sort.
 

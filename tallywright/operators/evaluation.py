@@ -170,6 +170,28 @@ def ids_where(evaluations: DataFrame, passed: bool | None = None, keep: list[str
     return rows.select(*keep, "problem_id")
 
 
+def id_arrays(
+    evaluations: DataFrame, by: list[str] = ["run_id"], passed: bool | None = None, most: int = 100_000
+) -> DataFrame:
+    """The ids of ``ids_where`` as one sorted array per group, for runs that are small.
+
+    An array stands in one task, so a group of more than ``most`` ids raises. Groups are counted
+    first, with a partial step, and rows meet their count before any array is built.
+    """
+    rows = ids_where(evaluations, passed, by)
+    group = F.concat_ws(", ", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in by])
+    refusal = F.raise_error(F.concat(F.lit(f"more than {most} ids in "), group, F.lit("; use ids_where")))
+    sizes = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).select(
+        *[F.col(c).alias(f"_{c}") for c in by],
+        F.when(F.col("_n") > most, refusal.cast("boolean")).otherwise(True).alias("_fits"),
+    )
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
+    return (
+        rows.join(sizes, same).where("_fits").groupBy(*by)
+        .agg(F.sort_array(F.collect_list("problem_id")).alias("problem_ids"))
+    )
+
+
 def failed_preview(evaluations: DataFrame, n: int = 3, order: list[str] = ["problem_id"]) -> DataFrame:
     """The first ``n`` failed evaluations with their error or outputs."""
     shown = F.coalesce(F.col("error"), F.array_join("test_outputs", "\n"))

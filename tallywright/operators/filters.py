@@ -9,12 +9,22 @@ from pyspark.sql import types as T
 from ..functions.text import cut_text
 
 
+def _is_text(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, T.StringType)
+
+
 def with_id(df: DataFrame, wanted: str | int, id_col: str = "problem_id") -> DataFrame:
-    """Rows of one id, which may be given as text; text that is no number raises."""
+    """Rows of one id. Ids kept as text are compared as text, so ``unknown_3`` is found as well; for
+    ids that are numbers a text that is none raises."""
+    if _is_text(df, id_col):
+        return df.where(F.col(id_col) == str(wanted))
     return df.where(F.col(id_col) == int(wanted))
 
 
 def ids_above(df: DataFrame, lower: int, id_col: str = "problem_id") -> DataFrame:
+    """Rows with a greater id. Ids kept as text count by their number; those that are none are not above."""
+    if _is_text(df, id_col):
+        return df.where(F.col(id_col).try_cast("bigint") > lower)
     return df.where(F.col(id_col) > lower)
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import fixed_values as fv
+from .. import schemas
 from ..functions import text as tx
 from ..functions.metrics import difficulty
 from ..functions.verdict import pass_count
@@ -19,15 +20,18 @@ from ..operators import attempts as at
 from ..operators import evaluation as ev
 from ..operators import filters as fl
 from ..operators import passk as pk
+from ..operators import presence as pr
 from ..operators import pivot as pv
 from ..operators import rates as rt
 from ..operators import responses as rs
 from ..operators import sampling as sm
 from ..operators import scripts as sc
+from ..operators import sketches as sk
 from ..operators import trainset as tr
+from ..sources import quarantine as qt
 from ..sources import readers as rd
 from ..sources import writers as wr
-from ..sources.scratch import scratch_path
+from ..sources.scratch import scratch_path, stored
 from ..streaming.progress import read_progress, stream_progress
 from . import views as vw
 
@@ -733,3 +737,235 @@ def streamed_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, f"{base}/records", f"{base}/stats", f"{base}/checkpoint", max_files=8
     ).awaitTermination()
     return read_progress(spark, f"{base}/stats")
+
+
+# --- order in files, reports, quarantine -----------------------------------------------------
+
+
+@_query
+def best_attempt_by_file_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best attempts of stored runs with many records a problem: of equal ones the earlier in its file."""
+    base = scratch_path(spark, "ordered-runs")
+    rows = vw.evaluations(spark, sf_dir).repartitionByRange("run_id", *vw.POSITION)
+    wr.write_json_arrays(rows, base, partition_by="run_id", order=vw.POSITION)
+    found = rd.read_evaluations(spark, base, partitioned=True)
+    place = ["file", "position"]
+    best = tr.best_attempt(found, place)
+    return best.join(
+        found.select("problem_id", "run_id", *place, "generated_code"), ["problem_id", "run_id", *place]
+    ).select("problem_id", "run_id", "score", "generated_code")
+
+
+@_query
+def reference_code_by_file_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored lines with many entries a problem: the last in the files counts."""
+    path = scratch_path(spark, "ordered-lines")
+    code = F.concat_ws("-", F.lit("v"), *vw.POSITION)
+    entries = vw.table(spark, sf_dir, "lineitem").select(
+        F.col("l_partkey").alias("problem_id"), F.struct(code.alias("code")).alias("problem"), *vw.POSITION
+    )
+    ordered = entries.repartitionByRange(*vw.POSITION).sortWithinPartitions(*vw.POSITION)
+    wr.write_table(ordered.drop(*vw.POSITION), path, "json")
+    return tr.reference_code(rd.read_response_file(spark, path, layout="lines", with_file=True), ["file", "position"])
+
+
+def _flawed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(run_id, value): a record per line item; some are cut short, no object, or of an id that is no number."""
+    order = F.col("l_orderkey")
+    item = F.when(order % 13 == 2, F.concat(F.lit('"test_'), "l_partkey", F.lit('"'))).otherwise(F.col("l_partkey").cast("string"))
+    head = F.concat(F.lit('{"problem_id": '), item, F.lit(', "error": "'), order, F.lit("-"), "l_linenumber", F.lit("-"), "l_suppkey")
+    passed = (F.col("l_quantity") > 25).cast("string")
+    value = (
+        F.when(order % 7 == 3, head)
+        .when(order % 11 == 5, F.concat(F.lit("["), order, F.lit("]")))
+        .otherwise(F.concat(head, F.lit('", "passed": '), passed, F.lit("}")))
+    )
+    run = F.lpad((F.col("l_suppkey") % 12 + 1).cast("string"), 2, "0")
+    return vw.table(spark, sf_dir, "lineitem").select(run.alias("run_id"), value.alias("value"))
+
+
+def _split_records(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, int], DataFrame]:
+    base = scratch_path(spark, "flawed-runs")
+    _flawed_lines(spark, sf_dir).write.partitionBy("run_id").text(base)
+    records = rd.checked_evaluations(spark, base, layout="lines", partitioned=True)
+    path = scratch_path(spark, "split-records")
+    return path, qt.write_split(records, path), records
+
+
+@_query
+def rejected_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record that could not be used, with the reason; written in the pass that parses."""
+    path, _, records = _split_records(spark, sf_dir)
+    return qt.read_set_aside(spark, path, records.schema).select("run_id", "reason", "rejected")
+
+
+@_query
+def kept_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the same pass kept, by run, and its own counts of both kinds."""
+    path, counts, records = _split_records(spark, sf_dir)
+    rates = rt.rate_by(at.to_attempts(qt.read_kept(spark, path, records.schema)), "run_id")
+    return rates.withColumns({f"all_{k}": F.lit(n).cast("bigint") for k, n in counts.items()})
+
+
+@_query
+def skipped_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs that gave no record, and why: one has no file, one only broken records, one no folder."""
+    base = scratch_path(spark, "some-runs")
+    broken = F.when(F.col("run_id") == "07", F.substring("value", 2, 9)).otherwise(F.col("value"))
+    lines = _flawed_lines(spark, sf_dir).withColumn("value", broken)
+    lines.where(F.col("run_id") != "03").write.partitionBy("run_id").text(base)
+    lines.limit(0).select("value").write.text(f"{base}/run_id=03/notes")
+    runs = [*vw.RUNS, "13"]
+    listed = rd.inventory(spark, base, runs, partitioned=True)
+    read = rd.read_attempts(spark, base, runs, layout="lines", numeric_ids=False, partitioned=True)
+    return rd.skipped_runs(listed, read)
+
+
+@_query
+def quarantined_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attempts stored in one write, those with an id that is no number apart; both read back, by run."""
+    path = scratch_path(spark, "split-attempts")
+    part = F.col("l_partkey").cast("string")
+    texts = vw.table(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_linenumber") == 7, F.concat(F.lit("test_"), part)).otherwise(part).alias("problem_id"),
+        (F.col("l_suppkey") % 12 + 1).alias("run_id"), (F.col("l_quantity") > 25).alias("passed"),
+    )
+    counts = at.store_attempts(texts, path)
+    kept = at.stored_attempts(spark, path).groupBy("run_id").agg(
+        F.count(F.lit(1)).alias("kept"), F.sum("problem_id").alias("id_sum")
+    )
+    aside = at.attempts_set_aside(spark, path).groupBy("run_id").agg(
+        F.count(F.lit(1)).alias("set_aside"), F.max("raw_id").alias("last_raw_id"), F.max("reason").alias("reason")
+    )
+    return kept.join(aside, "run_id", "left").na.fill(0, ["set_aside"]).na.fill("", ["last_raw_id", "reason"]).withColumns(
+        {f"all_{k}": F.lit(n).cast("bigint") for k, n in counts.items()}
+    )
+
+
+# --- by group --------------------------------------------------------------------------------
+
+
+def _rates_by_split_and_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    attempts = vw.attempts(spark, sf_dir)
+    classes = pk.with_difficulty(pk.pass_at_k(attempts)).select("problem_id", "difficulty")
+    rates = rt.rate_by(attempts, "problem_id").join(classes, "problem_id")
+    return rates.withColumn("split", vw.split_of(F.col("problem_id")))
+
+
+@_query
+def hardest_by_split_and_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rt.hardest_by(_rates_by_split_and_class(spark, sf_dir), ["split", "difficulty"])
+
+
+@_query
+def easiest_by_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rt.easiest_by(_rates_by_split_and_class(spark, sf_dir), ["difficulty"], 25)
+
+
+@_query
+def most_attempted_by_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rates = rt.rate_by(vw.attempts_raw(spark, sf_dir), "problem_id")
+    return rt.most_attempted_by(rates.withColumn("split", vw.split_of(F.col("problem_id"))), ["split"])
+
+
+@_query
+def passed_id_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One sorted array of passed ids a run, as text."""
+    arrays = ev.id_arrays(vw.evaluations(spark, sf_dir), passed=True, most=10_000_000)
+    return arrays.select("run_id", F.array_join(F.col("problem_ids").cast("array<string>"), ",").alias("problem_ids"))
+
+
+# --- sketches --------------------------------------------------------------------------------
+
+
+def _stored_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tests = ev.explode_tests(vw.evaluations(spark, sf_dir), ["run_id", "problem_id"])
+    passed = F.col("test_output") == fv.PASS_WORD
+    return stored(sk.run_sketches(tests.withColumn("passed", passed)), "sketches")
+
+
+def _near(estimate: str, exact: str) -> Column:
+    """Within four standard errors."""
+    return (F.abs(F.col(estimate) - F.col(exact)) <= F.col(exact) * (4 * sk.standard_error())).alias("near")
+
+
+@_query
+def distinct_problems_from_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Problems with test rows, per run and in all runs, from stored sketches against the exact count."""
+    sketches = _stored_sketches(spark, sf_dir)
+    tests = ev.explode_tests(vw.evaluations(spark, sf_dir), ["run_id", "problem_id"])
+    exact = tests.groupBy("run_id").agg(F.count_distinct("problem_id").alias("unique_problems"))
+    overall = tests.agg(F.count_distinct("problem_id").alias("unique_problems"))
+    runs = sk.merged_distinct(sketches, ["run_id"]).join(exact, "run_id")
+    total = sk.merged_distinct(sketches).select(
+        F.lit("overall").alias("run_id"), "rows", "problems",
+        overall.scalar().alias("unique_problems"),
+    )
+    return runs.unionByName(total).select("run_id", "rows", "unique_problems", _near("problems", "unique_problems"))
+
+
+@_query
+def run_coverage_from_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passed attempts of a run over all problems there are, from stored sketches."""
+    attempts = vw.attempts(spark, sf_dir)
+    covered = sk.run_coverage(stored(sk.run_sketches(attempts), "coverage"))
+    exact = rt.run_coverage_rate(attempts).select("run_id", F.col("coverage_rate").alias("exact"))
+    return covered.join(exact, "run_id").select("run_id", "passes", _near("coverage", "exact"))
+
+
+# --- key presence, late repeats, ids as text -------------------------------------------------
+
+
+def _stored_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses read as VARIANT; of every seventeenth the error key is there and null."""
+    base = scratch_path(spark, "presence")
+    rows = vw.responses(spark, sf_dir)
+    response = F.to_json("model_response")
+    rest = F.when(response == "{}", F.lit("}")).otherwise(F.concat(F.lit(","), F.substr(response, F.lit(2))))
+    response = F.when(F.col("problem_id") % 17 == 1, F.concat(F.lit('{"error":null'), rest)).otherwise(response)
+    head = F.concat(F.lit('{"problem_id":'), "problem_id", F.lit(',"model_response":'))
+    rows.select(F.concat(head, response, F.lit("}")).alias("value"), "run_id").write.partitionBy("run_id").text(base)
+    return rd.read_response_variants(spark, base, layout="lines").withColumn(
+        "split", vw.split_of(F.col("problem_id"))
+    )
+
+
+@_query
+def response_stats_by_key_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pr.response_stats_by_presence(_stored_presence(spark, sf_dir)).drop("is_total").withColumn(
+        "split", F.coalesce("split", F.lit("overall"))
+    )
+
+
+@_query
+def contents_by_key_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored_presence(spark, sf_dir).select(
+        "problem_id", pr.content_by_presence(F.col("model_response")).alias("content")
+    )
+
+
+@_query
+def streamed_progress_with_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records that arrive in four deliveries, each with all of the one before again."""
+    base = scratch_path(spark, "progress-repeats")
+    rows = vw.responses(spark, sf_dir).drop("split")
+    last = rows.agg(F.max("timestamp")).first()[0] or 0.0
+    quarter = F.floor(F.col("timestamp") * 4 / F.lit(last + 1)).cast("int")
+    for k in range(4):
+        wr.append_records(rows.where(quarter.between(k - 1, k)), f"{base}/records")
+        stream_progress(
+            spark, f"{base}/records", f"{base}/stats", f"{base}/checkpoint", horizon=f"{int(last / 2) + 2} seconds"
+        ).awaitTermination()
+    return read_progress(spark, f"{base}/stats")
+
+
+@_query
+def response_of_unknown_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The record of a problem that has no id of its own, by the id it was given."""
+    asked = rs.with_prompt(vw.problems(spark, sf_dir)).withColumn("position", F.col("task_id"))
+    asked = asked.withColumn("task_id", F.when(F.col("position") % 10 != 7, F.col("task_id")))
+    replies = vw.responses(spark, sf_dir).select(
+        F.col("problem_id").alias("position"), "model_response", "timestamp"
+    )
+    records = rs.assemble_responses(asked.na.fill("", ["prompt"]), replies)
+    return fl.with_id(records, "unknown_17").unionByName(fl.ids_above(records, 90)).select("problem_id", "timestamp")

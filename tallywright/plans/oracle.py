@@ -413,6 +413,40 @@ _SPLIT_NAME = "case when grouping(split) = 1 then 'overall' else split end as sp
 _STORED = "select problem_id, split, prompt, timestamp, code, content, error from responses"
 
 
+_FLAWED = f"""
+  lines as (
+    select {_run('l_suppkey')} as run_id, l_orderkey, l_partkey, l_quantity,
+      '{{"problem_id": ' || case when l_orderkey % 13 = 2 then '"test_' || l_partkey || '"'
+        else l_partkey::varchar end || ', "error": "' || l_orderkey || '-' || l_linenumber || '-' || l_suppkey as head
+    from lineitem),
+  flawed as (
+    select *, case
+        when l_orderkey % 7 = 3 then 'not JSON'
+        when l_orderkey % 11 = 5 then 'not an object'
+        when l_orderkey % 13 = 2 then 'id is not a whole number' end as reason,
+      case when l_orderkey % 7 = 3 then head
+        when l_orderkey % 11 = 5 then '[' || l_orderkey || ']'
+        else head || '", "passed": ' || (l_quantity > 25)::varchar || '}}' end as value
+    from lines)"""
+
+_TOP_CLASSES = f"""{_CLASSIFIED},
+  top_rates as (
+    select a.problem_id, count(*) as attempts, cast(count_if(passed) as bigint) as passes,
+      round(count_if(passed)::double / count(*), 10) as pass_rate, any_value(difficulty) as difficulty,
+      {_split('a.problem_id')} as split
+    from attempts a join classified c using (problem_id) group by a.problem_id)"""
+
+_PRESENCE = """
+  present as (
+    select *, doc_id % 17 in (0, 1) as with_key, doc_id % 17 = 1 as null_key from documents)"""
+
+
+def _top_rows(source: str, by: str, order: str, n: int) -> str:
+    return f"""
+  select * exclude (rn), rn::int as place from (
+    select *, row_number() over (partition by {by} order by {order}) as rn from {source}) where rn <= {n}"""
+
+
 def oracle_sql() -> dict[str, str]:
     def sql(ctes: str, select: str) -> str:
         return f"with {ctes.strip()}\n{select.strip()}"
@@ -750,4 +784,103 @@ def oracle_sql() -> dict[str, str]:
         "failed_ids_null_verdicts": sql(
             f"{_EVALUATIONS},{_SOME_NULL}", "select run_id, problem_id from some_null where not passed"
         ),
+        "best_attempt_by_file_order": sql(
+            f"{_EVALUATIONS},{_BEST}", "select problem_id, run_id, score::int as score, generated_code from best"
+        ),
+        "reference_code_by_file_order": """
+            select problem_id, code from (
+              select l_partkey as problem_id,
+                'v-' || l_orderkey || '-' || l_linenumber || '-' || l_suppkey as code,
+                row_number() over (partition by l_partkey
+                  order by l_orderkey desc, l_linenumber desc, l_suppkey desc) as rn
+              from lineitem) where rn = 1""",
+        "rejected_records": sql(
+            _FLAWED, "select run_id, reason, value as rejected from flawed where reason is not null"
+        ),
+        "kept_records": sql(
+            _FLAWED,
+            """select run_id, count(*) as attempts, cast(count_if(l_quantity > 25) as bigint) as passes,
+              round(count_if(l_quantity > 25)::double / count(*), 10) as pass_rate,
+              (select count(*) from flawed where reason is null) as all_kept,
+              (select count(*) from flawed where reason is not null) as all_set_aside
+            from flawed where reason is null group by run_id""",
+        ),
+        "skipped_runs": sql(
+            _RAW,
+            """select lpad(r::varchar, 2, '0') as run_id, case
+                when r = 3 then 'no evaluations file'
+                when lpad(r::varchar, 2, '0') not in (select run_id from raw) then 'no run folder'
+                else 'no readable record' end as reason
+            from range(1, 14) t(r)
+            where r in (3, 7) or lpad(r::varchar, 2, '0') not in (select run_id from raw)""",
+        ),
+        "quarantined_attempts": """
+            select cast(l_suppkey % 12 + 1 as varchar) as run_id,
+              cast(count_if(l_linenumber <> 7) as bigint) as kept,
+              cast(sum(case when l_linenumber <> 7 then l_partkey end) as bigint) as id_sum,
+              cast(count_if(l_linenumber = 7) as bigint) as set_aside,
+              coalesce(max(case when l_linenumber = 7 then 'test_' || l_partkey end), '') as last_raw_id,
+              case when count_if(l_linenumber = 7) > 0 then 'id is not a whole number' else '' end as reason,
+              (select count(*) from lineitem where l_linenumber <> 7) as all_kept,
+              (select count(*) from lineitem where l_linenumber = 7) as all_set_aside
+            from lineitem group by 1 having count_if(l_linenumber <> 7) > 0""",
+        "hardest_by_split_and_class": sql(
+            _TOP_CLASSES, _top_rows("top_rates", "split, difficulty", "pass_rate, problem_id", 10)
+        ),
+        "easiest_by_class": sql(
+            _TOP_CLASSES, _top_rows("top_rates", "difficulty", "pass_rate desc, problem_id", 25)
+        ),
+        "most_attempted_by_split": sql(
+            f"""{_RAW},
+  raw_rates as (
+    select problem_id, count(*) as attempts, cast(count_if(passed) as bigint) as passes,
+      round(count_if(passed)::double / count(*), 10) as pass_rate, {_split('problem_id')} as split
+    from raw group by problem_id)""",
+            _top_rows("raw_rates", "split", "attempts desc, problem_id", 10),
+        ),
+        "passed_id_arrays": sql(
+            _EVALUATIONS,
+            """select run_id, string_agg(problem_id::varchar, ',' order by problem_id) as problem_ids
+            from evaluations where passed group by run_id""",
+        ),
+        "distinct_problems_from_sketches": sql(
+            f"{_EVALUATIONS},{_TEST_ROWS}",
+            """select e.run_id, cast(sum(len(test_outputs)) as bigint) as "rows",
+              count(distinct problem_id) as unique_problems, true as near
+            from evaluations e where len(test_outputs) > 0 group by e.run_id
+            union all
+            select 'overall', cast(sum(len(test_outputs)) as bigint), count(distinct problem_id), true
+            from evaluations where len(test_outputs) > 0""",
+        ),
+        "run_coverage_from_sketches": sql(
+            _ATTEMPTS,
+            """select run_id, cast(count_if(passed) as bigint) as passes, true as near
+            from attempts group by run_id""",
+        ),
+        "response_stats_by_key_presence": sql(
+            f"""{_PRESENCE.strip()},
+  keyed as (
+    select {_split('doc_id')} as split, with_key, null_key,
+      case when doc_id % 17 <> 0 and doc_id % 13 <> 0 then n_chars end as tokens from present)""",
+            f"""select {_SPLIT_NAME} count(*) as total_problems,
+              cast(count_if(not with_key) as bigint) as successful_responses,
+              cast(count_if(with_key) as bigint) as failed_responses,
+              cast(count_if(null_key) as bigint) as null_errors,
+              round(count_if(not with_key)::double / count(*), 10) as success_rate,
+              round(coalesce(avg(tokens), 0), 10) as average_tokens,
+              cast(coalesce(sum(tokens), 0) as bigint) as total_tokens
+            from keyed group by grouping sets ((split), ())""",
+        ),
+        "contents_by_key_presence": sql(
+            _RESPONSES,
+            "select problem_id, case when problem_id % 17 in (0, 1) then '' else content end as content from responses",
+        ),
+        "streamed_progress_with_repeats": sql(
+            _RESPONSES, _response_stats("run_id,") + " group by run_id"
+        ),
+        "response_of_unknown_id": """
+            select case when p_partkey % 10 = 7 then 'unknown_' || p_partkey else p_partkey::varchar end as problem_id,
+              doc_id::double as "timestamp"
+            from part join documents on p_partkey = doc_id
+            where p_partkey = 17 or (p_partkey % 10 <> 7 and p_partkey > 90)""",
     }

@@ -28,7 +28,7 @@ def _run_id(number: Column) -> Column:
     return F.lpad((number % 12 + 1).cast("string"), 2, "0")
 
 
-def _split(problem_id: Column) -> Column:
+def split_of(problem_id: Column) -> Column:
     return (
         F.when(problem_id.between(1, 10), "prompt")
         .when(problem_id.between(11, 510), "test")
@@ -145,7 +145,7 @@ def problems(spark: SparkSession, sf_dir: str) -> DataFrame:
         _tests(key, size).alias("test_list"),
         F.lit("").alias("test_setup_code"),
         F.array().cast("array<string>").alias("challenge_test_list"),
-        _split(key).alias("split"),
+        split_of(key).alias("split"),
     )
 
 
@@ -178,7 +178,7 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(
         doc.alias("problem_id"),
         _run_id(doc).alias("run_id"),
-        _split(doc).alias("split"),
+        split_of(doc).alias("split"),
         F.struct(
             doc.alias("task_id"),
             _text("Problem ", doc).alias("text"),

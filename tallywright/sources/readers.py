@@ -1,21 +1,24 @@
 """Readers. All take a schema from ``schemas``, so no pass over the data is spent on one.
 
-Three layouts of JSON files are read: ``array`` (a file is one JSON array indented by two, the form
-in which runs are usually delivered), ``array_in_order`` (the same, with each record's place in its
-file) and ``lines`` (one record per line). ``array`` files are cut at record starts, so that large
-ones are read by many tasks, record by record; an array written in another way is one row. Reading
-in order takes a whole file, of at most 2 GB, into one task.
+Two layouts of JSON files are read: ``array`` (a file is one JSON array indented by two, the form in
+which runs are usually delivered) and ``lines`` (one record per line). Both are cut at record starts,
+so that files of any size are read by many tasks, record by record; an array written in another way
+is one row.
 
-``position`` is a record's place in its file where it is read in order, else its stored field
-``position`` where it has one, else a hash of its text, by which equal records are the same.
+``position`` is a record's stored field of that name where it has one, else its place: a number that
+grows along the file, however the file was cut. Places of different files say nothing about each
+other; ``file`` orders the files of one run by name.
 
 Whatever is no JSON object is left out; a field of the wrong type is NULL and costs neither
-its record nor its file. ``id_field`` is the name the problem id has in the files. Ids are
-whole numbers unless ``numeric_ids=False`` keeps them as text.
+its record nor its file. ``checked_evaluations`` keeps what is left out, with the reason, and
+``inventory`` tells which files were not there. ``id_field`` is the name the problem id has in the
+files. Ids are whole numbers unless ``numeric_ids=False`` keeps them as text.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +26,7 @@ from pyspark.sql import types as T
 
 from .. import fixed_values as fv
 from .. import schemas
+from .scratch import matching_paths
 
 _CORRUPT = "_corrupt_record"
 
@@ -37,31 +41,39 @@ def _decoded(content: Column) -> Column:
     return F.when(F.is_valid_utf8(text), text).otherwise(F.decode(content.cast("binary"), "ISO-8859-1"))
 
 
-def _with_position(texts: DataFrame) -> DataFrame:
-    stored = F.get_json_object("_json", "$.position").try_cast("bigint")
-    return texts.withColumn("position", F.coalesce(stored, F.shiftrightunsigned(F.xxhash64("_json"), 1)))
-
-
 def _json_texts(spark: SparkSession, path: str, layout: str) -> DataFrame:
     """(_path, _json, position) of every record."""
-    source = F.col("_metadata.file_path").alias("_path")
+    if layout not in ("array", "lines"):
+        raise ValueError("layout is 'array' or 'lines'")
+    reader = spark.read if layout == "lines" else spark.read.option("lineSep", _RECORD_START)
+    pieces = reader.text(path).select(
+        F.col("_metadata.file_path").alias("_path"), "value", _place().alias("_place")
+    )
     if layout == "lines":
-        return _with_position(spark.read.text(path).select(source, F.col("value").alias("_json")))
-    if layout == "array":
-        pieces = spark.read.option("lineSep", _RECORD_START).text(path)
+        texts = pieces.select("_path", F.col("value").alias("_json"), "_place")
+    else:
         text = _decoded(F.col("value"))
         # The first piece is what stands before the first record: a bracket, or a whole array that
         # is not indented. The others lack their first brace and end with a comma or the bracket.
         opening = F.startswith(F.ltrim(text), F.lit("["))
         others = F.array(F.concat(F.lit("{"), F.rtrim(text, F.lit(" \t\r\n,]"))))
         records = F.when(opening, F.from_json(text, "array<string>")).otherwise(others)
-        return _with_position(pieces.select(source, F.explode(records).alias("_json")))
-    if layout != "array_in_order":
-        raise ValueError("layout is 'array', 'array_in_order' or 'lines'")
-    return spark.read.format("binaryFile").load(path).select(
-        source,
-        F.posexplode(F.from_json(_decoded(F.col("content")), "array<string>")).alias("position", "_json"),
-    ).withColumn("position", F.col("position").cast("bigint"))
+        texts = pieces.select("_path", F.posexplode(records).alias("_at", "_json"), "_place").withColumn(
+            "_place", F.col("_place") + F.col("_at")
+        ).drop("_at")
+    stored = F.get_json_object("_json", "$.position").try_cast("bigint")
+    return texts.withColumn("position", F.coalesce(stored, F.col("_place"))).drop("_place")
+
+
+def _place() -> Column:
+    """A number that grows along a file whatever pieces it was cut into, for use right above the scan.
+
+    Pieces begin at multiples of the largest piece's length. A task reads its pieces in order and no
+    more bytes than that length, and every record has a byte or more; so the beginning of the piece
+    plus the number of records the task has read before stays below the next piece's beginning.
+    """
+    before = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return F.col("_metadata.file_block_start") + before
 
 
 def _read_json(
@@ -79,7 +91,7 @@ def _read_json(
     try:
         texts = _json_texts(spark, path, layout)
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if not _no_file(error):
             raise
         texts = spark.createDataFrame([], "_path string, _json string, position bigint")
     return parse_records(texts, schema, id_field, numeric_ids).select(
@@ -87,6 +99,10 @@ def _read_json(
     )
 
 
+def _no_file(error: AnalysisException) -> bool:
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
 def parse_records(
     texts: DataFrame, schema: T.StructType, id_field: str = "problem_id", numeric_ids: bool = True
 ) -> DataFrame:
@@ -94,6 +110,16 @@ def parse_records(
 
     Batches and streams read records by this rule alike.
     """
+    record, columns, is_object = _record(schema, id_field, numeric_ids)
+    return (
+        texts.withColumn("_record", record)
+        .where(F.col("_record").isNotNull() & is_object)
+        .select(*columns, *[c for c in texts.columns if c != "_json"])
+    )
+
+
+def _record(schema: T.StructType, id_field: str, numeric_ids: bool) -> tuple[Column, list[Column], Column]:
+    """How ``_record`` is parsed from ``_json``, its fields, and whether it is an object."""
     id_type = "bigint" if numeric_ids else "string"
     typed = [
         T.StructField(f.name, T.StringType() if f.name == id_field else f.dataType)
@@ -109,12 +135,37 @@ def parse_records(
     record = F.from_json("_json", parsed, {"columnNameOfCorruptRecord": _CORRUPT})
     corrupt = F.col(f"_record.{_CORRUPT}")
     # Only records with a flaw are looked at a second time.
-    is_object = corrupt.isNull() | F.json_object_keys(corrupt).isNotNull()
-    return (
-        texts.withColumn("_record", record)
-        .where(F.col("_record").isNotNull() & is_object)
-        .select(*columns, *[c for c in texts.columns if c != "_json"])
+    return record, columns, corrupt.isNull() | F.json_object_keys(corrupt).isNotNull()
+
+
+NOT_JSON = "not JSON"
+NO_OBJECT = "not an object"
+NO_NUMBER = "id is not a whole number"
+
+
+def checked_records(
+    texts: DataFrame, schema: T.StructType, id_field: str = "problem_id", numeric_ids: bool = True
+) -> DataFrame:
+    """``parse_records`` that keeps every record, with ``reason`` where it cannot be used.
+
+    A record with a reason has NULL fields, and its text in ``rejected``. Blank texts are no records. An id
+    that is no whole number is a reason instead of an error.
+    """
+    record, columns, is_object = _record(schema, id_field, False)
+    whole = F.col(f"_record.`{id_field}`")
+    reason = (
+        F.when(F.col("_record").isNull() | ~is_object, F.when(F.try_parse_json("_json").isNull(), NOT_JSON).otherwise(NO_OBJECT))
+        .when(F.lit(numeric_ids) & whole.isNotNull() & whole.try_cast("bigint").isNull(), NO_NUMBER)
     )
+    others = [c for c in texts.columns if c != "_json"]
+    named = texts.where(F.trim("_json") != "").withColumn("_record", record).withColumn("reason", reason)
+    fine = F.col("reason").isNull()
+    fields = [
+        F.when(fine, whole.try_cast("bigint") if numeric_ids else whole).alias("problem_id")
+        if f.name == id_field else F.when(fine, F.col(f"_record.`{f.name}`")).alias(f.name)
+        for f in schema.fields
+    ]
+    return named.select(*fields, *others, "reason", F.when(~fine, F.col("_json")).alias("rejected"))
 
 
 def read_problems(
@@ -161,15 +212,71 @@ def read_response_file(
     id_field: str = "problem_id",
     layout: str = "array",
     numeric_ids: bool = True,
+    with_file: bool = False,
 ) -> DataFrame:
-    """Response records of one explicit file; a file that cannot be read gives none."""
+    """Response records of one explicit file; a file that cannot be read gives none.
+
+    A file written by this library is a folder of part files: with ``with_file`` the column ``file``
+    names a record's, and (``file``, ``position``) is its place.
+    """
     schema = schemas.response(id_field)
     pattern = fv.RESPONSES_NAME.replace(".", r"\.").format(split="([a-z]+)")
-    return (
-        _read_json(spark, path, schema, layout, id_field, numeric_ids)
-        .withColumn("split", F.regexp_extract("_path", pattern, 1))
-        .drop("_path")
+    records = _read_json(spark, path, schema, layout, id_field, numeric_ids)
+    if with_file:
+        records = records.withColumn("file", F.substring_index("_path", "/", -1))
+    return records.withColumn("split", F.regexp_extract("_path", pattern, 1)).drop("_path")
+
+
+def read_response_variants(
+    spark: SparkSession,
+    path: str,
+    id_field: str = "problem_id",
+    layout: str = "array",
+    numeric_ids: bool = True,
+) -> DataFrame:
+    """(problem_id, prompt, timestamp, model_response, position, split), ``model_response`` as VARIANT.
+
+    Reads what ``read_response_file`` reads, for use where a key's presence counts (``operators.presence``);
+    records that are no JSON objects are left out.
+    """
+    try:
+        texts = _json_texts(spark, path, layout)
+    except AnalysisException as error:
+        if not _no_file(error):
+            raise
+        texts = spark.createDataFrame([], "_path string, _json string, position bigint")
+    pattern = fv.RESPONSES_NAME.replace(".", r"\.").format(split="([a-z]+)")
+    record = texts.withColumn("_record", F.try_parse_json("_json")).where(
+        F.startswith(F.schema_of_variant("_record"), F.lit("OBJECT"))
     )
+    item = F.try_variant_get("_record", f"$['{id_field}']", "string")
+    return record.select(
+        (item.cast("bigint") if numeric_ids else item).alias("problem_id"),
+        F.try_variant_get("_record", "$.prompt", "string").alias("prompt"),
+        F.try_variant_get("_record", "$.timestamp", "double").alias("timestamp"),
+        F.try_variant_get("_record", "$.model_response", "variant").alias("model_response"),
+        "position", F.regexp_extract("_path", pattern, 1).alias("split"),
+    )
+
+
+def _run_files(base: str, runs: list[str] | None, partitioned: bool) -> tuple[str, str]:
+    """Where the files of runs are, and a pattern of their paths whose group is the run."""
+    folder = "{" + ",".join(runs) + "}" if runs else "*"
+    if partitioned:
+        return f"{base}/run_id={folder}", "/run_id=([^/]+)/"
+    return f"{base}/{folder}/{fv.EVALUATIONS_NAME}", "([^/]+)/" + fv.EVALUATIONS_NAME.replace(".", r"\.")
+
+
+def _decoded_path() -> Column:
+    """Paths in file metadata are URL-encoded; "+" is a plain character there."""
+    return F.url_decode(F.replace(F.col("_path"), F.lit("+"), F.lit("%2B")))
+
+
+def _with_run(records: DataFrame, pattern: str) -> DataFrame:
+    """``run_id`` and ``file``, the file's name."""
+    return records.withColumn("run_id", F.regexp_extract(_decoded_path(), pattern, 1)).withColumn(
+        "file", F.substring_index("_path", "/", -1)
+    ).drop("_path")
 
 
 def _read_runs(
@@ -182,19 +289,8 @@ def _read_runs(
     numeric_ids: bool,
     partitioned: bool,
 ) -> DataFrame:
-    folder = "{" + ",".join(runs) + "}" if runs else "*"
-    if partitioned:
-        path, pattern = f"{base}/run_id={folder}", "/run_id=([^/]+)/"
-    else:
-        path = f"{base}/{folder}/{fv.EVALUATIONS_NAME}"
-        pattern = "([^/]+)/" + fv.EVALUATIONS_NAME.replace(".", r"\.")
-    # Paths in file metadata are URL-encoded; "+" is a plain character there.
-    name = F.url_decode(F.replace(F.col("_path"), F.lit("+"), F.lit("%2B")))
-    return (
-        _read_json(spark, path, schema, layout, id_field, numeric_ids)
-        .withColumn("run_id", F.regexp_extract(name, pattern, 1))
-        .drop("_path")
-    )
+    path, pattern = _run_files(base, runs, partitioned)
+    return _with_run(_read_json(spark, path, schema, layout, id_field, numeric_ids), pattern)
 
 
 def read_attempts(
@@ -220,19 +316,96 @@ def read_evaluations(
     base: str,
     runs: list[str] | None = None,
     id_field: str = "problem_id",
-    layout: str = "array_in_order",
+    layout: str = "array",
     numeric_ids: bool = True,
     partitioned: bool = False,
 ) -> DataFrame:
     """Whole evaluation records of every run folder, or of the listed ones.
 
-    The run id is the folder's name. ``array`` reads files of any size, without the order that
-    decides between several records of a problem in one run.
+    The run id is the folder's name. Between several records of a problem in one run ``file`` and
+    ``position`` tell the earlier one; a run of one file needs ``position`` only.
     """
     schema = schemas.evaluation(id_field)
     return _read_runs(spark, base, runs, schema, layout, id_field, numeric_ids, partitioned)
 
 
+def checked_evaluations(
+    spark: SparkSession,
+    base: str,
+    runs: list[str] | None = None,
+    id_field: str = "problem_id",
+    layout: str = "array",
+    numeric_ids: bool = True,
+    partitioned: bool = False,
+) -> DataFrame:
+    """``read_evaluations`` that keeps what cannot be used: its text in ``rejected``, why in ``reason``.
+
+    ``quarantine.write_split`` stores both kinds in one pass. No matching file gives an empty table.
+    """
+    path, pattern = _run_files(base, runs, partitioned)
+    try:
+        texts = _json_texts(spark, path, layout)
+    except AnalysisException as error:
+        if not _no_file(error):
+            raise
+        texts = spark.createDataFrame([], "_path string, _json string, position bigint")
+    return _with_run(checked_records(texts, schemas.evaluation(id_field), id_field, numeric_ids), pattern)
+
+
+NO_FOLDER = "no run folder"
+NO_FILE = "no evaluations file"
+EMPTY_FILE = "empty file"
+NO_RECORD = "no readable record"
+
+
+def inventory(
+    spark: SparkSession, base: str, runs: list[str] | None = None, partitioned: bool = False
+) -> DataFrame:
+    """(run_id, folder, file, bytes) of every run folder below ``base``, and of every listed run.
+
+    ``folder`` and ``file`` tell whether they are there. Files are listed, not read. The paths of folders and
+    files pass the driver, as those of all files that Spark reads do.
+    """
+    path, pattern = _run_files(base, runs, partitioned)
+    head = "run_id=" if partitioned else ""
+    folders = [p.rsplit("/", 1)[1][len(head):] for p in matching_paths(spark, f"{base}/{head}*", True)]
+    # What this library writes is a folder of part files; those of runs delivered whole are files.
+    parts = "/part-*" if partitioned else ""
+    files = matching_paths(spark, path + parts, False) + matching_paths(spark, f"{path}/part-*", False)
+    known = {m.group(1) for m in (re.search(pattern, f) for f in files) if m}
+    table = spark.createDataFrame(
+        [(run, run in folders, run in known) for run in (runs or folders)], "run_id string, folder boolean, file boolean"
+    )
+    try:
+        lengths = spark.read.format("binaryFile").load(path).select("path", "length")
+    except AnalysisException as error:
+        if not _no_file(error):
+            raise
+        lengths = spark.createDataFrame([], "path string, length bigint")
+    sizes = lengths.groupBy(F.regexp_extract("path", pattern, 1).alias("run_id")).agg(F.sum("length").alias("bytes"))
+    return table.join(sizes, "run_id", "left").select(
+        "run_id", "folder", "file", F.coalesce("bytes", F.lit(0)).alias("bytes")
+    )
+
+
+def skipped_runs(listed: DataFrame, records: DataFrame) -> DataFrame:
+    """(run_id, reason) of the runs in ``listed`` (an ``inventory``) that gave none of ``records``."""
+    reason = (
+        F.when(~F.col("folder"), NO_FOLDER).when(~F.col("file"), NO_FILE)
+        .when(F.col("bytes") == 0, EMPTY_FILE).otherwise(NO_RECORD)
+    )
+    read = records.select("run_id").distinct()
+    return listed.join(read, "run_id", "left_anti").select("run_id", reason.alias("reason"))
+
+
+def missing_splits(spark: SparkSession, base: str, prefix: str = fv.RESPONSES_PREFIX) -> DataFrame:
+    """(split) of the response files that are not in a results folder."""
+    name = prefix + fv.RESPONSES_NAME
+    there = {p.rsplit("/", 1)[1] for kind in (True, False) for p in matching_paths(spark, f"{base}/*", kind)}
+    gone = [(s,) for s in fv.RESPONSE_SPLITS if name.format(split=s) not in there]
+    return spark.createDataFrame(gone, "split string")
+
+
 def read_stored(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
     """A table this library wrote, partition columns included in ``schema``."""
     return spark.read.schema(schema).format(fmt).load(path)

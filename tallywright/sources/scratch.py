@@ -38,3 +38,10 @@ def remove_path(spark: SparkSession, path: str) -> None:
     """Deletes a folder of any file system Spark knows; one that is not there is no error."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def matching_paths(spark: SparkSession, pattern: str, folders: bool) -> list[str]:
+    """Paths of the folders, or of the files, that match a pattern of any file system Spark knows, sorted."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(f.getPath().toString() for f in found or [] if f.isDirectory() == folders)

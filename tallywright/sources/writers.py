@@ -42,13 +42,14 @@ def append_records(df: DataFrame, path: str, partition_by: list[str] = ["run_id"
 
 
 def write_json_arrays(
-    df: DataFrame, path: str, id_field: str = "problem_id", partition_by: str | None = None
+    df: DataFrame, path: str, id_field: str = "problem_id", partition_by: str | None = None, order: list[str] = []
 ) -> None:
     """Store records as JSON arrays indented by two, one array per part file.
 
     ``partition_by`` puts the rows of each value of a column into a folder of its own, in one job. A
     part file is never cut, because a cut array could not be read. No task holds more than one Arrow
-    batch.
+    batch. Records stand in the order of the columns ``order`` within a part file; the part files of a table
+    that is partitioned by ranges of them follow each other by name.
     """
     if id_field != "problem_id":
         df = df.withColumnRenamed("problem_id", id_field)
@@ -58,9 +59,10 @@ def write_json_arrays(
     text = df.select(
         F.coalesce(folder, F.lit("__HIVE_DEFAULT_PARTITION__")).alias("folder"),
         F.concat(F.lit("\n  "), F.replace(record, F.lit("\n"), F.lit("\n  "))).alias("value"),
+        *[F.col(c).alias(f"_{c}") for c in order],
     )
-    if partition_by:
-        text = text.sortWithinPartitions("folder")
+    if partition_by or order:
+        text = text.sortWithinPartitions("folder", *[f"_{c}" for c in order]).select("folder", "value")
 
     def as_array(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, now = ["folder", "value"], None

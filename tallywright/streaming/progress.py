@@ -37,14 +37,20 @@ def stream_progress(
     checkpoint: str,
     once_per_record: bool = False,
     max_files: int | None = None,
+    horizon: str | None = None,
 ) -> StreamingQuery:
     """Follow a folder of response records and keep the statistics per run up to date.
 
     Takes everything there is and stops; call it again, or on a schedule, to go on from the
     checkpoint. The state is one row of counters per run. Lines that are no records are left out, as
     in a batch. Each epoch is stored under a number above all stored before, whatever the
-    checkpoint, in one file; only the last two are kept. ``once_per_record`` also drops records
-    delivered twice; its state then grows with the number of records.
+    checkpoint, in one file; only the last two are kept.
+
+    ``horizon`` (such as "2 hours") drops records delivered twice within that time, by the records' own
+    ``timestamp``; ids older than the horizon leave the state, so that it holds the ids of one horizon,
+    however long the stream runs. Records that come later than the horizon allows, measured from the
+    newest of the batches before, are not counted; those without a timestamp are counted each time.
+    ``once_per_record`` drops repeats however late; its state then grows with the number of records.
     """
     reader = spark.readStream.schema(_TEXTS)
     if max_files:
@@ -53,6 +59,12 @@ def stream_progress(
     stream = parse_records(lines, schemas.response())
     if once_per_record:
         stream = stream.dropDuplicates(["run_id", "problem_id"])
+    elif horizon:
+        # A watermark begins at 1970; what is not later than that would be late from the start.
+        at = F.timestamp_seconds(F.greatest("timestamp", F.lit(0.001)))
+        timed = stream.where("timestamp is not null").withColumn("_at", at).withWatermark("_at", horizon)
+        timed = timed.dropDuplicatesWithinWatermark(["run_id", "problem_id"]).drop("_at")
+        stream = timed.unionByName(stream.where("timestamp is null"))
     stats = response_stats(stream, by=["run_id"], total=False)
 
     last = _stored(spark, progress).agg(F.max("epoch")).first()[0] or 0

@@ -19,6 +19,9 @@ STORING = {
     "stored_problems_other_split", "stored_responses", "stored_responses_one_file",
     "stored_run_attempts", "stored_run_evaluations", "stored_lines_well_formed", "streamed_progress",
     "streamed_progress_of_cut_lines", "stored_array_attempts", "pass_at_k_csv",
+    "best_attempt_by_file_order", "reference_code_by_file_order", "rejected_records", "kept_records", "skipped_runs",
+    "quarantined_attempts", "distinct_problems_from_sketches", "run_coverage_from_sketches",
+    "response_stats_by_key_presence", "contents_by_key_presence", "streamed_progress_with_repeats",
 }
 
 
