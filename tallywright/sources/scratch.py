@@ -7,13 +7,24 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+def shared(folder: str, master: str) -> bool:
+    """Whether all of a cluster can be taken to see a folder: it is on no local disk, or there is one machine."""
+    local = folder.startswith("file:") or ":" not in folder.split("/", 1)[0]
+    return master.startswith("local") or not local
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the folder in ``spark.checkpoint.dir``, else below the session's warehouse.
 
     The same rule holds on a cluster and in a local session. What is written there belongs to the
-    application: remove ``tallywright/<application id>`` when it has ended.
+    application: remove ``tallywright/<application id>`` when it has ended. On a cluster a warehouse on
+    the driver's own disk is refused, since executors do not share it.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        root = spark.conf.get("spark.sql.warehouse.dir")
+        if not shared(root, spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     return f"{root.rstrip('/')}/tallywright/{app}/{name}-{uuid.uuid4().hex}"
 
