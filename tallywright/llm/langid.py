@@ -1,8 +1,10 @@
 """Language of texts and of the spans inside them.
 
-A word's script narrows the languages it can belong to; among these it is scored by its letter
-trigrams, word ends included. Viterbi over the words, with a penalty for each change of language,
-labels spans; a text's language is the one most of its words are labelled with.
+Words end where the script changes, too. A word's script narrows the languages it can belong to; among
+these it is scored by its letter trigrams, word ends included, and the others are out of the question.
+A word in a script of no learned language says nothing. Viterbi over the words, with a penalty for
+each change of language, labels spans; a text's language is the one most of its letters are labelled
+with, and its score their share of all letters, those that say nothing included.
 """
 
 from __future__ import annotations
@@ -20,23 +22,30 @@ BITS = 16  # trigrams are counted in 2**16 cells: the model has that many number
 MOST_LANGS = 1024
 SWITCH = 12.0  # log-probability a change of language costs
 SMOOTH = 0.5
+OWN_SHARE = 0.5  # of a text's letters that stand in a learned language's own script, for ``accepted``
 SCRIPT_SHARE = 0.002  # of a language's letters, for a script to count as its own
 AT_ONCE = 1 << 20  # characters scored at a time
 UNKNOWN = "und"
 
 
-def _cells(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(cell, end-of-word flag, script, is-letter, text starts) for every character position.
+def _cells(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(cell, end-of-word flag, script-change flag, script, is-letter, text starts) for every character position.
 
     A position's trigram is the character and the two before it, all lower-case, where anything that
-    is no letter counts as a word's edge; it belongs to the word that it is in or has just ended.
+    is no letter counts as a word's edge, as does a letter of another script; it belongs to the word that
+    it is in or has just ended. A word that ends at a letter of another script has no trigram for its end.
     """
     codes, starts = letters.points(texts)
     lower, script = letters.tables()
-    small = lower[codes]
+    small, kind = lower[codes], script[codes]
     a = np.concatenate(([0], small[:-1]))
     b = np.concatenate(([0, 0], small[:-2]))[: len(small)]
-    b[a == 0] = 0
+    # Marks of script changes: a letter after a letter of another script.
+    before = np.concatenate(([letters.NONE], kind[:-1]))
+    parted = (small != 0) & (a != 0) & (kind != before)
+    second = np.concatenate(([False], parted[:-1]))
+    a[parted] = 0
+    b[(a == 0) | second] = 0
     mixed = (small.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (
         a.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
     ) ^ (b.astype(np.uint64) * np.uint64(0x165667B19E3779F9))
@@ -44,8 +53,8 @@ def _cells(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     mixed *= np.uint64(0xBF58476D1CE4E5B9)
     cell = (mixed >> np.uint64(64 - BITS)).astype(np.int32)
     letter = small != 0
-    ended = (a != 0) & ~letter
-    return cell, ended, script[codes], letter, starts
+    ended = (np.concatenate(([0], small[:-1])) != 0) & ~letter
+    return cell, ended, parted, kind, letter, starts
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -57,7 +66,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             mine = [t for t, x in zip(texts, langs) if x == lang and t]
             cells, scripts = sums.setdefault(lang, (np.zeros(1 << BITS, np.int64), np.zeros(256, np.int64)))
             for a, b in letters.groups(mine, AT_ONCE):
-                cell, ended, script, letter, _ = _cells(mine[a:b])
+                cell, ended, _, script, letter, _ = _cells(mine[a:b])
                 cells += np.bincount(cell[letter | ended], minlength=1 << BITS)
                 scripts += np.bincount(script, minlength=256)
     for lang, kinds in sums.items():
@@ -86,23 +95,27 @@ class Model:
         shares = scripts / np.maximum(scripts.sum(axis=0), 1)
         allowed = shares >= SCRIPT_SHARE
         self.own = allowed.any(axis=1)
-        allowed[~allowed.any(axis=1)] = True  # nobody's script narrows nothing
-        self.barred = np.where(allowed, 0, -50).astype(np.float32)
+        allowed[~self.own] = True  # nobody's script narrows nothing
+        self.barred = np.where(allowed, 0, -np.inf).astype(np.float32)
         self.first = int(np.argmax(counts.sum(axis=0))) if self.langs else 0
 
 
-def _words(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(scores by word and language, letters by word, end of each word, words before each text)."""
-    cell, ended, script, letter, starts = _cells(texts)
+def _words(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(scores by word and language, letters by word, whether its script is learned, end of each word, words before each text)."""
+    cell, ended, parted, script, letter, starts = _cells(texts)
     kept = np.flatnonzero(letter | ended)
-    ends = np.flatnonzero(ended)
-    bounds = np.searchsorted(kept, ends, "right")
+    ends = np.flatnonzero(ended | parted)
+    # The position after a word belongs to it as its edge, but for a letter of another script.
+    whole = ended[ends]
+    bounds = np.searchsorted(kept, ends, "left") + whole
     scored = model.scores[cell[kept]]
     first = np.concatenate(([0], bounds[:-1])).astype(np.int64) if len(bounds) else bounds
     scores = np.add.reduceat(scored, first, axis=0) if len(first) else np.zeros((0, len(model.langs)), np.float32)
-    # The script of a word is that of its last letter.
-    scores += model.barred[script[ends - 1]]
-    return scores, bounds - first - 1, ends, np.searchsorted(ends, starts)
+    kind = script[ends - 1]
+    own = model.own[kind]
+    scores[~own] = 0
+    scores += model.barred[kind]
+    return scores, bounds - first - whole, own, ends, np.searchsorted(ends, starts)
 
 
 def viterbi(scores: np.ndarray, firsts: np.ndarray, penalty: float) -> np.ndarray:
@@ -142,12 +155,13 @@ def viterbi(scores: np.ndarray, firsts: np.ndarray, penalty: float) -> np.ndarra
 
 
 def label_words(model: Model, texts: list[str], penalty: float):
-    """(label, letters, end in characters of its text, text) of every word of ``texts``, in order."""
-    parts, firsts, sizes, ends = [], [np.zeros(1, np.int64)], [], []
+    """(label, letters, end in characters of its text, text, whether its script is learned) of every word of ``texts``, in order."""
+    parts, firsts, sizes, ends, known = [], [np.zeros(1, np.int64)], [], [], []
     total = 0
     for a, b in letters.groups(texts, AT_ONCE):
         starts = letters.points(texts[a:b])[1]
-        scores, size, end, first = _words(model, texts[a:b])
+        scores, size, own, end, first = _words(model, texts[a:b])
+        known.append(own)
         parts.append(scores)
         sizes.append(size)
         ends.append(end - np.repeat(starts[:-1], np.diff(first)))
@@ -156,9 +170,10 @@ def label_words(model: Model, texts: list[str], penalty: float):
     first = np.concatenate(firsts)
     if not parts:
         empty = np.zeros(0, np.int64)
-        return empty, empty, empty, empty
+        return empty, empty, empty, empty, np.zeros(0, bool)
     labels = viterbi(np.concatenate(parts), first, penalty)
-    return labels, np.concatenate(sizes), np.concatenate(ends), np.repeat(np.arange(len(texts)), np.diff(first))
+    owner = np.repeat(np.arange(len(texts)), np.diff(first))
+    return labels, np.concatenate(sizes), np.concatenate(ends), owner, np.concatenate(known)
 
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
@@ -195,36 +210,48 @@ def _apply(docs: DataFrame, model: Model, id: str, text: str, make, schema: str)
 
 
 def decide(model: Model, texts: list[str], penalty: float) -> tuple[list[str], np.ndarray]:
-    """The language and its share of the letters, text by text."""
+    """The language and its share of the letters, text by text; letters in no learned script are none of its."""
     count = len(model.langs)
     names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
     if count:
-        labels, sizes, _, owner = label_words(model, texts, penalty)
-        sums = np.bincount(owner * count + labels, sizes, len(texts) * count).reshape(-1, count)
-        totals, best = sums.sum(axis=1), sums.argmax(axis=1)
+        labels, sizes, _, owner, own = label_words(model, texts, penalty)
+        sums = np.bincount(owner * count + labels, sizes * own, len(texts) * count).reshape(-1, count)
+        totals, best = np.bincount(owner, sizes, len(texts)), sums.argmax(axis=1)
         some = totals > 0
         scores[some] = sums[some, best[some]] / totals[some]
         names = [model.langs[k] if ok else UNKNOWN for k, ok in zip(best, some)]
     return names, scores
 
 
-def accepted(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The rows with a letter of a script that some learned language is written in, all columns kept.
+def own_share(model: Model, texts: list[str], penalty: float) -> np.ndarray:
+    """Share of a text's letters in spans whose language is learned in their script; 0 without letters."""
+    if not model.langs:
+        return np.zeros(len(texts))
+    labels, sizes, _, owner, own = label_words(model, texts, penalty)
+    totals = np.bincount(owner, sizes, len(texts))
+    return np.bincount(owner, sizes * own, len(texts)) / np.maximum(totals, 1)
 
-    Rejected are NULL, empty and letter-free texts and those in scripts of no learned language. A
-    text may spread over any number of languages.
+
+def accepted(
+    docs: DataFrame, model: Model, text: str = "text", share: float = OWN_SHARE, penalty: float = SWITCH
+) -> DataFrame:
+    """The rows with at least ``share`` of their letters in spans of learned languages, all columns kept.
+
+    Spans are those of ``language_spans``; a span in a script that its language is not written in
+    belongs to none. Rejected are NULL, empty and letter-free texts and those mostly in other
+    scripts. A text may spread over any number of learned languages. A model without languages
+    accepts nothing.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    most = max(AT_ONCE, (1 << 25) // max(4, len(model.langs)))
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        own = shared.value.own
-        _, script = letters.tables()
         for batch in batches:
             texts = [t or "" for t in batch.to_pylist()]
             kept: list[bool] = []
-            for a, b in letters.groups(texts, AT_ONCE):
-                codes, starts = letters.points(texts[a:b])
-                kept += np.logical_or.reduceat(own[script[codes]], starts[:-1]).tolist()
+            for a, b in letters.groups(texts, most):
+                shares = own_share(shared.value, texts[a:b], penalty)
+                kept += ((shares >= share) & (shares > 0)).tolist()
             yield pa.array(kept, pa.bool_())
 
     return docs.where(F.arrow_udf(run, "boolean")(F.col(text)))
@@ -234,7 +261,8 @@ def predict(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text
     """(id, lang_pred, score): the language most letters are labelled with, and its share of them.
 
     ``und`` and 0 for NULL, empty and letter-free texts, and for a model without languages; equal
-    shares go to the first name. One row for each row, repeats included; an empty table gives an
+    shares go to the first name. A text wholly in scripts of no learned language gets a learned name
+    with score 0. One row for each row, repeats included; an empty table gives an
     empty one; other columns are left out. Texts are read whole, in one pass without a shuffle.
     """
 
@@ -254,7 +282,7 @@ def language_spans(docs: DataFrame, model: Model, id: str = "doc_id", text: str
     """
 
     def make(model: Model, ids: pa.Array, texts: list[str]) -> pa.RecordBatch:
-        labels, sizes, ends, owner = label_words(model, texts, penalty) if model.langs else (np.zeros(0, np.int64),) * 4
+        labels, sizes, ends, owner = label_words(model, texts, penalty)[:4] if model.langs else (np.zeros(0, np.int64),) * 4
         new = np.ones(len(labels), bool)
         new[1:] = (owner[1:] != owner[:-1]) | (labels[1:] != labels[:-1])
         first = np.flatnonzero(new)

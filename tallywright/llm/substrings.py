@@ -18,6 +18,7 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -159,17 +160,27 @@ class Windows:
 
 
 def _held(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Batches cut so that their texts stay below ``HELD`` bytes, or are one text; and the texts."""
+    """Batches cut so that their texts stay below ``HELD`` bytes, or are one text; and the texts, unpacked."""
+    whole = zstandard.ZstdDecompressor()
     for batch in batches:
-        texts = [(x or "").encode() for x in batch.column(text).to_pylist()]
-        at, size = 0, 0
-        for k, x in enumerate(texts):
-            if k > at and size + len(x) > HELD:
-                yield batch.slice(at, k - at), texts[at:k]
-                at, size = k, 0
+        texts, at, size = [], 0, 0
+        for k, packed in enumerate(batch.column(text)):
+            x = whole.decompress(packed.as_py()) if packed.is_valid else b""
+            if texts and size + len(x) > HELD:
+                yield batch.slice(at, k - at), texts
+                texts, at, size = [], k, 0
+            texts.append(x)
             size += len(x)
-        if at < len(texts):
-            yield batch.slice(at), texts[at:]
+        if texts:
+            yield batch.slice(at), texts
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc, ref, text): texts compressed one by one, which makes them a third shorter on the way than blocks of rows do."""
+    pack = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        texts = [pack.compress(x.as_buffer()) if x.is_valid else None for x in batch.column(2)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.binary())], names=["doc", "ref", "text"])
 
 
 def _longs(values: np.ndarray) -> pa.Array:
@@ -259,7 +270,7 @@ def _kept(words: int):
 
 
 def _texts(docs: DataFrame, id: str, text: str) -> DataFrame:
-    """(doc, ref, text, first): every row once; ``first`` says that no smaller id has the same text.
+    """(doc, ref, text, first): every row once, texts packed; ``first`` says that no smaller id has the same text.
 
     It is NULL where one has, or the row has no id. ``ref`` names a row by id and text. All further
     joins are by it and none looks at the id, so texts are shuffled once.
@@ -274,7 +285,7 @@ def _texts(docs: DataFrame, id: str, text: str) -> DataFrame:
         rows.where("doc is not null").groupBy("digest").agg(F.min("doc").alias("doc"))
         .select(ref.alias("ref"), F.lit(True).alias("first"))
     )
-    named = rows.select("doc", ref.alias("ref"), "text")
+    named = rows.select("doc", ref.alias("ref"), "text").mapInArrow(_packed, "doc bigint, ref bigint, text binary")
     return named.join(firsts.hint("shuffle_hash"), "ref", "left").select("doc", "ref", "text", "first")
 
 
