@@ -3,9 +3,11 @@
 Vectors are scaled to length one and turned onto their principal axes, the strongest first; a turn
 changes no cosine. They are cut into tiles by their leading coordinates. Two tiles are compared
 unless the ranges of these coordinates and the longest remainders already keep every cosine below
-the threshold. Inside a pair of tiles the leading coordinates are multiplied first; what the rest
-can add is at most the product of the remainders' lengths. Only pairs that can still reach the
-threshold go on to more coordinates and, last, to the cosine in double precision.
+the threshold. Inside a pair of tiles products grow step by step: after the first leading coordinates
+and again after all of these, what the rest can add is at most the product of the suffixes' lengths.
+Only pairs that can still reach the threshold go on to the whole product. The turn is for the bounds
+only: cosines come from the vectors as given, and those next to the threshold from one formula,
+dot / sqrt(square * square), which is exact where the products of the components are.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywright.llm.graph import components
@@ -26,7 +28,9 @@ BOX = 8  # leading coordinates whose ranges bound a pair of tiles
 BLOCK_BOXES = 1024  # boxes that meet as many others in one task
 STRIPE = 1024  # rows of one tile compared with the other at a time
 MARGIN = 1e-4  # single precision may err by less; survivors are computed in double
-TOO_MANY = 0.02  # share of survivors from which a stripe is computed whole
+NEAR = 1e-9  # double precision may err by less; cosines as near to the threshold are decided by the formula
+STEPS = (8,)  # coordinates after which a product is bounded, before all leading ones
+TOO_MANY = 0.02  # share of survivors from which a stripe's products are computed as a whole
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -34,7 +38,10 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
 
 
 def _unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, unit vector as bytes), NULL for vectors without a direction."""
+    """(id, vector as bytes), NULL for vectors without a direction.
+
+    Components are multiplied by a power of two, which rounds nothing, so that no square overflows.
+    """
     for batch in batches:
         found = []
         for value in batch.column(1):
@@ -43,20 +50,34 @@ def _unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 v = value.values.to_numpy(zero_copy_only=False).astype(np.float64)
                 top = np.abs(v).max()
                 if np.isfinite(top) and top > 0:
-                    v = v / top
-                    unit = (v / np.sqrt(v @ v)).tobytes()
+                    unit = np.ldexp(v, -int(np.frexp(top)[1])).tobytes()
             found.append(unit)
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["id", "unit"])
 
 
+def _scaled(rows: np.ndarray) -> np.ndarray:
+    """Rows of length one."""
+    return rows / np.sqrt((rows**2).sum(axis=1))[:, None]
+
+
 def _moments(width: int):
+    """(at, sums): the rows of a task's second moments, packed."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((width, width))
         for batch in batches:
-            m = _matrix(batch.column(0), width)
+            m = _scaled(_matrix(batch.column(0), width))
             total += m.T @ m
-        at = np.arange(width * width)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total.ravel())], names=["at", "sum"])
+        packed = pa.array([r.tobytes() for r in total], pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(width, dtype=np.int32)), packed], names=["at", "sums"])
+
+    return run
+
+
+def _added(width: int):
+    def run(group: pa.Table) -> pa.Table:
+        total = _matrix(group["sums"], width).sum(axis=0)
+        return pa.table({"at": group["at"][:1], "sums": pa.array([total.tobytes()], pa.binary())})
 
     return run
 
@@ -64,13 +85,13 @@ def _moments(width: int):
 def principal_axes(units: DataFrame, width: int) -> np.ndarray:
     """Columns are the axes, strongest first: eigenvectors of the second moments of all vectors.
 
-    width squared sums reach the driver, whatever the number of vectors.
+    width packed rows of them reach the driver, whatever the number of vectors.
     """
-    sums = np.zeros(width * width)
-    parts = units.select("unit").mapInArrow(_moments(width), "at int, sum double")
-    for r in parts.groupBy("at").agg(F.sum("sum").alias("sum")).collect():
-        sums[r["at"]] = r["sum"]
-    values, axes = np.linalg.eigh(sums.reshape(width, width))
+    sums = np.zeros((width, width))
+    parts = units.select("unit").mapInArrow(_moments(width), "at int, sums binary")
+    for r in parts.groupBy("at").applyInArrow(_added(width), "at int, sums binary").collect():
+        sums[r["at"]] = np.frombuffer(r["sums"], np.float64)
+    values, axes = np.linalg.eigh(sums)
     return axes[:, np.argsort(-values)]
 
 
@@ -111,18 +132,19 @@ class Tiles:
 
 
 def _deal(axes: np.ndarray, tiles: Tiles):
-    """(tile, reps, rows, times): the turned vectors of a task, packed by tile."""
+    """(tile, reps, rows, times): the vectors of a task, packed by the tile that their turned form is in."""
     width = len(axes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            turned = _matrix(batch.column(1), width) @ axes
+            rows = _matrix(batch.column(1), width)
+            turned = _scaled(rows) @ axes[:, :BOX]
             reps = batch.column(0).to_numpy(zero_copy_only=False)
             times = batch.column(2).to_numpy(zero_copy_only=False)
             tile = tiles.of(turned)
             named = np.unique(tile)
             where = [np.flatnonzero(tile == t) for t in named]
-            packs = [pa.array([x[at].tobytes() for at in where], pa.binary()) for x in (reps, turned, times)]
+            packs = [pa.array([x[at].tobytes() for at in where], pa.binary()) for x in (reps, rows, times)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(named.astype(np.int64)), *packs], names=["tile", "reps", "rows", "times"]
             )
@@ -130,11 +152,13 @@ def _deal(axes: np.ndarray, tiles: Tiles):
     return run
 
 
-def _pieces(width: int):
+def _pieces(axes: np.ndarray):
     """(piece, reps, rows, times, box): tiles, sorted, joined to pieces of at most ``TILE_ROWS``."""
 
+    width = len(axes)
+
     def piece(tile: int, number: int, reps: bytes, rows: bytes, times: bytes) -> pa.RecordBatch:
-        turned = np.frombuffer(rows, np.float64).reshape(-1, width)
+        turned = _scaled(np.frombuffer(rows, np.float64).reshape(-1, width)) @ axes[:, :BOX]
         rest = np.sqrt(np.maximum(0, 1 - (turned[:, :BOX] ** 2).sum(axis=1)))
         sides = np.concatenate((turned[:, :BOX], rest[:, None]), axis=1)
         box = np.concatenate((sides.min(axis=0), sides.max(axis=0))).tobytes()
@@ -194,35 +218,60 @@ def _reachable(cosine: float):
     return run
 
 
-def compare(a: np.ndarray, b: np.ndarray, cosine: float, lead: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs (of a, of b) whose rows have at least that cosine, stripe by stripe."""
-
-    def ahead(m: np.ndarray) -> np.ndarray:
-        rest = np.sqrt(np.maximum(0, (m[:, lead:] ** 2).sum(axis=1)))
-        return np.concatenate((m[:, :lead], rest[:, None]), axis=1).astype(np.float32)
+def compare(a: np.ndarray, b: np.ndarray, cosine: float, axes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs (of a, of b) whose rows have at least that cosine, stripe by stripe.
 
-    second = ahead(b).T.copy()
+    ``axes`` are the leading ones, strongest first; any give the same pairs.
+    """
+    lead = axes.shape[1]
+    steps = sorted({min(s, lead) for s in STEPS} | {lead})
+    units = [_scaled(x) for x in (a, b)]
+    turned = [u @ axes for u in units]
+
+    def ahead(m: np.ndarray, count: int) -> np.ndarray:
+        """The first coordinates, and the length of what follows them."""
+        rest = np.sqrt(np.maximum(0, 1 - (m[:, :count] ** 2).sum(axis=1)))
+        return np.concatenate((m[:, :count], rest[:, None]), axis=1).astype(np.float32)
+
+    first, second = ahead(turned[0], steps[0]), ahead(turned[1], steps[0]).T.copy()
+    more = [[ahead(t, s) for t in turned] for s in steps[1:]]
+    squares = [(x**2).sum(axis=1) for x in (a, b)]
     for at in range(0, len(a), STRIPE):
-        part = a[at : at + STRIPE]
-        can = ahead(part) @ second >= cosine - MARGIN
+        part = slice(at, at + STRIPE)
+        can = first[part] @ second >= cosine - MARGIN
+        for left, right in more:
+            count = np.count_nonzero(can)
+            if count > TOO_MANY * can.size:
+                can &= left[part] @ right.T >= cosine - MARGIN
+            elif count:
+                i, j = np.nonzero(can)
+                can[i, j] = np.einsum("ij,ij->i", left[part][i], right[j]) >= cosine - MARGIN
         count = np.count_nonzero(can)
         if not count:
             continue
         if count > TOO_MANY * can.size:
-            i, j = np.nonzero(part @ b.T >= cosine)
+            found = units[0][part] @ units[1].T
+            i, j = np.nonzero(can & (found >= cosine - NEAR))
+            found = found[i, j]
         else:
             i, j = np.nonzero(can)
-            sure = np.einsum("ij,ij->i", part[i], b[j]) >= cosine
-            i, j = i[sure], j[sure]
-        yield i + at, j
+            found = np.einsum("ij,ij->i", units[0][part][i], units[1][j])
+            i, j, found = (x[found >= cosine - NEAR] for x in (i, j, found))
+        near = np.flatnonzero(found <= cosine + NEAR)
+        x, y = i[near] + at, j[near]
+        exact = np.einsum("ij,ij->i", a[x], b[y]) / np.sqrt(squares[0][x] * squares[1][y])
+        sure = np.ones(len(i), bool)
+        sure[near] = exact >= cosine
+        yield i[sure] + at, j[sure]
 
 
-def _links(width: int, cosine: float, lead: int):
+def _links(axes: np.ndarray, cosine: float, lead: int):
     """(rep, number of links, a linked rep) for each vector of a pair of tiles that has links there.
 
     The linked ones reach the smallest vector of each component inside the pair, so no list of all
     pairs is made.
     """
+    width, leading = len(axes), np.ascontiguousarray(axes[:, :lead])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -242,7 +291,7 @@ def _links(width: int, cosine: float, lead: int):
                         up = more
                     return up
 
-                for i, j in compare(rows[0], rows[1], cosine, lead):
+                for i, j in compare(rows[0], rows[1], cosine, leading):
                     if same:
                         off = i != j
                         i, j = i[off], j[off]
@@ -268,15 +317,20 @@ def _links(width: int, cosine: float, lead: int):
     return run
 
 
-def _stored_one_by_one(df: DataFrame, name: str) -> DataFrame:
-    """Stores rows of several MB each: Python gets them one at a time."""
-    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = conf.get(key)
-    conf.set(key, "1")
-    try:
-        return stored(df, name)
-    finally:
-        conf.set(key, before)
+def _one_by_one(spark: SparkSession) -> SparkSession:
+    """A session of its own, with the same settings, in which Python gets rows of several MB one at a time."""
+    other = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if other.conf.isModifiable(key):
+            other.conf.set(key, value)
+    other.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    return other
+
+
+def _there(df: DataFrame, spark: SparkSession) -> DataFrame:
+    """A stored table in another session."""
+    folder = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+    return spark.read.schema(df.schema).parquet(*sorted(folder)) if folder else spark.createDataFrame([], df.schema)
 
 
 def _reached(pieces: DataFrame, cosine: float) -> DataFrame:
@@ -305,7 +359,7 @@ def cosine_groups(
     n_links counts the other rows with at least that cosine, component_id is the smallest id reached
     by links, kept says that this is the row's own. Vectors that are NULL, empty, zero or hold NULL
     or non-finite numbers have no links and keep their id. Vectors of different lengths have no
-    links; those of each length are compared in a run of their own. Equal directions are merged
+    links; those of each length are compared in a run of their own. Equal vectors are merged
     first, and counted with their number; repeated ids are rows like any other. Ids are integers. An
     empty table gives an empty one; other columns are left out.
 
@@ -327,7 +381,7 @@ def cosine_groups(
 
 def _groups_of_width(rows: DataFrame, width: int, cosine: float, id: str, lead: int) -> DataFrame:
     """(id, n_links, component_id, kept) of rows (id, unit) whose vectors all have that length."""
-    # Copies: one vector stands for all, with their number.
+    # Copies, also by a power of two: one vector stands for all, with their number.
     merged = rows.groupBy("unit").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("times"))
     merged = stored(merged.withColumn("rep", F.monotonically_increasing_id()), "merged")
     axes = principal_axes(merged, width)
@@ -335,13 +389,17 @@ def _groups_of_width(rows: DataFrame, width: int, cosine: float, id: str, lead:
     fold = 1 << 20
     picked = F.pmod(F.xxhash64("unit"), F.lit(fold)) <= int(min(1.0, SAMPLE_ROWS / total) * fold)
     sample = b"".join(bytes(r["unit"]) for r in merged.where(picked).select("unit").collect())
-    tiles = Tiles(np.frombuffer(sample, np.float64).reshape(-1, width) @ axes, -(-total // TILE_ROWS))
-    dealt = merged.select("rep", "unit", "times").mapInArrow(
-        _deal(axes, tiles), "tile bigint, reps binary, rows binary, times binary"
+    tiles = Tiles(_scaled(np.frombuffer(sample, np.float64).reshape(-1, width)) @ axes, -(-total // TILE_ROWS))
+    dealt = stored(
+        merged.select("rep", "unit", "times").mapInArrow(
+            _deal(axes, tiles), "tile bigint, reps binary, rows binary, times binary"
+        ),
+        "dealt",
     )
-    pieces = _stored_one_by_one(
-        dealt.repartition("tile").sortWithinPartitions("tile").mapInArrow(
-            _pieces(width), "piece bigint, reps binary, rows binary, times binary, box binary"
+    alone = _one_by_one(rows.sparkSession)
+    pieces = stored(
+        _there(dealt, alone).repartition("tile").sortWithinPartitions("tile").mapInArrow(
+            _pieces(axes), "piece bigint, reps binary, rows binary, times binary, box binary"
         ),
         "pieces",
     )
@@ -349,11 +407,12 @@ def _groups_of_width(rows: DataFrame, width: int, cosine: float, id: str, lead:
         pieces.select(F.col("piece").alias(k), *(F.col(c).alias(f"{s}_{c}") for c in ("reps", "rows", "times")))
         for k, s in (("i", "a"), ("j", "b"))
     ]
-    pairs = stored(_reached(pieces, cosine), "pairs")
-    joined = pairs.join(sides[0], "i").join(sides[1], "j")
-    found = _stored_one_by_one(
-        joined.mapInArrow(_links(width, cosine, min(lead, width)), "rep bigint, links bigint, linked bigint"), "found"
+    pairs = stored(_reached(_there(pieces, rows.sparkSession), cosine), "pairs")
+    joined = _there(pairs, alone).join(sides[0], "i").join(sides[1], "j")
+    found = stored(
+        joined.mapInArrow(_links(axes, cosine, min(lead, width)), "rep bigint, links bigint, linked bigint"), "found"
     )
+    found = _there(found, rows.sparkSession)
     counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
     roots = components(found.select(F.col("rep").alias("a"), F.col("linked").alias("b")))
     placed = (
