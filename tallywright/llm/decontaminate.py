@@ -1,7 +1,8 @@
 """Benchmark items found in documents, whole or with few edits.
 
-Texts are compared as lower-case letters and digits with single spaces. An item of n characters may
-be off by ``rate`` * n edits. Cut into one piece more than that, at least one piece must stand
+Texts are compared as lower-case letters and digits with single spaces, and one space at either end of
+an item and of a text, so that an item stands between word edges or pays for it. An item of n
+characters may be off by ``rate`` * n edits, those spaces' included. Cut into one piece more than that, at least one piece must stand
 unchanged in any such copy; an automaton over all pieces reads each whole document once, and every
 hit's surroundings are verified with Myers' bit-parallel distance.
 """
@@ -15,13 +16,13 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tallywright.sources.scratch import stored
 
 RATE = 0.08
 BLOCK_CHARS = 4_000_000  # benchmark characters one pass over the documents looks for
-SHORT_CHARS = 13  # items below, so short that no edit is allowed, must stand between word edges
-SHORT_WORDS = 3  # and be a whole line or text if they have fewer words
+WHOLE_WORDS = 3  # items of fewer words must be a whole line or text
 OTHER = re.compile(r"[\W_]+")
 
 
@@ -71,32 +72,24 @@ class Pattern:
         return best, end
 
 
-def _stands(item: str, line: str, places: set[int], lines: set[str]) -> int | None:
-    """Where a short item stands in ``line`` as words of its own, or as one of ``lines``."""
-    whole = item.count(" ") + 1 < SHORT_WORDS
-    if whole and item not in lines:
-        return None
-    for p in sorted(places):
-        end = p + len(item)
-        if (p == 0 or line[p - 1] == " ") and (end == len(line) or line[end] == " "):
-            return p
-    return None
-
-
 class Matcher:
     """All items of a block, ready to be looked for."""
 
-    def __init__(self, items: list[tuple[object, str]], rate: float):
+    def __init__(self, items: list[tuple[object, str]], rate: float, whole_words: int = WHOLE_WORDS):
         self.items: list[tuple[object, Pattern, int]] = []
+        self.whole: dict[str, list[object]] = {}
         owners: dict[str, list[tuple[int, int]]] = {}
         for key, text in items:
             item = normal(text or "")
             if not item:
                 continue
+            if item.count(" ") + 1 < whole_words:
+                self.whole.setdefault(item, []).append(key)
+                continue
             budget = int(len(item) * rate)
             number = len(self.items)
-            self.items.append((key, Pattern(item), budget))
-            for offset, piece in pieces(item, budget):
+            self.items.append((key, Pattern(f" {item} "), budget))
+            for offset, piece in pieces(f" {item} ", budget):
                 owners.setdefault(piece, []).append((number, offset))
         self.find = ahocorasick.Automaton()
         for piece, where in owners.items():
@@ -107,44 +100,48 @@ class Matcher:
 
     def matches(self, text: str | None) -> list[tuple[object, int, int]]:
         """(key, edits, end in the normal text) of each item within its budget, at its best place."""
-        if not text or not self.any:
+        if not text:
             return []
         line = normal(text)
-        lines: set[str] | None = None
+        found = self._lines(text, line) if self.whole else []
+        if not self.any:
+            return found
+        padded = f" {line} "
         starts: dict[int, set[int]] = {}
-        for last, (size, where) in self.find.iter(line):
+        for last, (size, where) in self.find.iter(padded):
             for number, offset in where:
                 starts.setdefault(number, set()).add(last + 1 - size - offset)
-        found = []
         for number, places in starts.items():
             key, pattern, budget = self.items[number]
-            if not budget and pattern.size < SHORT_CHARS:
-                if lines is None:
-                    lines = {line, *map(normal, text.splitlines())}
-                place = _stands(pattern.item, line, places, lines)
-                if place is not None:
-                    found.append((key, 0, place + pattern.size))
-                continue
-            # Exact copies need no alignment.
-            exact = next((p for p in sorted(places) if p >= 0 and line.startswith(pattern.item, p)), None)
-            if exact is not None:
-                found.append((key, 0, exact + pattern.size))
-                continue
-            best = (budget + 1, 0)
             ordered = sorted(places)
+            # Exact copies need no alignment.
+            exact = next((p for p in ordered if p >= 0 and padded.startswith(pattern.item, p)), None)
+            best = (budget + 1, 0) if exact is None else (0, exact + pattern.size)
             begin = ordered[0]
             for k, place in enumerate(ordered):
                 # Windows that overlap are one; all places of the item are looked at.
-                if k + 1 < len(ordered) and ordered[k + 1] - place <= pattern.size:
+                if exact is not None or k + 1 < len(ordered) and ordered[k + 1] - place <= pattern.size:
                     continue
                 low = max(0, begin - budget)
-                distance, end = pattern.best(line[low : place + pattern.size + budget])
+                distance, end = pattern.best(padded[low : place + pattern.size + budget])
                 best = min(best, (distance, low + end))
                 begin = ordered[k + 1] if k + 1 < len(ordered) else 0
             if best[0] <= budget:
-                found.append((key, *best))
+                # The text's first space and the match's last one are not in the normal text.
+                found.append((key, best[0], max(0, min(len(line), best[1] - 2))))
         return found
 
+    def _lines(self, text: str, line: str) -> list[tuple[object, int, int]]:
+        """Items of few words that are the whole text or a line of it, at the first such line's end."""
+        found, end = {}, 0
+        for one in text.splitlines():
+            one = normal(one)
+            if one:
+                end += len(one) + (end > 0)
+                found.setdefault(one, end)
+        found[line] = found.get(line, len(line))
+        return [(key, 0, found[item]) for item, keys in self.whole.items() if item in found for key in keys]
+
 
 def _blocks(benchmark: DataFrame, item: str, text: str) -> list[DataFrame]:
     """(item, text, times) in blocks of about ``BLOCK_CHARS``, cut by a hash; repeats are one item."""
@@ -157,12 +154,12 @@ def _blocks(benchmark: DataFrame, item: str, text: str) -> list[DataFrame]:
 
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text",
-    item: str = "item_id", item_text: str = "text", rate: float = RATE,
+    item: str = "item_id", item_text: str = "text", rate: float = RATE, whole_words: int = WHOLE_WORDS,
 ) -> DataFrame:
     """(id, item, edits, end): every document row and every benchmark item it holds.
 
-    An item of fewer than ``SHORT_CHARS`` characters must begin and end at word edges, and with fewer
-    than ``SHORT_WORDS`` words it must be a whole line or text, unless ``rate`` allows it an edit.
+    An item begins and ends at word edges; each edge inside a word counts as an edit. One of fewer than
+    ``whole_words`` words must be a whole line or text without edits. Item ids are of any type.
 
     ``end`` is where the best match ends in the document's normal text. NULL and empty texts on
     either side hold nothing and match nothing, and so do items without a letter or digit. Repeated
@@ -180,16 +177,18 @@ def contaminated(
     blocks = _blocks(benchmark, item, item_text)
     for block in blocks:
         items = [((r[0], r[2]), r[1]) for r in block.select(item, item_text, "__times").collect()]
-        part = chosen.mapInArrow(_search(items, rate, id, item), schema)
+        part = chosen.mapInArrow(_search(items, rate, whole_words, id, item, to_arrow_type(benchmark.schema[item].dataType)), schema)
         if len(blocks) > 1:
             part = stored(part, "found")
         found = part if found is None else found.unionByName(part)
     return found
 
 
-def _search(items: list[tuple[tuple[object, int], str]], rate: float, id: str, item: str):
+def _search(
+    items: list[tuple[tuple[object, int], str]], rate: float, whole_words: int, id: str, item: str, kind: pa.DataType
+):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(items, rate)
+        matcher = Matcher(items, rate, whole_words)
         for batch in batches:
             rows, keys, edits, ends = [], [], [], []
             for k, value in enumerate(batch.column(1)):
@@ -200,28 +199,31 @@ def _search(items: list[tuple[tuple[object, int], str]], rate: float, id: str, i
                     ends += [end] * times
             ids = batch.column(0).take(pa.array(rows, pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(keys), pa.array(edits, pa.int32()), pa.array(ends, pa.int64())],
+                [ids, pa.array(keys, kind), pa.array(edits, pa.int32()), pa.array(ends, pa.int64())],
                 names=[id, item, "edits", "end"],
             )
 
     return run
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", rate: float = RATE) -> DataFrame:
+def clean(
+    docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text",
+    rate: float = RATE, whole_words: int = WHOLE_WORDS,
+) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, all columns and repeats kept."""
     kept = docs
     blocks = _blocks(benchmark.select(F.lit(0).alias(item), item_text), item, item_text)
     for block in blocks:
         items = [tuple(r) for r in block.select(item, item_text).collect()]
-        kept = kept.where(~F.arrow_udf(_holds(items, rate), "boolean")(F.col(text)))
+        kept = kept.where(~F.arrow_udf(_holds(items, rate, whole_words), "boolean")(F.col(text)))
         if len(blocks) > 1:
             kept = stored(kept, "kept")
     return kept
 
 
-def _holds(items: list[tuple[object, str]], rate: float):
+def _holds(items: list[tuple[object, str]], rate: float, whole_words: int):
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        matcher = Matcher(items, rate)
+        matcher = Matcher(items, rate, whole_words)
         for batch in batches:
             yield pa.array([bool(matcher.matches(x.as_py())) for x in batch], pa.bool_())
 

@@ -505,7 +505,7 @@ def test_op10_against_brute_force(spark, docs):
         line = decontaminate.normal(t or "") if len(t or "") < 10_000 else ""
         for key, item in items:
             item = decontaminate.normal(item or "")
-            if item and line and distance(item, line) <= int(len(item) * decontaminate.RATE):
+            if item and line and distance(f" {item} ", f" {line} ") <= int(len(item) * decontaminate.RATE):
                 want[i, key] += 1
     df = with_clashes(docs(*rows))
     got = Counter((r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(df, benchmark).collect())
@@ -528,7 +528,9 @@ def test_op10_in_blocks(spark, docs, monkeypatch):
 
 @pytest.mark.parametrize("item, text, held", [
     ("he", "the sheet is there", False), ("42", "page 1421 of 42 pages", False), ("yes", "is it so?\nYes!\nwell", True), ("42", "42.", True),
-    ("he is in", "the is into", False), ("he is in", "now he is in, and", True), ("a long passage", "xa long passagex", True),
+    ("he is in", "the is into", False), ("he is in", "now he is in, and", True), ("a long passage", "xa long passagex", False),
+    ("a long passage", "so a long passage it is", True), ("a long passage", "a long passagex", True), ("two words", "a\ntwo, words\nb", True),
+    ("two words", "of two words", False), ("such rather exceedingly long item words", "xsuch rather exceedingly long item wordsx", True),
 ])
 def test_short_items_are_words_of_their_own(item, text, held):
     assert bool(decontaminate.Matcher([(1, item)], decontaminate.RATE).matches(text)) == held
@@ -547,3 +549,31 @@ def test_op10_holds_one_block_at_a_time(spark, docs, monkeypatch):
     assert Counter((r["doc_id"], r["item_id"]) for r in found.collect()) == {(1, 0): 1, (2, 9): 50}
     assert calls == ["found"] * len(blocks)
     assert [r["doc_id"] for r in decontaminate.clean(df, benchmark).collect()] == [3] and "kept" in calls
+
+
+@pytest.mark.parametrize("kind", ["int", "string", "decimal(12,2)", "smallint"])
+def test_op10_item_ids_of_any_type(spark, docs, kind):
+    items = spark.createDataFrame([(k, f"a passage of the benchmark numbered {k}") for k in range(3)], "n int, text string")
+    benchmark = items.select(F.col("n").cast(kind).alias("item_id"), "text")
+    found = decontaminate.contaminated(docs((1, "x\na passage of the benchmark numbered 2"), (2, None)), benchmark, rate=0.0)
+    assert dict(found.dtypes)["item_id"] == kind and [float(r["item_id"]) for r in found.collect()] == [2.0]
+
+
+@pytest.mark.parametrize("whole_words", [1, 3, 9])
+def test_op10_word_edges_against_brute_force(whole_words):
+    random.seed(whole_words)
+    for _ in range(150):
+        items = [(k, " ".join("".join(random.choices("ab", k=random.randint(1, 4))) for _ in range(random.randint(1, 9)))) for k in range(4)]
+        parts = [random.choice([t, t + "a", "b" + t, t.replace("a", "b", 1), "ab"]) for _, t in items]
+        text = random.choice([" ", "\n", "! "]).join(parts)
+        matcher = decontaminate.Matcher(items, 0.15, whole_words)
+        line, lines = decontaminate.normal(text), {decontaminate.normal(x) for x in text.splitlines()}
+        want = {
+            k for k, t in items
+            if (t in lines | {line} if t.count(" ") + 1 < whole_words else distance(f" {t} ", f" {line} ") <= int(len(t) * 0.15))
+        }
+        got = matcher.matches(text)
+        assert {k for k, _, _ in got} == want and len(got) == len(want)
+        for k, edits, end in got:
+            if edits == 0:
+                assert line[:end].endswith(items[k][1])
