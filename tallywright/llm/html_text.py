@@ -3,7 +3,9 @@
 Paragraphs earn points for length and commas and pass them on to their ancestors, less with each
 level. A container's points are discounted by its link density; the best container and those of its
 siblings that look like prose are kept. Menus, headers, footers, sidebars, notices, adverts, forms,
-comments and hidden parts are left out before anything is scored.
+comments and hidden parts are left out before anything is scored. An article's own header stays. A name
+such as ``share-price``, of which only one word speaks of a menu or a notice, takes points away instead:
+such a part is left out unless it reads like prose.
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ INLINE = set(
     "meta param source track map picture audio video math".split()
 )
 RAW = set("script style textarea title noscript iframe template noframes xmp".split())
+# Of these the content is a part of the page again where they are never closed.
+OPEN_RAW = set("noscript iframe template noframes xmp".split())
 BOILER_TAGS = set(
     "head nav header footer aside form button select option dialog menu object svg canvas "
     "fieldset applet".split()
@@ -39,6 +43,17 @@ BOILER_WORDS = set(
     "breadcrumb breadcrumbs pagination pager popup modal overlay widget skip copyright disclaimer"
     .split()
 )
+# Boilerplate words that are common in other senses too, and words that say nothing beside one.
+WEAK_WORDS = set(
+    "share sharing menu nav header banner notice notices alert related recommended social skip widget "
+    "copyright subscription comment reply".split()
+)
+PLACE_WORDS = set(
+    "left right top bottom main list lists link links box slot button buttons area wrapper wrap container "
+    "inner outer block section bar panel item items row col column group holder icon icons title unit zone "
+    "site page global primary secondary fixed sticky small large js".split()
+)
+ADVERT_WORDS = set("ad ads advert adverts advertisement adsense adbox sponsor sponsored promo promoted promotion".split())
 # Elements whose names may mark them as boilerplate; names of text elements say too little.
 NAMED = set("div section ul ol dl table td aside center iframe li p figure blockquote".split())
 BOILER_STEMS = re.compile(r"(?:comment|advert|sidebar|cookie|sponsor|newsletter|breadcrumb|disqus|paginat)|\w*(?:nav|menu)$")
@@ -61,28 +76,25 @@ TAG = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
     re.S,
 )
-ATTR = re.compile(
-    r"(class|id|role|style|aria-hidden|hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=\s|/|$|[a-z])",
-    re.I,
-)
+ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "up", "boiler", "good", "score", "length", "linked", "scored", "depth")
+    __slots__ = ("tag", "up", "boiler", "good", "doubtful", "score", "length", "linked", "commas", "scored", "depth")
 
-    def __init__(self, tag: str, up: Node | None, boiler: bool, good: bool):
-        self.tag, self.up, self.boiler, self.good = tag, up, boiler, good
+    def __init__(self, tag: str, up: Node | None, boiler: bool, good: bool, doubtful: bool = False):
+        self.tag, self.up, self.boiler, self.good, self.doubtful = tag, up, boiler, good, doubtful
         self.depth = up.depth + 1 if up else 0
         self.score = 0.0
-        self.length = self.linked = 0
+        self.length = self.linked = self.commas = 0
         self.scored = False
 
 
-def _marks(tag: str, attrs: str) -> tuple[bool, bool]:
-    """(boilerplate, likely content) by an element's own attributes."""
-    boiler = named = good = False
+def _marks(tag: str, attrs: str) -> tuple[bool, bool, bool]:
+    """(boilerplate, likely content, perhaps boilerplate) by an element's own attributes."""
+    boiler = named = good = doubtful = False
     for name, *values in ATTR.findall(attrs):
         name, value = name.lower(), values[0] or values[1] or values[2]
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
@@ -98,10 +110,15 @@ def _marks(tag: str, attrs: str) -> tuple[bool, bool]:
                 words = {w.lower() for w in WORD.findall(token)}
                 content |= len(words) == 1 and words <= GOOD_WORDS
                 good |= bool(words & GOOD_WORDS)
-                if tag in NAMED and not LAYOUT.match(token):
-                    named |= bool(words & BOILER_WORDS) or any(map(BOILER_STEMS.match, words))
+                if tag in INLINE:
+                    named |= bool(words & ADVERT_WORDS) and words <= ADVERT_WORDS | PLACE_WORDS
+                elif tag in NAMED and not LAYOUT.match(token):
+                    about = {w for w in words if w in BOILER_WORDS or BOILER_STEMS.match(w)}
+                    weak = about <= WEAK_WORDS and not words <= about | PLACE_WORDS
+                    named |= bool(about) and not weak
+                    doubtful |= bool(about) and weak
             named &= not content
-    return boiler or named, good
+    return boiler or named, good, doubtful and not good
 
 
 def blocks(page: str) -> list[tuple[Node, str, int]]:
@@ -154,7 +171,7 @@ def blocks(page: str) -> list[tuple[Node, str, int]]:
         if tag in RAW:
             if not closing and not attrs.endswith("/"):
                 close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(page, at)
-                at = close.end() if close else end
+                at = close.end() if close else at if tag in OPEN_RAW else end
             continue
         if tag in INLINE:
             if tag == "a":
@@ -166,7 +183,7 @@ def blocks(page: str) -> list[tuple[Node, str, int]]:
                     mute[1] += -1 if closing else 1
                     if not mute[1]:
                         mute.clear()
-            elif not closing and tag not in VOID and ("hid" in attrs or "none" in attrs) and _marks(tag, attrs)[0]:
+            elif not closing and tag not in VOID and attrs and _marks(tag, attrs)[0]:
                 mute[:] = [tag, 1]
             continue
         mute.clear()
@@ -189,31 +206,56 @@ def blocks(page: str) -> list[tuple[Node, str, int]]:
                 break
             if stack[k].tag in SCOPE.get(tag if tag in CLOSED_BY else "p", ()):
                 break
-        boiler, good = _marks(tag, attrs) if attrs else (False, False)
+        boiler, good, doubtful = _marks(tag, attrs) if attrs else (False, False, False)
         if tag not in VOID and tag != "hr" and not attrs.endswith("/"):
             up = stack[-1]
-            stack.append(Node(tag, up, up.boiler or boiler or tag in BOILER_TAGS, good))
+            own = tag == "header" and any(n.tag in ("article", "main") for n in stack)
+            stack.append(Node(tag, up, up.boiler or boiler or tag in BOILER_TAGS and not own, good, doubtful))
     flush()
     return found
 
 
+def _summed(kept: list[tuple[Node, str, int]]) -> list[Node]:
+    """The blocks' elements and all above them, with the characters, linked ones and commas they hold.
+
+    Each element passes its sums up once, the deepest first, so the work is linear in the page.
+    """
+    nodes: dict[int, Node] = {}
+    for node, _, _ in kept:
+        up: Node | None = node
+        while up is not None and id(up) not in nodes:
+            nodes[id(up)] = up
+            up.length = up.linked = up.commas = 0
+            up = up.up
+    for node, text, linked in kept:
+        node.length += len(text)
+        node.linked += linked
+        node.commas += text.count(",") + text.count("،") + text.count("，")
+    for node in sorted(nodes.values(), key=lambda n: -n.depth):
+        if node.up is not None:
+            node.up.length += node.length
+            node.up.linked += node.linked
+            node.up.commas += node.commas
+    return list(nodes.values())
+
+
 def main_text(page: str | None) -> str:
     """The article's blocks, one a line; empty for NULL, empty or text-free pages."""
     if not page:
         return ""
     kept = [b for b in blocks(page) if not b[0].boiler]
+    nodes = _summed(kept)
+    if any(n.doubtful for n in nodes):
+        out: dict[int, bool] = {}
+        for n in sorted(nodes, key=lambda n: n.depth):
+            prose = n.length >= 80 and n.commas > 0 and n.linked < 0.25 * n.length
+            out[id(n)] = n.doubtful and not prose or n.up is not None and out[id(n.up)]
+        kept = [b for b in kept if not out[id(b[0])]]
+        nodes = _summed(kept)
     if not kept:
         return ""
-    nodes: dict[int, Node] = {}
     for node, text, linked in kept:
-        up, size = node, len(text)
-        while up is not None and up.depth >= 0:
-            up.length += size
-            up.linked += linked
-            nodes[id(up)] = up
-            if up.up is None or node.depth - up.depth > 4 * LEVELS:
-                break
-            up = up.up
+        size = len(text)
         if node.tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
             continue
         points = (1 + text.count(",") + text.count("،") + text.count("，") + min(size / 100, 3.0)) * (
@@ -231,7 +273,7 @@ def main_text(page: str | None) -> str:
         bonus = 25 if n.tag in ("article", "main") else 10 if n.good else 0
         return (n.score + bonus) * (1 - n.linked / max(n.length, 1))
 
-    scored = [n for n in nodes.values() if n.scored] or list(nodes.values())
+    scored = [n for n in nodes if n.scored] or nodes
     best = max(scored, key=lambda n: (worth(n), n.depth))
     for tag in ("article", "main"):  # a part of an article stands for the article
         up = best
@@ -240,10 +282,10 @@ def main_text(page: str | None) -> str:
         if up is not None:
             best = up
             break
-    limit = max(10.0, 0.2 * worth(best))
+    limit = min(max(10.0, 0.2 * worth(best)), worth(best))
     tops = {id(best)}
     if best.tag not in ("article", "main") and best.up is not None:
-        for n in nodes.values():
+        for n in nodes:
             if n.up is best.up and n is not best:
                 density = n.linked / max(n.length, 1)
                 prose = n.tag == "p" and (n.length > 80 and density < 0.25 or density == 0)
