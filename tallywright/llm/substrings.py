@@ -176,11 +176,11 @@ def _held(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[tuple[pa.Rec
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, ref, text): texts compressed one by one, which makes them a third shorter on the way than blocks of rows do."""
+    """(doc, digest, text): texts compressed one by one, which makes them a third shorter on the way than blocks of rows do."""
     pack = zstandard.ZstdCompressor(level=3)
     for batch in batches:
         texts = [pack.compress(x.as_buffer()) if x.is_valid else None for x in batch.column(2)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.binary())], names=["doc", "ref", "text"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.binary())], names=["doc", "digest", "text"])
 
 
 def _longs(values: np.ndarray) -> pa.Array:
@@ -285,7 +285,10 @@ def _texts(docs: DataFrame, id: str, text: str) -> DataFrame:
         rows.where("doc is not null").groupBy("digest").agg(F.min("doc").alias("doc"))
         .select(ref.alias("ref"), F.lit(True).alias("first"))
     )
-    named = rows.select("doc", ref.alias("ref"), "text").mapInArrow(_packed, "doc bigint, ref bigint, text binary")
+    # The name is made after the packing, where it is known not to be NULL: no filter on it keeps the
+    # uses of the texts from sharing their shuffle.
+    packed = rows.mapInArrow(_packed, "doc bigint, digest string, text binary")
+    named = packed.select("doc", ref.alias("ref"), "text")
     return named.join(firsts.hint("shuffle_hash"), "ref", "left").select("doc", "ref", "text", "first")
 
 
