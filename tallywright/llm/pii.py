@@ -1,7 +1,8 @@
 """Personal data in texts: fixed patterns, and a character BiLSTM-CRF that finds what they miss.
 
-The tagger is trained on windows of the corpus whose spans the patterns label, and on the same
-windows with the spans written in other ways. Every stretch of text around a digit or an at-sign is
+The tagger is trained on windows of the corpus whose spans the patterns label, and on windows from
+anywhere in it into which varied spans are written in other ways, between varied neighbours, beside
+numbers that are no personal data. Every stretch of text around a digit or an at-sign is
 read in overlapping windows; a character's scores from the windows it is in are averaged, most
 weight to the window in whose middle it stands, and one Viterbi pass over the whole stretch decides.
 What it finds is added if it does not touch a pattern's span and is well-formed for its kind. Every
@@ -40,8 +41,9 @@ FORMS = {
 WINDOW = 96  # characters
 STRIDE = 48
 AT_ONCE = 2048  # windows read together
-SAMPLE = 2400  # windows the tagger is trained on
-EPOCHS = 10
+SAMPLE = 3200  # windows the tagger is trained on
+EPOCHS = 11
+PLANTED = 2  # windows of each text into which a span is written
 
 Span = tuple[str, int, int, bool]
 
@@ -113,60 +115,148 @@ def _labels() -> tuple[int, np.ndarray]:
     return count, allowed
 
 
-def _reform(kind: str, text: str, rng: np.random.Generator) -> str:
-    """A span written in another way people use."""
-    digits, way = _digits(text), int(rng.integers(3))
+def _digits_like(count: int, rng: np.random.Generator) -> str:
+    return "".join(map(str, rng.integers(0, 10, count)))
+
+
+def _card(rng: np.random.Generator) -> str:
+    """Digits that pass the check, as many as cards have."""
+    body = str(int(rng.integers(1, 10))) + _digits_like(int(rng.choice([11, 13, 14, 14, 14, 17])), rng)
+    return next(body + c for c in "0123456789" if luhn(body + c))
+
+
+def _name(words: list[str], rng: np.random.Generator) -> tuple[str, str]:
+    """The two sides of an address, of words of a text or of letters alone."""
+
+    def word() -> str:
+        if words and rng.random() < 0.7:
+            return words[int(rng.integers(len(words)))].lower()
+        return "".join(chr(97 + int(c)) for c in rng.integers(0, 26, int(rng.integers(2, 10))))
+
+    name = word()
+    if rng.random() < 0.5:
+        name += str(rng.choice([".", "_", "-"])) + word()
+    if rng.random() < 0.3:
+        name += _digits_like(int(rng.integers(1, 4)), rng)
+    host = word() + ("." + word() if rng.random() < 0.3 else "")
+    return name, host + "." + str(rng.choice(["com", "org", "net", "io", "de", "fr", "es", "co", "info", word()[:3] + "x"]))
+
+
+def _accented(word: str, at: int, rng: np.random.Generator) -> str:
+    return word[:at] + str(rng.choice(list("éèüöñáçß"))) + word[at + 1 :]
+
+
+# How many ways a span of each kind is written; the last one is kept out of the training, to measure by.
+WAYS = {"email": 5, "ip": 4, "card": 7, "phone": 8}
+
+
+def reformed(kind: str, way: int, words: list[str], rng: np.random.Generator) -> str:
+    """A new span of a kind, written in a way that the patterns miss."""
     if kind == "email":
-        name, _, host = text.partition("@")
-        return [f"{name} @ {host}", f"{name[:1]}é{name[1:]}@{host}", f"{name} @{host}"][way]
+        name, host = _name(words, rng)
+        return [f"{name} @ {host}", f"{name} @{host}", f"{_accented(name, len(name) - 1, rng)}@{host}",
+                f"{name}@{_accented(host, int(rng.integers(0, host.index('.'))), rng)}", f"{name}@ {host}"][way]
     if kind == "ip":
-        return ":".join(f"{int(x):x}" for x in (digits[k : k + 2] for k in range(0, min(len(digits), 12), 2)))
+        groups = [f"{int(x):x}" for x in rng.integers(0, 65536, 8)]
+        if way == 0:
+            return ":".join(groups)
+        if way == 1:
+            return ":".join(g.zfill(4) for g in groups).upper()
+        if way == 2:
+            return ":".join(groups[: int(rng.integers(2, 5))]) + "::" + ":".join(groups[5 : int(rng.integers(6, 8))])
+        return ":".join(groups[: int(rng.integers(5, 8))])
     if kind == "card":
-        return "./ "[way].join(digits[k : k + 4] for k in range(0, len(digits), 4)).replace(" ", "  ")
-    digits = digits[-10:]
-    return [f"({digits[:3]}) {digits[3:6]}-{digits[6:]}", f"{digits[:3]}-{digits[3:6]}-{digits[6:]}",
-            f"{digits[:4]} {digits[4:7]} {digits[7:]}"][way]
+        digits = _card(rng)
+        parts = [digits[k : k + 4] for k in range(0, len(digits), 4)]
+        if len(digits) == 15 and rng.random() < 0.5:
+            parts = [digits[:4], digits[4:10], digits[10:]]
+        return [".", "/", "  ", "--", "- ", "..", " -"][way].join(parts)
+    d = _digits_like(11, rng)
+    if way == 0:
+        # Any groups, with one separator.
+        cuts, at = [], 0
+        while len(d) - at > 4:
+            cuts.append(d[at : (at := at + int(rng.integers(2, 5)))])
+        first = f"({cuts[0]})" if rng.random() < 0.4 else cuts[0]
+        return str(rng.choice([" ", "-", ".", "/"])).join([first, *cuts[1:], d[at:] if len(d) - at > 1 else d[at:] + "0"])
+    return ["", f"({d[:3]}) {d[3:6]}-{d[6:10]}", f"{d[:3]}-{d[3:6]}-{d[6:10]}", f"{d[:4]} {d[4:7]} {d[7:10]}", f"0{d[:2]}/{d[2:9]}",
+            f"({d[:2]}) {d[2:4]} {d[4:6]} {d[6:8]}", f"{d[:3]} {d[3:6]} {d[6:10]}", f"({d[:3]}){d[3:6]}-{d[6:10]}"][way]
+
+
+def _other_number(rng: np.random.Generator) -> str:
+    """A number that is no personal data: a date, a time, an amount, a version, a range, a code."""
+    a, b, c = (int(x) for x in rng.integers(1, 29, 3))
+    return [f"{1900 + a * b % 130}-{c:02d}-{b:02d}", f"{a:02d}.{b:02d}.{1990 + c}", f"{a}:{b:02d}:{c:02d}", f"{a} {b:03d} {c * 31:03d}",
+            f"{a},{b:03d}.{c:02d}", f"{a}.{b}.{c}", f"{a * 9}-{a * 9 + b}", f"#{a}{b}{c}", f"{a}/{b}/{2000 + c}", f"@{'abcdefgh'[a % 8] * 2}x"][int(rng.integers(10))]
+
+
+def _written_into(text: str, spans: list[Span], new: str, rng: np.random.Generator) -> tuple[str, int, list[Span]] | None:
+    """A window of a text with ``new`` between two of its words, where it begins, and the spans around it."""
+    gaps = [m.start() for m in BLANK.finditer(text)] or [0, len(text)]
+    at = gaps[int(rng.integers(len(gaps)))]
+    room = max(0, WINDOW - len(new) - 4)
+    before = int(rng.integers(0, room + 1))
+    a, b = max(0, at - before), min(len(text), at + room - before)
+    if any(s < x < e for _, s, e, _ in spans for x in (a, at, b)):
+        return None
+    head = str(rng.choice([" ", " ", ": ", " (", "\n", ", ", ""] if at > a else [""]))
+    tail = str(rng.choice(["", "", ".", ",", ")", ";", " -"]))
+    line = text[a:at] + head + new + tail + text[at:b]
+    start = at - a + len(head)
+    if head == "" and start and line[start - 1].isalnum() or len(line) > WINDOW:
+        return None
+    more = len(head) + len(new) + len(tail)
+    return line, start, [(k, s - a + (more if s >= at else 0), e - a + (more if s >= at else 0), base) for k, s, e, base in spans if a <= s and e <= b]
+
+
+def planted(text: str, spans: list[Span], rng: np.random.Generator, held_out: bool = False) -> tuple[str, list[Span]] | None:
+    """A window of ``text`` with a new span, sometimes beside or instead of it another number.
+
+    With ``held_out`` the span is written in the way of its kind that training leaves out.
+    """
+    words = [w for w in re.findall(r"[A-Za-z]{2,12}", text[:2000])]
+    kind = KINDS[int(rng.integers(len(KINDS)))]
+    way = WAYS[kind] - 1 if held_out else int(rng.integers(WAYS[kind] - 1))
+    new = reformed(kind, way, words, rng)
+    if not held_out and rng.random() < 0.25:
+        found = _written_into(text, spans, _other_number(rng), rng)
+        return found and (found[0], found[2])
+    found = _written_into(text, spans, new, rng)
+    if found is None or not well_formed(kind, new):
+        return None
+    line, start, marks = found
+    return line, [*marks, (kind, start, start + len(new), False)]
 
 
 def _windows(text: str, spans: list[Span], rng: np.random.Generator) -> Iterator[tuple[str, list[Span]]]:
-    """Training windows of a text: around each stretch with a digit or an at-sign, and reformed."""
+    """Training windows of a text: around each stretch with a digit or an at-sign."""
     done = 0
     for m in TRIGGER.finditer(text):
         if m.start() < done:
             continue
         a = max(0, m.start() - int(rng.integers(8, WINDOW - 32)))
         b = done = a + WINDOW
-        inside = [s for s in spans if a <= s[1] and s[2] <= b]
-        if any(s[1] < b < s[2] or s[1] < a < s[2] for s in spans):
-            continue
-        yield text[a:b], [(k, s - a, e - a, base) for k, s, e, base in inside]
-        if inside:
-            kind, s, e, _ = inside[int(rng.integers(len(inside)))]
-            new = _reform(kind, text[s:e], rng)
-            more = len(new) - (e - s)
-            line = (text[a:s] + new + text[e:b])[:WINDOW]
-            # The other spans move along; windows that cut or overlap one are left out.
-            marks = [(kind, s - a, s - a + len(new), False)]
-            for other, x, y, _ in inside:
-                if (x, y) != (s, e):
-                    move = more if x >= e else 0
-                    marks.append((other, x + move - a, y + move - a, False))
-            apart = all(y <= s or x >= e or (x, y) == (s, e) for _, x, y, _ in inside)
-            if apart and max(m[2] for m in marks) <= len(line):
-                yield line, marks
+        if not any(s[1] < b < s[2] or s[1] < a < s[2] for s in spans):
+            yield text[a:b], [(k, s - a, e - a, base) for k, s, e, base in spans if a <= s and e <= b]
 
 
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(line, marks, planted): windows as they are, and ``PLANTED`` of each text with a new span."""
     for batch in batches:
-        lines, marks = [], []
+        rows = []
         for value in batch.column(0):
             text = value.as_py()
-            if text and TRIGGER.search(text):
-                rng = np.random.default_rng(len(text))
-                for line, spans in _windows(text, base_spans(text), rng):
-                    lines.append(line)
-                    marks.append(";".join(f"{k}:{s}:{e}" for k, s, e, _ in spans))
-        yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string()), pa.array(marks, pa.string())], names=["line", "marks"])
+            if not text:
+                continue
+            rng = np.random.default_rng([len(text), *text[:64].encode("utf-8", "replace")])
+            spans = base_spans(text) if TRIGGER.search(text) else []
+            rows += [(*w, False) for w in _windows(text, spans, rng)]
+            rows += [(*w, True) for w in (planted(text, spans, rng) for _ in range(PLANTED)) if w]
+        marks = [";".join(f"{k}:{s}:{e}" for k, s, e, _ in r[1]) for r in rows]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r[0] for r in rows], pa.string()), pa.array(marks, pa.string()), pa.array([r[2] for r in rows], pa.bool_())],
+            names=["line", "marks", "planted"],
+        )
 
 
 def _train(epochs: int):
@@ -195,18 +285,19 @@ def _train(epochs: int):
 def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE, epochs: int = EPOCHS) -> Tagger:
     """A tagger trained on ``sample`` distinct windows: those first by a hash of their text.
 
-    Half of the sample has spans where there are so many. Training is one task over this bounded
-    sample, on one core. A corpus without windows gives a tagger that is not trained; what it finds
+    Half of the sample has new spans or numbers written into it; of the rest half has spans, where
+    there are so many. Training is one task over this bounded sample, on one core. A corpus without windows gives a tagger that is not trained; what it finds
     must be well-formed all the same.
     """
-    windows = docs.select(F.col(text).alias("t")).mapInArrow(_sampled, "line string, marks string")
-    windows = windows.groupBy("line").agg(F.min("marks").alias("marks"))
-    near = windows.withColumns({"spans": F.col("marks") != "", "hash": F.xxhash64("line")})
-    halves = [
-        near.where(F.col("spans") == some).orderBy("hash", "line").limit(most).select("line", "marks")
-        for some, most in ((True, sample // 2), (False, sample - sample // 2))
+    windows = docs.select(F.col(text).alias("t")).mapInArrow(_sampled, "line string, marks string, planted boolean")
+    windows = windows.groupBy("line").agg(F.min(F.struct("marks", "planted")).alias("w")).select("line", "w.*")
+    near = windows.withColumn("hash", F.xxhash64("line"))
+    new, spans = F.col("planted"), F.col("marks") != ""
+    parts = [
+        near.where(some).orderBy("hash", "line").limit(most).select("line", "marks")
+        for some, most in ((new, sample // 2), (~new & spans, sample // 4), (~new & ~spans, sample - sample // 2 - sample // 4))
     ]
-    trained = halves[0].unionByName(halves[1]).coalesce(1).mapInArrow(_train(epochs), "name string, weights binary")
+    trained = parts[0].unionByName(parts[1]).unionByName(parts[2]).coalesce(1).mapInArrow(_train(epochs), "name string, weights binary")
     tagger = Tagger(*_labels())
     for r in trained.collect():
         tagger.w[r["name"]] = np.frombuffer(r["weights"], np.float64).reshape(tagger.w[r["name"]].shape)
