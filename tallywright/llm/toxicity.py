@@ -356,12 +356,16 @@ def labelled_texts(
     return docs.select(id, text).join(F.broadcast(picked), id).select(text, label)
 
 
-def fit(texts: DataFrame, labelled: DataFrame, text: str = "text", label: str = "toxic") -> Model:
+def fit(
+    texts: DataFrame, labelled: DataFrame, text: str = "text", label: str = "toxic",
+    most_features: int = MOST_FEATURES, calibrate_rows: int = CALIBRATE_ROWS,
+) -> Model:
     """A letter model of all ``texts`` and marks from all ``labelled`` rows (text, 0 or 1).
 
     A feature's evidence is the log-likelihood its rate of toxic documents gains over the rate of
     all; it must exceed the log of the number of features, so that chance makes no marks. 2 * 2**16
-    counts and at most ``MOST_FEATURES`` marks reach the driver. Rows with a NULL label say nothing;
+    counts and at most ``most_features`` marks, those with the highest evidence, reach the driver; the
+    probability's two numbers are fitted on about ``calibrate_rows`` rows, chosen by a hash of the text. Rows with a NULL label say nothing;
     NULL texts hold no words. Without labels of both kinds every text scores the same.
     """
     sums = np.zeros(2 * CELLS, np.int64)
@@ -386,10 +390,10 @@ def fit(texts: DataFrame, labelled: DataFrame, text: str = "text", label: str =
     total = seen.count()
     marks = (
         seen.where((F.col("gain") > math.log(total + 1)) & (F.col("weight") > 1))
-        .orderBy(F.desc("gain"), "feature").limit(MOST_FEATURES).collect()
+        .orderBy(F.desc("gain"), "feature").limit(most_features).collect()
     )
     model = Model(lm, {r["feature"]: r["weight"] for r in marks}, (0.0, 0.0, 0.0))
-    share = min(1.0, CALIBRATE_ROWS / (clean + toxic))
+    share = min(1.0, calibrate_rows / (clean + toxic))
     picked = known.where(F.pmod(F.xxhash64("t", F.lit(5)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
     pairs = picked.select(_evidence(picked, model, "t").alias("x"), "y").collect()
     x, y = np.array([r["x"] for r in pairs]), np.array([r["y"] for r in pairs], np.float64)
