@@ -36,8 +36,7 @@ KEEP_COST = 6.0  # a sign that is no disguise: the word ends there
 SHORTEN_COST = 0.5  # a drawn-out letter written once or twice
 BREAK_COST = 0.5  # a gap between short pieces read as a word's end, or as none if others are narrower
 WIDE_COST = 3.0
-BEAM = 64
-READINGS = 6  # kept for each end of a reading, within this of the best
+READINGS = 6  # of a window, the best ones, within this of the best
 WITHIN = 8.0
 EDGES = " \t.,;:?!\"'()[]{}<>"
 LETTER = r"[^\W\d_]"
@@ -169,7 +168,8 @@ def _spelled_lattice(run: str) -> list[list[tuple[str, float]]]:
 def readings(token: str, model: Letters, spelled: bool = False) -> list[str]:
     """The likeliest readings of a lower-case token, best first; blanks set words in it apart.
 
-    A ``spelled`` token is a run of short pieces with blanks or signs between.
+    A ``spelled`` token is a run of short pieces with blanks or signs between. The best ``READINGS`` are
+    exact: for each pair of last letters, which is all that the letter model looks back on, as many are kept.
     """
     beam: dict[tuple[int, int], list[tuple[float, str]]] = {(0, 0): [(0.0, "")]}
     for options in [*(_spelled_lattice if spelled else _lattice)(token), [(" ", 0.0)]]:
@@ -187,12 +187,12 @@ def readings(token: str, model: Letters, spelled: bool = False) -> list[str]:
                     text += reading
                     if ends.get(text, -math.inf) < value + gain:
                         ends[text] = value + gain
-        best = {
+        beam = {
             state: sorted(((v, t) for t, v in ends.items()), reverse=True)[:READINGS]
             for state, ends in reached.items()
         }
-        beam = dict(sorted(best.items(), key=lambda s: -s[1][0][0])[:BEAM])
-    paths = max(beam.values())
+    # The last reading is a blank, after which there is one state.
+    (paths,) = beam.values()
     return [t.strip() for v, t in paths if v > paths[0][0] - WITHIN]
 
 
