@@ -70,7 +70,8 @@ def _place() -> Column:
 
     Pieces begin at multiples of the largest piece's length. A task reads its pieces in order and no
     more bytes than that length, and every record has a byte or more; so the beginning of the piece
-    plus the number of records the task has read before stays below the next piece's beginning.
+    plus the number of records the task has read before stays below the next piece's beginning. (A
+    setting of spark.sql.files.maxPartitionNum lets tasks read more; it must not be set.)
     """
     before = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     return F.col("_metadata.file_block_start") + before
