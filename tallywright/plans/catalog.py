@@ -608,11 +608,11 @@ def stored_problems_other_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored_problems(spark, sf_dir, "extra")
 
 
-def _store_responses(spark: SparkSession, sf_dir: str) -> str:
+def _store_responses(spark: SparkSession, sf_dir: str, splits: list[str] = fv.RESPONSE_SPLITS) -> str:
     """One folder a split, named as the file of its responses is."""
     base = scratch_path(spark, "results")
     name = F.concat(F.lit("results_final_"), "split", F.lit(".json"))
-    rows = vw.responses(spark, sf_dir).where(F.col("split").isin(fv.RESPONSE_SPLITS))
+    rows = vw.responses(spark, sf_dir).where(F.col("split").isin(splits))
     wr.write_json_arrays(
         rows.withColumn("file", name).drop("split", "run_id"), base, partition_by="file"
     )
@@ -640,6 +640,12 @@ def stored_responses_one_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _response_columns(rd.read_response_file(spark, f"{base}/file={name}"))
 
 
+@_query
+def missing_response_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Splits whose file is not in a results folder: one is not written, others may have no response."""
+    return rd.missing_splits(spark, _store_responses(spark, sf_dir, ["test", "train"]), prefix="file=")
+
+
 def _store_runs(spark: SparkSession, sf_dir: str, arrays: bool) -> str:
     """One folder per run, all in one job."""
     base = scratch_path(spark, "runs")

@@ -883,4 +883,9 @@ def oracle_sql() -> dict[str, str]:
               doc_id::double as "timestamp"
             from part join documents on p_partkey = doc_id
             where p_partkey = 17 or (p_partkey % 10 <> 7 and p_partkey > 90)""",
+        "missing_response_splits": sql(
+            _RESPONSES,
+            """select split from (values ('test'), ('train'), ('validation')) t(split)
+            where split = 'validation' or split not in (select split from responses)""",
+        ),
     }

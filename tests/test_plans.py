@@ -21,7 +21,7 @@ STORING = {
     "streamed_progress_of_cut_lines", "stored_array_attempts", "pass_at_k_csv",
     "best_attempt_by_file_order", "reference_code_by_file_order", "rejected_records", "kept_records", "skipped_runs",
     "quarantined_attempts", "distinct_problems_from_sketches", "run_coverage_from_sketches",
-    "response_stats_by_key_presence", "contents_by_key_presence", "streamed_progress_with_repeats",
+    "response_stats_by_key_presence", "contents_by_key_presence", "streamed_progress_with_repeats", "missing_response_splits",
 }
 
 
