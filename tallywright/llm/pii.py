@@ -12,6 +12,7 @@ form that passes holds a digit or an at-sign, so text far from both cannot hold
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -192,8 +193,8 @@ def _other_number(rng: np.random.Generator) -> str:
 
 def _written_into(text: str, spans: list[Span], new: str, rng: np.random.Generator) -> tuple[str, int, list[Span]] | None:
     """A window of a text with ``new`` between two of its words, where it begins, and the spans around it."""
-    gaps = [m.start() for m in BLANK.finditer(text)] or [0, len(text)]
-    at = gaps[int(rng.integers(len(gaps)))]
+    gap = BLANK.search(text, int(rng.integers(len(text) + 1)))
+    at = gap.start() if gap else len(text)
     room = max(0, WINDOW - len(new) - 4)
     before = int(rng.integers(0, room + 1))
     a, b = max(0, at - before), min(len(text), at + room - before)
@@ -248,7 +249,7 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             text = value.as_py()
             if not text:
                 continue
-            rng = np.random.default_rng([len(text), *text[:64].encode("utf-8", "replace")])
+            rng = np.random.default_rng(zlib.crc32(text[:256].encode("utf-8", "replace"), len(text) & 0xFFFFFFFF))
             spans = base_spans(text) if TRIGGER.search(text) else []
             rows += [(*w, False) for w in _windows(text, spans, rng)]
             rows += [(*w, True) for w in (planted(text, spans, rng) for _ in range(PLANTED)) if w]
