@@ -503,7 +503,8 @@ def script_execution(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     runner = sc.python_runner(("-I", "-S"))
     ran = sc.run_scripts(scripts, runner, ["problem_id"])
-    judged = ev.with_verdict(ran.join(scripts, "problem_id"))
+    # Scripts are made on the fly, many times the size of their table, so neither side is small.
+    judged = ev.with_verdict(ran.join(scripts.hint("merge"), "problem_id"))
     return judged.select(
         "problem_id", "passed", "returncode", _lines("test_outputs").alias("test_outputs")
     )

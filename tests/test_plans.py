@@ -117,3 +117,9 @@ def test_lines_are_taken_apart_once_a_step(spark, sf_dir, name, steps):
 def test_training_texts_are_not_shuffled_before_the_join(spark, sf_dir, name):
     text = plan(catalog.queries()[name](spark, sf_dir))
     assert any("BroadcastHashJoin" in line and "_run_id" in line for line in text.splitlines())
+
+
+def test_scripts_that_ran_are_joined_without_a_broadcast(spark, sf_dir):
+    # The table is small, but each row of it becomes a script of some hundred bytes.
+    text = plan(catalog.queries()["script_execution"](spark, sf_dir))
+    assert "BroadcastHashJoin" not in text and "SortMergeJoin" in text

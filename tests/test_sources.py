@@ -257,6 +257,25 @@ def test_run_scripts(spark):
     assert rows[5]["test_outputs"] == ["Test 1: PASS - All assertions passed silently"]
 
 
+def test_a_runner_starts_one_interpreter_and_scripts_do_not_meet():
+    run = sc.python_runner(("-I", "-S"))
+    parent = "import os; print(os.getppid())"
+    assert run(parent, 5) == run(parent, 5)
+    assert run("import builtins; builtins.left = x = 1", 5) == (0, "", "")
+    code, out, err = run("print('é')\nprint(left)", 5)
+    assert (code, out) == (1, "é\n") and err.startswith("Traceback") and err.count("File") == 1 and err.endswith("'left' is not defined\n")
+    assert run("def f(:", 5)[2].endswith("SyntaxError: invalid syntax\n")
+    assert run("import atexit; atexit.register(print, 2); print(1); raise SystemExit(3)", 5) == (3, "1\n2\n", "")
+    assert run("print(input())", 5)[2].endswith("EOFError: EOF when reading a line\n")
+    assert run("import os; os.kill(os.getpid(), 9)", 5)[0] == -9
+    assert run("print('x' * 300_000)", 5)[1] == "x" * 300_000 + "\n"
+    with pytest.raises(TimeoutError):
+        run("while True: pass", 0.3)
+    with pytest.raises(OSError):
+        run("import os; os.kill(os.getppid(), 9); os.wait()", 5)
+    assert run("print(2)", 5) == run(None, 5)[:1] + ("2\n", "")
+
+
 def test_runner_that_fails(spark):
     def runner(script, seconds):
         raise OSError("no interpreter")
