@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -48,11 +49,15 @@ def pack(a: np.ndarray) -> bytes:
     return bytes([kind]) + len(a).to_bytes(8, "little") + pa.compress(plain, codec="zstd", asbytes=True)
 
 
-def unpack(data: bytes) -> np.ndarray:
+def narrow(data: bytes) -> np.ndarray:
+    """The array in the kind it was packed in, for long ones."""
     size, width = int.from_bytes(data[1:9], "little"), np.dtype(KINDS[data[0]]).itemsize
-    plain = pa.decompress(data[9:], size * width, codec="zstd", asbytes=True)
-    a = np.frombuffer(plain, np.uint8).reshape(width, size).T.copy().view(KINDS[data[0]]).ravel()
-    return a.astype(np.float64 if data[0] == 4 else np.int64)
+    plain = pa.decompress(memoryview(data)[9:], size * width, codec="zstd")
+    return np.frombuffer(plain, np.uint8).reshape(width, size).T.copy().view(KINDS[data[0]]).ravel()
+
+
+def unpack(data: bytes) -> np.ndarray:
+    return narrow(data).astype(np.float64 if data[0] == 4 else np.int64)
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -77,12 +82,13 @@ def _to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     gives frequent ones small numbers; place is each one's rank by hash."""
     number = TaskContext.get().partitionId() << 32
     for batch in batches:
-        texts = batch.column(1).to_pylist()
-        for a, b in letters.groups(texts, BLOCK_CHARS):
+        lengths = pc.fill_null(pc.utf8_length(batch.column(1)), 0).to_pylist()
+        for a, b in letters.ranges(lengths, BLOCK_CHARS):
+            texts = batch.column(1).slice(a, b - a).to_pylist()
             held = batch.column(2).slice(a, b - a).to_numpy(zero_copy_only=False).astype(np.int64)
             local: dict[bytes, int] = {END: 0}
             tokens, sizes = [], []
-            for text in texts[a:b]:
+            for text in texts:
                 words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
                 sizes.append(len(words) + 1)
                 tokens.append(np.fromiter((local.setdefault(w, len(local)) for w in words), np.int32, len(words)))
@@ -163,21 +169,34 @@ def _answer_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 class Block:
-    """A block with its words' numbers in the corpus and its distinct bigrams."""
+    """A block with its words' numbers in the corpus and its distinct bigrams; with ``inverse`` which each token's is."""
 
-    def __init__(self, row: dict, bases: dict[int, int]):
+    def __init__(self, row: dict, bases: dict[int, int], inverse: bool = False):
         answers = sorted(row["answers"], key=lambda x: x["bucket"])
         # 0 is the start of a text; words count from 1.
         self.words = np.concatenate([unpack(x["ranks"]) + bases[x["bucket"]] + 1 for x in answers] + [[0]])
         self.counts = np.concatenate([unpack(x["counts"]) for x in answers] + [[0]])
-        self.sizes, held, tokens, place = (unpack(row[n]) for n in ("sizes", "held", "tokens", "place"))
-        self.tokens = place[tokens]
+        self.sizes, held = unpack(row["sizes"]), unpack(row["held"])
+        # A block has some million tokens: what is as long is in 32 bits where it can be, and soon let go.
+        self.tokens = unpack(row["place"]).astype(np.int32)[narrow(row["tokens"])]
         start = len(self.words) - 1
-        before = np.concatenate(([start], self.tokens[:-1]))
-        before[np.cumsum(self.sizes)[:-1]] = start
-        keys, self.inverse = np.unique(before * (start + 1) + self.tokens, return_inverse=True)
-        self.before, self.word = keys // (start + 1), keys % (start + 1)
-        self.times = np.bincount(self.inverse[np.repeat(held, self.sizes) == 0], minlength=len(keys))
+        keys = np.empty(len(self.tokens), np.int64)
+        keys[0], keys[1:] = start, self.tokens[:-1]
+        keys[np.cumsum(self.sizes)[:-1]] = start
+        keys *= start + 1
+        keys += self.tokens
+        order = np.argsort(keys)
+        keys = keys[order]
+        new = np.ones(len(keys), bool)
+        np.not_equal(keys[1:], keys[:-1], out=new[1:])
+        first = np.flatnonzero(new)
+        self.times = np.add.reduceat(np.repeat(held == 0, self.sizes)[order], first, dtype=np.int64)
+        keys = keys[first]
+        if inverse:
+            self.inverse = np.empty(len(order), np.int32)
+            self.inverse[order] = np.cumsum(new, dtype=np.int32) - 1
+        del order, new, first
+        self.before, self.word = ((keys // (start + 1)).astype(np.int32), (keys % (start + 1)).astype(np.int32))
 
     def dealt(self, buckets: int, hot_from: float) -> tuple[np.ndarray, np.ndarray]:
         """(order, bucket in that order) of the distinct bigrams."""
@@ -202,15 +221,16 @@ def _ask_bigrams(bases: dict[int, int], buckets: int, hot_from: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             block = Block(row, bases)
+            del block.tokens
             order, bucket = block.dealt(buckets, hot_from)
-            context, word = block.words[block.before[order]], block.words[block.word[order]]
-            count, times = block.counts[block.word[order]], block.times[order]
             asked = []
             for k, a, b in _slices(bucket):
-                edges = np.concatenate(([0], np.flatnonzero(np.diff(context[a:b])) + 1))
+                mine = order[a:b]
+                context, word = block.words[block.before[mine]], block.word[mine]
+                edges = np.concatenate(([0], np.flatnonzero(np.diff(context)) + 1))
                 asked.append((
-                    k, row["block"], pack(context[a:b][edges]), pack(np.diff(np.append(edges, b - a))),
-                    pack(word[a:b]), pack(count[a:b]), pack(times[a:b]),
+                    k, row["block"], pack(context[edges]), pack(np.diff(np.append(edges, b - a))),
+                    pack(block.words[word]), pack(block.counts[word]), pack(block.times[mine]),
                 ))
             yield _batch(ASKED, [pa.int64(), pa.int64(), *[pa.binary()] * 5], *asked)
 
@@ -333,7 +353,7 @@ def _finish(bases: dict[int, int], buckets: int, hot_from: float, floor: float,
         for batch in batches:
             for k in range(batch.num_rows):
                 row = {n: batch.column(n)[k].as_py() for n in batch.schema.names if n != "ids"}
-                block = Block(row, bases)
+                block = Block(row, bases, inverse=True)
                 order, _ = block.dealt(buckets, hot_from)
                 scores = np.empty(len(order))
                 scores[order] = np.concatenate(

@@ -60,13 +60,18 @@ def points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def groups(texts: list[str | None], most: int) -> list[tuple[int, int]]:
     """Ranges of rows of about ``most`` characters in all; a longer text is a range of its own."""
+    return ranges([len(text or "") for text in texts], most)
+
+
+def ranges(lengths: list[int], most: int) -> list[tuple[int, int]]:
+    """``groups`` of texts known by their lengths alone."""
     found, start, size = [], 0, 0
-    for k, text in enumerate(texts):
-        length = len(text or "") + 1
+    for k, length in enumerate(lengths):
+        length += 1
         if size and size + length > most:
             found.append((start, k))
             start, size = k, 0
         size += length
-    if start < len(texts):
-        found.append((start, len(texts)))
+    if start < len(lengths):
+        found.append((start, len(lengths)))
     return found
