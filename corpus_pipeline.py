@@ -10,8 +10,11 @@ from tallywright.sources.scratch import stored
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents go that have no letters, or fewer than half in labelled spans of a learned language's script."""
-    return langid.accepted(docs, langid.fit(docs))
+    """Documents go that have no letters, or fewer than half in labelled spans of a learned language's script.
+
+    The others go on under the language most of their letters are labelled with, by which they are mixed.
+    """
+    return langid.identified(docs, langid.fit(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywright.llm import letters
@@ -223,13 +223,37 @@ def decide(model: Model, texts: list[str], penalty: float) -> tuple[list[str], n
     return names, scores
 
 
-def own_share(model: Model, texts: list[str], penalty: float) -> np.ndarray:
-    """Share of a text's letters in spans whose language is learned in their script; 0 without letters."""
-    if not model.langs:
-        return np.zeros(len(texts))
+def own_share(model: Model, texts: list[str], penalty: float) -> tuple[np.ndarray, list[str]]:
+    """Share of a text's letters in spans whose language is learned in their script, and the language most of these are labelled with.
+
+    Texts without such letters have 0 and ``und``.
+    """
+    count = len(model.langs)
+    if not count:
+        return np.zeros(len(texts)), [UNKNOWN] * len(texts)
     labels, sizes, _, owner, own = label_words(model, texts, penalty)
     totals = np.bincount(owner, sizes, len(texts))
-    return np.bincount(owner, sizes * own, len(texts)) / np.maximum(totals, 1)
+    sums = np.bincount(owner * count + labels, sizes * own, len(texts) * count).reshape(-1, count)
+    mine = sums.sum(axis=1)
+    names = [model.langs[k] if some else UNKNOWN for k, some in zip(sums.argmax(axis=1), mine > 0)]
+    return mine / np.maximum(totals, 1), names
+
+
+def _judged(model: Model, text: Column, share: float, penalty: float, spark: SparkSession) -> Column:
+    """The language of a text that is accepted, NULL of others."""
+    shared = spark.sparkContext.broadcast(model)
+    most = max(AT_ONCE, (1 << 25) // max(4, len(model.langs)))
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            texts = [t or "" for t in batch.to_pylist()]
+            kept: list[str | None] = []
+            for a, b in letters.groups(texts, most):
+                shares, names = own_share(shared.value, texts[a:b], penalty)
+                kept += [x if y >= share and y > 0 else None for x, y in zip(names, shares)]
+            yield pa.array(kept, pa.string())
+
+    return F.arrow_udf(run, "string")(text)
 
 
 def accepted(
@@ -242,19 +266,19 @@ def accepted(
     scripts. A text may spread over any number of learned languages. A model without languages
     accepts nothing.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    most = max(AT_ONCE, (1 << 25) // max(4, len(model.langs)))
+    return docs.where(_judged(model, F.col(text), share, penalty, docs.sparkSession).isNotNull())
 
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            texts = [t or "" for t in batch.to_pylist()]
-            kept: list[bool] = []
-            for a, b in letters.groups(texts, most):
-                shares = own_share(shared.value, texts[a:b], penalty)
-                kept += ((shares >= share) & (shares > 0)).tolist()
-            yield pa.array(kept, pa.bool_())
 
-    return docs.where(F.arrow_udf(run, "boolean")(F.col(text)))
+def identified(
+    docs: DataFrame, model: Model, text: str = "text", lang: str = "lang", share: float = OWN_SHARE, penalty: float = SWITCH
+) -> DataFrame:
+    """The rows that ``accepted`` keeps, ``lang`` being the language that most of a text's letters are labelled with.
+
+    What ``lang`` said before is replaced, also NULL. Equal parts go to the first name.
+    """
+    found = docs.withColumn("__lang", _judged(model, F.col(text), share, penalty, docs.sparkSession))
+    names = [F.col("__lang").alias(lang) if c == lang else F.col(f"`{c}`") for c in docs.columns]
+    return found.where("__lang is not null").select(*names)
 
 
 def predict(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text", penalty: float = SWITCH) -> DataFrame:

@@ -40,3 +40,15 @@ def test_stages_on_odd_rows(spark, odd, sf_dir):
     for df in (odd, odd.limit(0)):
         for _, stage in corpus_pipeline.STAGES:
             stage(spark, df, sf_dir).collect()
+
+
+def test_the_mix_goes_by_the_identified_language(spark, docs, sf_dir):
+    given = queries.table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    shown = {lang: given.where(f"lang = '{lang}'").first()["text"] for lang in ("en", "fr", "de")}
+    added = docs((-1, shown["fr"], None, "a"), (-2, shown["de"], "en", "a"), (-3, shown["en"], "en", "a"), (-4, "1 2 3", "en", "a"))
+    kept = corpus_pipeline.stored(corpus_pipeline.languages(spark, given.unionByName(added), sf_dir), "identified")
+    got = {r["doc_id"]: r["lang"] for r in kept.where("doc_id < 0").collect()}
+    assert got == {-1: "fr", -2: "de", -3: "en"}
+    few = kept.where("doc_id < 0").select(*given.columns)
+    taken = queries.mixed(few.unionByName(few.withColumn("doc_id", few.doc_id - 10)))
+    assert {r["lang"] for r in taken.collect()} <= {"fr", "de", "en"}
