@@ -61,7 +61,9 @@ def _json_texts(spark: SparkSession, path: str, layout: str) -> DataFrame:
         texts = pieces.select("_path", F.posexplode(records).alias("_at", "_json"), "_place").withColumn(
             "_place", F.col("_place") + F.col("_at")
         ).drop("_at")
-    stored = F.get_json_object("_json", "$.position").try_cast("bigint")
+    # Only a text that can have the field (its name may be written with escapes) is parsed for it.
+    named = F.contains("_json", F.lit("position")) | F.contains("_json", F.lit("\\u"))
+    stored = F.when(named, F.get_json_object("_json", "$.position")).try_cast("bigint")
     return texts.withColumn("position", F.coalesce(stored, F.col("_place"))).drop("_place")
 
 

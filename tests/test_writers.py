@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
+from tallywright.sources import readers as rd
 from tallywright.sources import writers as wr
 
 CONF = "spark.sql.maxConcurrentOutputFileWriters"
@@ -53,3 +54,11 @@ def test_lines_of_many_folders_are_not_sorted(spark, rows, tmp_path, monkeypatch
     monkeypatch.setattr(DataFrameWriter, "save", lambda self, path: called.append(spark.conf.get(CONF)) or save(self, path))
     wr.write_table(rows, str(tmp_path / "l"), "json", ["run_id"])
     assert called == [str(wr.OPEN_FILES)] and spark.read.json(str(tmp_path / "l")).count() == 600
+
+
+def test_only_records_that_can_name_a_position_are_parsed_for_it(spark, tmp_path):
+    lines = ['{"problem_id": 1, "position": 70}', '{"problem_id": 2, "\\u0070osition": 80}', '{"problem_id": 3}']
+    (tmp_path / "l.json").write_text("\n".join(lines))
+    texts = rd._json_texts(spark, str(tmp_path / "l.json"), "lines")
+    assert [r["position"] for r in texts.collect()] == [70, 80, 2]
+    assert "contains" in texts._jdf.queryExecution().optimizedPlan().toString().lower()
