@@ -253,7 +253,8 @@ def _judged(model: Model, text: Column, share: float, penalty: float, spark: Spa
                 kept += [x if y >= share and y > 0 else None for x, y in zip(names, shares)]
             yield pa.array(kept, pa.string())
 
-    return F.arrow_udf(run, "string")(text)
+    # Not deterministic to Spark, which else runs it twice: for the rows that stay and for their language.
+    return F.arrow_udf(run, "string").asNondeterministic()(text)
 
 
 def accepted(

@@ -123,3 +123,9 @@ def test_the_stage_goes_by_labelled_spans(spark, docs, sf_dir):
     assert not ids & {-1, -2, -3, -4, -5}
     letters_only = given.where("text rlike '[a-zA-Z]'")
     assert ids == {r["doc_id"] for r in letters_only.collect()}
+
+
+def test_the_stage_labels_every_text_once(spark, docs, sf_dir, capsys):
+    # Twice in a row would be two Python workers a task, each with texts and scores of its own.
+    corpus_pipeline.languages(spark, docs(*[(k, t, lang) for k, (t, lang) in enumerate(TRAIN)]), sf_dir).explain()
+    assert capsys.readouterr().out.count("ArrowEvalPython") == 1
