@@ -12,13 +12,13 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Every node's larger neighbours are linked to its smallest neighbour (or itself)."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-    return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return both.join(least.hint("merge"), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Every node and its smaller neighbours are linked to the smallest of them; u > v before and after."""
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = edges.join(least, "u")
+    moved = edges.join(least.hint("merge"), "u")
     return (
         moved.where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         .unionByName(least.select("u", F.col("m").alias("v")))
@@ -31,8 +31,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Alternates large-star and small-star steps until no link changes, which takes a number of
     rounds logarithmic in the longest chain. Each step is a minimum per node (with a partial step)
-    and a join of unique keys, so a node with very many links is split by the skew join. Every
-    round is written to the shared folder and the one before is deleted. Links with a NULL end and
+    and a sorted join of unique keys, so a node with very many links is split by the skew join and
+    no table passes the driver. Every round is written to the shared folder and the one before is deleted. Links with a NULL end and
     links to oneself say nothing and are left out; no links give an empty table.
     """
     spark = links.sparkSession

@@ -91,7 +91,8 @@ def close_pairs(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(a, b): pairs of the distinct fingerprints ``fp`` that differ in 1 to ``radius`` <= 3 bits.
 
     33 index rows for each segment of a fingerprint, whatever the size of the table, and an equality
-    join; the bit count is part of the join condition. A pair may occur once a segment.
+    join; the bit count is part of the join condition. A pair may occur once a segment. Spark takes
+    the index for as small as the fingerprints it is made of, so no join is left to choose a broadcast.
     """
     if not 0 < radius <= RADIUS:
         raise ValueError(f"two segments with one blanked bit find up to {RADIUS} differing bits")
@@ -101,11 +102,11 @@ def close_pairs(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
         same = fps.select(_key(number, F.lit(0), _segment(F.col("fp"), number)).alias("key"), "fp")
         left = same.select("key", F.col("fp").alias("a"))
         right = same.select("key", F.col("fp").alias("b"))
-        exact = left.join(right, "key").where((F.col("a") < F.col("b")) & close)
+        exact = left.join(right.hint("merge"), "key").where((F.col("a") < F.col("b")) & close)
         off, on = _variants(fps, number, 0), _variants(fps, number, 1)
         blanked = (
             off.select("key", F.col("fp").alias("a"))
-            .join(on.select("key", F.col("fp").alias("b")), "key")
+            .join(on.select("key", F.col("fp").alias("b")).hint("merge"), "key")
             .where(close)
         )
         for part in (exact, blanked):
@@ -118,7 +119,7 @@ def fingerprint_groups(fps: DataFrame) -> DataFrame:
     """(fp, root): every distinct fingerprint and the smallest one it reaches by links."""
     distinct = stored(fps.select("fp").distinct(), "fingerprints")
     roots = components(close_pairs(distinct))
-    return distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
+    return distinct.join(roots.withColumnRenamed("node", "fp").hint("merge"), "fp", "left").select(
         "fp", F.coalesce("root", "fp").alias("root")
     )
 
@@ -156,12 +157,12 @@ def deduplicate(docs: DataFrame, id: str = "doc_id", text: str = "text", width:
     narrow = marked.select(F.col(id).alias("__id"), F.col("__fp").alias("fp"))
     roots = fingerprint_groups(narrow)
     keys = narrow.groupBy("__id", "fp").agg(F.count(F.lit(1)).alias("times"))
-    grouped = stored(keys.join(roots, "fp"), "grouped")
+    grouped = stored(keys.join(roots.hint("merge"), "fp"), "grouped")
     # NULL ids come last.
     first = grouped.groupBy("root").agg(
         F.min(F.struct(F.col("__id").isNull().alias("no"), "__id", "fp")).alias("first")
     )
-    placed = grouped.join(first, "root")
+    placed = grouped.join(first.hint("merge"), "root")
     stays = F.col("__id").eqNullSafe(F.col("first.__id")) & (F.col("fp") == F.col("first.fp"))
     gone = placed.where(~stays).select(F.col("__id").alias("__gone"), F.col("fp").alias("__gone_fp"))
     repeated = placed.where(stays & (F.col("times") > 1)).select(

@@ -115,6 +115,15 @@ def test_no_close_pair_is_lost(spark):
                    if 1 <= ((p[0] ^ p[1]) & (1 << 64) - 1).bit_count() <= 3}
 
 
+def test_fingerprints_meet_without_a_broadcast(spark):
+    # The table is small, but each row of it becomes 33 of the index for either segment.
+    fps = spark.range(100).selectExpr("xxhash64(id) fp")
+    stay = simhash.fingerprint_groups(fps)
+    for df, joins in ((simhash.close_pairs(fps), 4), (stay, 1)):
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert "Broadcast" not in text and text.count("SortMergeJoin") >= joins
+
+
 def test_op2_on_odd_rows(spark, odd):
     rows = simhash.near_duplicates(with_clashes(odd)).collect()
     assert len(rows) == odd.count()
