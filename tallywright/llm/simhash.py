@@ -130,14 +130,16 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wid
     One row for each row of ``docs``, repeated rows and ids included; NULL, empty and blank texts
     have fingerprint zero and link like any other. A NULL id is no group's smallest unless the
     group has no other. An empty table gives an empty one; other columns are left out.
-    Equal fingerprints are merged before anything is compared, so copies cost no candidates.
+    Equal fingerprints are merged before anything is compared, so copies cost no candidates. All
+    joins are by sorting: hashed, these tables take many times the bytes of their files, by which
+    Spark would send them to the driver.
     """
     marked = stored(with_fingerprint(docs.select(id, text), text, width).select(id, "fp"), "simhash")
     least = marked.groupBy("fp").agg(F.min(id).alias("least"))
-    grouped = fingerprint_groups(marked).join(least, "fp")
+    grouped = fingerprint_groups(marked).join(least.hint("merge"), "fp")
     smallest = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    groups = grouped.select("fp", "root").join(smallest, "root").select("fp", "component_id")
-    return marked.join(groups, "fp").select(
+    groups = grouped.select("fp", "root").join(smallest.hint("merge"), "root").select("fp", "component_id")
+    return marked.join(groups.hint("merge"), "fp").select(
         id, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 

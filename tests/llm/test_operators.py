@@ -118,8 +118,9 @@ def test_no_close_pair_is_lost(spark):
 def test_fingerprints_meet_without_a_broadcast(spark):
     # The table is small, but each row of it becomes 33 of the index for either segment.
     fps = spark.range(100).selectExpr("xxhash64(id) fp")
+    near = simhash.near_duplicates(spark.range(100).selectExpr("id doc_id", "cast(id as string) text"))
     stay = simhash.fingerprint_groups(fps)
-    for df, joins in ((simhash.close_pairs(fps), 4), (stay, 1)):
+    for df, joins in ((simhash.close_pairs(fps), 4), (near, 3), (stay, 1)):
         text = df._jdf.queryExecution().executedPlan().toString()
         assert "Broadcast" not in text and text.count("SortMergeJoin") >= joins
 
