@@ -1,6 +1,8 @@
 """Readers and writers on files as they come, streaming, and the script runner."""
 
 import json
+import subprocess
+import sys
 
 import pytest
 from pyspark.errors import PySparkException
@@ -276,6 +278,17 @@ def test_a_runner_starts_one_interpreter_and_scripts_do_not_meet():
     assert run("print(2)", 5) == run(None, 5)[:1] + ("2\n", "")
 
 
+def test_what_shows_an_error_is_loaded_before_scripts_run():
+    run = sc.python_runner(("-I", "-S"))
+    assert run("import sys; print('traceback' in sys.modules)", 5)[1] == "True\n"
+    kept = "import linecache, sys; print(linecache.cache, sys.stdout.fileno(), sys.stderr.fileno())"
+    assert run(kept, 5)[1] == "{} 1 2\n"
+    # Shown as by an interpreter that is started for the script.
+    for text in ("def f(x):\n    return x + y\nf(1)", "def f(:", "raise ValueError('a\\nb')", "1 / 0"):
+        alone = subprocess.run([sys.executable, "-I", "-S", "-"], input=text, capture_output=True, text=True)
+        assert run(text, 5) == (alone.returncode, alone.stdout, alone.stderr)
+
+
 def test_runner_that_fails(spark):
     def runner(script, seconds):
         raise OSError("no interpreter")
