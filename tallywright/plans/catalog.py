@@ -753,8 +753,11 @@ def streamed_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
 def best_attempt_by_file_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best attempts of stored runs with many records a problem: of equal ones the earlier in its file."""
     base = scratch_path(spark, "ordered-runs")
-    rows = vw.evaluations(spark, sf_dir).repartitionByRange("run_id", *vw.POSITION)
-    wr.write_json_arrays(rows, base, partition_by="run_id", order=vw.POSITION)
+    # Line items move and are sorted, not the many times larger records made of them.
+    lines = vw.lines(spark, sf_dir).repartitionByRange("run_id", *vw.POSITION)
+    wr.write_json_arrays(
+        lines, base, partition_by="run_id", order=vw.POSITION, records=vw.evaluations_of, compression="gzip"
+    )
     found = rd.read_evaluations(spark, base, partitioned=True)
     place = ["file", "position"]
     best = tr.best_attempt(found, place)

@@ -100,8 +100,18 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first_attempts(attempts_raw(spark, sf_dir), ATTEMPT_ORDER)
 
 
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items: all that evaluations are made of, and the run."""
+    return table(spark, sf_dir, "lineitem").select("l_partkey", *POSITION, _run_id(F.col("l_suppkey")).alias("run_id"))
+
+
 def evaluations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A whole evaluation per line item, with the verdict of its recorded run."""
+    return evaluations_of(lines(spark, sf_dir))
+
+
+def evaluations_of(lines: DataFrame) -> DataFrame:
+    """``evaluations`` of some of ``lines``, row by row."""
     problem, supplier = F.col("l_partkey"), F.col("l_suppkey")
     code = F.when(
         (F.col("l_linenumber") == 7) & (supplier % 5 == 0), F.lit("")
@@ -112,9 +122,9 @@ def evaluations(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     run = _recorded_run(F.col("l_orderkey"), supplier + F.col("l_linenumber"))
-    rows = table(spark, sf_dir, "lineitem").select(
+    rows = lines.select(
         problem.alias("problem_id"),
-        _run_id(supplier).alias("run_id"),
+        "run_id",
         *POSITION,
         _text("Problem ", problem).alias("problem_statement"),
         _tests(problem, problem % 7).alias("test_cases"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import pyarrow as pa
@@ -61,7 +61,8 @@ def append_records(df: DataFrame, path: str, partition_by: list[str] = ["run_id"
 
 
 def write_json_arrays(
-    df: DataFrame, path: str, id_field: str = "problem_id", partition_by: str | None = None, order: list[str] = []
+    df: DataFrame, path: str, id_field: str = "problem_id", partition_by: str | None = None, order: list[str] = [],
+    records: Callable[[DataFrame], DataFrame] | None = None, compression: str = "none",
 ) -> None:
     """Store records as JSON arrays indented by two, one array per part file.
 
@@ -69,14 +70,21 @@ def write_json_arrays(
     part file is never cut, because a cut array could not be read. No task holds more than one Arrow
     batch. Records stand in the order of the columns ``order`` within a part file; the part files of a table
     that is partitioned by ranges of them follow each other by name.
+
+    ``records`` makes the records of ``df``, row by row, once its rows are in order: what is sorted then is
+    as narrow as ``df``, which has the columns ``partition_by`` and ``order`` as the records do.
+    ``compression`` is a codec's name for Spark's text files, such as gzip. Uncompressed files are cut at
+    record starts when they are read, others are read by a task each.
     """
-    if id_field != "problem_id":
-        df = df.withColumnRenamed("problem_id", id_field)
     folder = F.col(partition_by).cast("string") if partition_by else F.lit("")
     folder = F.coalesce(folder, F.lit("__HIVE_DEFAULT_PARTITION__"))
-    fields = [c for c in df.columns if c != partition_by]
     if order:
         df = df.sortWithinPartitions(folder, *order)
+    if records:
+        df = records(df)
+    if id_field != "problem_id":
+        df = df.withColumnRenamed("problem_id", id_field)
+    fields = [c for c in df.columns if c != partition_by]
     record = F.to_json(F.struct(*fields), {"pretty": "true"})
     # Line ends inside of texts are escaped, so every one is followed by a line of the record.
     text = df.select(
@@ -105,5 +113,6 @@ def write_json_arrays(
     lines = lines.withColumnRenamed("folder", partition_by) if partition_by else lines.select("value")
     # Every piece brings its own line ends.
     writer = lines.write.mode("overwrite").option("maxRecordsPerFile", 0).option("lineSep", " ")
+    writer = writer.option("compression", compression)
     with _folders_at_once(df.sparkSession):
         (writer.partitionBy(partition_by) if partition_by else writer).text(path)
