@@ -647,12 +647,12 @@ def missing_response_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rd.missing_splits(spark, _store_responses(spark, sf_dir, ["test", "train"]), prefix="file=")
 
 
-def _store_runs(spark: SparkSession, sf_dir: str, arrays: bool) -> str:
+def _store_runs(spark: SparkSession, sf_dir: str, arrays: bool, compression: str = "none") -> str:
     """One folder per run, all in one job."""
     base = scratch_path(spark, "runs")
     rows = vw.evaluations(spark, sf_dir).drop(*vw.POSITION)
     if arrays:
-        wr.write_json_arrays(rows, base, partition_by="run_id")
+        wr.write_json_arrays(rows, base, partition_by="run_id", compression=compression)
     else:
         wr.write_table(rows, base, "json", ["run_id"])
     return base
@@ -668,7 +668,7 @@ def stored_run_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def stored_run_evaluations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole records of listed run folders, from array files."""
-    base = _store_runs(spark, sf_dir, arrays=True)
+    base = _store_runs(spark, sf_dir, arrays=True, compression="gzip")
     rows = rd.read_evaluations(spark, base, vw.RUNS, layout="array", partitioned=True)
     return _evaluation_columns(rows, "problem_id", "run_id")
 

@@ -94,7 +94,7 @@ def test_records_are_made_of_rows_in_order(spark, tmp_path):
     assert got["run_id=r1"][0][0] == {"item": 1, "place": -1, "code": "x" * 9}
 
 
-@pytest.mark.parametrize("name", ["best_attempt_by_file_order"])
+@pytest.mark.parametrize("name", ["stored_run_evaluations", "best_attempt_by_file_order"])
 def test_stored_evaluations_are_compressed_and_not_sorted_as_records(spark, sf_dir, monkeypatch, name):
     paths, moved = [], []
     table = type(spark.range(1))
