@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import types as T
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+# Tests of the folder above take this from whichever of the two files of this name was loaded last.
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 DOCUMENT = T.StructType(
     [T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
